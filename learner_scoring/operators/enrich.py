@@ -25,8 +25,12 @@ def _envelope_fields() -> list[Column]:
     ]
 
 
+# Record identity carried through when present (decoded Kafka frames).
+PASSTHROUGH = ["record_key", "topic"]
+
+
 def _transport(df: DataFrame) -> list[Column]:
-    return [F.col(c) for c in TRANSPORT_COLUMNS if c in df.columns]
+    return [F.col(c) for c in [*PASSTHROUGH, *TRANSPORT_COLUMNS] if c in df.columns]
 
 
 def _payload_flags(df: DataFrame) -> list[Column]:

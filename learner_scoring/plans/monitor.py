@@ -32,5 +32,5 @@ def score_summary(scored: DataFrame, by: str = "window_start_ms") -> DataFrame:
 
 def score_histogram(scored: DataFrame, buckets: int = 10) -> DataFrame:
     """H7 distribution: count of scores per equal-width bucket of [0, 1]."""
-    b = F.least(F.floor(F.col("score") * buckets), F.lit(buckets - 1)).cast("int")
+    b = F.least(F.floor(F.col("score") * buckets), F.lit(buckets - 1)).cast("bigint")
     return scored.groupBy(b.alias("bucket")).agg(F.count(F.lit(1)).alias("scores"))

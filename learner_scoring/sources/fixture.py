@@ -170,3 +170,92 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_topics(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Read ``events`` from ``sf_dir`` and return the two topic frames."""
     return topic_frames(fixture_events(load_events(spark, sf_dir)))
+
+
+# Payload defects for the decode / dead-letter checks. Fixed rule set, tested
+# in this order, first match wins:
+#   event_id % 19 = 0  truncated JSON (last 5 characters cut)
+#   event_id % 41 = 0  empty payload
+#   event_id % 23 = 0  envelope.type null
+#   event_id % 29 = 0  envelope.timestamp null (quiz or session.* rows only)
+#   event_id % 31 = 0  session event type null (session.* rows only)
+#   event_id % 37 = 0  envelope.studentId null
+def payload_defect() -> Column:
+    i = F.col("event_id")
+    et = F.col("event_type")
+    session_type = et.startswith("session.")
+    routed = (et == "quiz.answered") | session_type
+    return (
+        F.when(i % 19 == 0, F.lit("truncated"))
+        .when(i % 41 == 0, F.lit("empty"))
+        .when(i % 23 == 0, F.lit("null_type"))
+        .when((i % 29 == 0) & routed, F.lit("null_time"))
+        .when((i % 31 == 0) & session_type, F.lit("null_session_type"))
+        .when(i % 37 == 0, F.lit("null_student"))
+    )
+
+
+def _defective_envelope() -> Column:
+    d = F.col("_defect")
+    return F.struct(
+        F.col("event_id").cast("string").alias("id"),
+        F.when(d.eqNullSafe("null_type"), F.lit(None)).otherwise(F.col("event_type")).alias("type"),
+        F.lit(FIXTURE_SOURCE).alias("source"),
+        F.lit("1.0").alias("specversion"),
+        F.when(d.eqNullSafe("null_time"), F.lit(None)).otherwise(F.timestamp_millis(F.col("event_ms"))).alias(
+            "timestamp"
+        ),
+        F.when(d.eqNullSafe("null_student"), F.lit(None)).otherwise(F.col("student_id")).alias("studentId"),
+        F.col("session_id").alias("sessionId"),
+        F.lit(None).cast("string").alias("correlationId"),
+    )
+
+
+def kafka_records(flat: DataFrame, defects: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Fixture rows as raw Kafka records of the two topics (JSON payloads).
+
+    Same schema as Spark's Kafka source. With ``defects`` the payload rules
+    above are applied.
+    """
+    from learner_scoring.sources.kafka import QUIZ_TOPIC, SESSION_TOPIC
+
+    src = flat.withColumn("_defect", payload_defect() if defects else F.lit(None).cast("string"))
+    is_quiz = F.col("event_type") == "quiz.answered"
+    env = _defective_envelope()
+    d = F.col("_defect")
+    quiz_payload = F.struct(
+        env.alias("envelope"),
+        F.col("question_id").alias("questionId"),
+        F.col("is_correct").alias("isCorrect"),
+        F.col("time_spent_ms").alias("timeSpentMs"),
+        F.col("skill_tag").alias("skillTag"),
+        F.col("difficulty_level").alias("difficultyLevel"),
+        F.struct(F.col("hints_used").alias("hintsUsed")).alias("contextualData"),
+    )
+    session_payload = F.struct(
+        env.alias("envelope"),
+        F.when(d.eqNullSafe("null_session_type"), F.lit(None))
+        .otherwise(F.col("session_event_type"))
+        .alias("eventType"),
+        F.col("page_id").alias("pageId"),
+        F.col("dwell_time_ms").alias("dwellTimeMs"),
+    )
+
+    def frame(rows: DataFrame, payload: Column, topic: str) -> DataFrame:
+        j = rows.select("*", F.to_json(payload).alias("_json"))
+        value = (
+            F.when(d.eqNullSafe("truncated"), F.expr("substring(_json, 1, length(_json) - 5)"))
+            .when(d.eqNullSafe("empty"), F.lit(""))
+            .otherwise(F.col("_json"))
+        )
+        return j.select(
+            F.col("event_id").cast("string").cast("binary").alias("key"),
+            value.cast("binary").alias("value"),
+            F.lit(topic).alias("topic"),
+            F.col("kafka_partition").alias("partition"),
+            F.col("kafka_offset").alias("offset"),
+            F.timestamp_millis(F.col("record_ms")).alias("timestamp"),
+            F.lit(0).alias("timestampType"),
+        )
+
+    return frame(src.filter(is_quiz), quiz_payload, QUIZ_TOPIC), frame(src.filter(~is_quiz), session_payload, SESSION_TOPIC)
