@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from learner_scoring import config as C
 from learner_scoring.config import DEFAULT_CONFIG, ScoringConfig, dlit
+from learner_scoring.functions import column_cache
 
 
 def _c(name: str) -> Column:
@@ -74,10 +75,9 @@ def active_time_ms() -> Column:
     return F.coalesce(_c("last_event_ms") - _c("first_event_ms"), F.lit(0).cast("bigint"))
 
 
-def with_metrics(state: DataFrame) -> DataFrame:
-    """Append F1-F5 and F7 (F6 comes with the skill map, see fold)."""
-    return state.select(
-        "*",
+@column_cache
+def metric_columns() -> tuple[Column, ...]:
+    return (
         correctness_rate().alias("correctness_rate"),
         average_time_spent().alias("average_time_spent"),
         questions_per_minute().alias("questions_per_minute"),
@@ -87,6 +87,11 @@ def with_metrics(state: DataFrame) -> DataFrame:
     )
 
 
+def with_metrics(state: DataFrame) -> DataFrame:
+    """Append F1-F5 and F7 (F6 comes with the skill map, see fold)."""
+    return state.select("*", *metric_columns())
+
+
 # ---------------------------------------------------------------- scoring (G)
 
 
@@ -164,21 +169,24 @@ def with_score(state: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFra
     Two projections: components first, then score/trend/alert on top of them,
     so the component expressions are evaluated once per row.
     """
-    comp = state.select(
-        "*",
+    comp, score, final = _score_columns(cfg)
+    return state.select("*", *comp).select("*", score).select("*", *final)
+
+
+@column_cache
+def _score_columns(cfg: ScoringConfig) -> tuple:
+    comp = (
         accuracy_score().alias("accuracy_score"),
         dwell_score(cfg).alias("dwell_score"),
         pacing_score(cfg).alias("pacing_score"),
         F.lit(None).cast("double").alias("attention_score"),
     )
-    scored = comp.withColumn(
-        "score", composite_score(_c("accuracy_score"), _c("dwell_score"), _c("pacing_score"), cfg)
-    )
-    return scored.select(
-        "*",
+    score = composite_score(_c("accuracy_score"), _c("dwell_score"), _c("pacing_score"), cfg).alias("score")
+    final = (
         trend(_c("score"), cfg).alias("trend"),
         (_c("score") < dlit(cfg.alert)).alias("alert_threshold_crossed"),
     )
+    return comp, score, final
 
 
 def score_record(envelope: Column) -> Column:

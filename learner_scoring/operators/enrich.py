@@ -10,19 +10,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from learner_scoring import config as C
+from learner_scoring.functions import column_cache
 from learner_scoring.schemas import TRANSPORT_COLUMNS
 
 
-def _envelope_fields() -> list[Column]:
+@column_cache
+def _envelope_fields() -> tuple[Column, ...]:
     """Envelope -> event id, student (the new key), session, time, type, source."""
     e = "envelope"
-    return [
+    return (
         F.col(f"{e}.id").alias("event_id"),
         F.col(f"{e}.studentId").alias("student_id"),
         F.col(f"{e}.sessionId").alias("session_id"),
         F.col(f"{e}.timestamp").alias("event_ts"),
         F.col(f"{e}.type").alias("event_type"),
-    ]
+    )
 
 
 # Record identity carried through when present (decoded Kafka frames).
@@ -33,14 +35,15 @@ def _transport(df: DataFrame) -> list[Column]:
     return [F.col(c) for c in [*PASSTHROUGH, *TRANSPORT_COLUMNS] if c in df.columns]
 
 
-def _payload_flags(df: DataFrame) -> list[Column]:
+@column_cache
+def _payload_flags() -> tuple[Column, ...]:
     # null payload/envelope: what a failed decode or a tombstone leaves behind
-    return [F.col("envelope").isNull().alias("_no_envelope")]
+    return (F.col("envelope").isNull().alias("_no_envelope"),)
 
 
-def flatten_quiz(quiz: DataFrame) -> DataFrame:
-    """Quiz answer -> unified row; hints come from ``contextualData``."""
-    return quiz.select(
+@column_cache
+def _quiz_fields() -> tuple[Column, ...]:
+    return (
         *_envelope_fields(),
         F.col("questionId").alias("question_id"),
         F.col("isCorrect").alias("is_correct"),
@@ -52,14 +55,18 @@ def flatten_quiz(quiz: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("page_id"),
         F.lit(None).cast("bigint").alias("dwell_time_ms"),
         F.col("envelope.source").alias("source"),
-        *_payload_flags(quiz),
-        *_transport(quiz),
+        *_payload_flags(),
     )
 
 
-def flatten_session(session: DataFrame) -> DataFrame:
-    """Session event -> unified row; quiz fields null."""
-    return session.select(
+def flatten_quiz(quiz: DataFrame) -> DataFrame:
+    """Quiz answer -> unified row; hints come from ``contextualData``."""
+    return quiz.select(*_quiz_fields(), *_transport(quiz))
+
+
+@column_cache
+def _session_fields() -> tuple[Column, ...]:
+    return (
         *_envelope_fields(),
         F.lit(None).cast("string").alias("question_id"),
         F.lit(None).cast("boolean").alias("is_correct"),
@@ -71,11 +78,15 @@ def flatten_session(session: DataFrame) -> DataFrame:
         F.col("pageId").alias("page_id"),
         F.col("dwellTimeMs").alias("dwell_time_ms"),
         F.col("envelope.source").alias("source"),
-        *_payload_flags(session),
-        *_transport(session),
+        *_payload_flags(),
     )
 
 
+def flatten_session(session: DataFrame) -> DataFrame:
+    """Session event -> unified row; quiz fields null."""
+    return session.select(*_session_fields(), *_transport(session))
+
+
 def merge_streams(quiz_rows: DataFrame, session_rows: DataFrame) -> DataFrame:
     """UNION ALL of the two unified streams (no dedup, no order)."""
     return quiz_rows.unionByName(session_rows)
@@ -107,16 +118,20 @@ def invalid_reason() -> Column:
     )
 
 
-def classify(events: DataFrame) -> DataFrame:
-    """Add routing flags, ``event_ms`` / ``record_ms`` and ``invalid_reason``."""
-    extra = [
+@column_cache
+def _classify_columns(with_record: bool) -> tuple[Column, ...]:
+    extra = (
         is_quiz().alias("is_quiz"),
         is_session().alias("is_session"),
         F.unix_millis("event_ts").alias("event_ms"),
         invalid_reason().alias("invalid_reason"),
-    ]
-    if "record_ts" in events.columns:
-        extra.append(F.unix_millis("record_ts").alias("record_ms"))
+    )
+    return extra + ((F.unix_millis("record_ts").alias("record_ms"),) if with_record else ())
+
+
+def classify(events: DataFrame) -> DataFrame:
+    """Add routing flags, ``event_ms`` / ``record_ms`` and ``invalid_reason``."""
+    extra = _classify_columns("record_ts" in events.columns)
     return events.select("*", *extra).drop("_no_envelope")
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from learner_scoring import config as C
 from learner_scoring.config import DEFAULT_CONFIG, ScoringConfig
 from learner_scoring.functions import arrays as A
+from learner_scoring.functions import column_cache
 from learner_scoring.operators.sequence import answer_order_metrics
 from learner_scoring.operators.windows import assign_window
 
@@ -43,13 +44,14 @@ def _s(kind: str) -> Column:
     return F.col("is_session") & (F.col("session_event_type") == kind)
 
 
-def order_free_aggregates() -> list[Column]:
+@column_cache
+def order_free_aggregates() -> tuple[Column, ...]:
     """E1-E4, E7 (count), E8, E11-E18: aggregates that ignore arrival order
     except through ``min_by`` (E1), which is itself mergeable."""
     q = _q()
     ok = _ok()
     routed = q | F.col("is_session")
-    return [
+    return (
         F.min_by("session_id", "arrival_seq").alias("session_id"),
         F.count_if(q).alias("total_answers"),
         F.count_if(q & ok).alias("correct_answers"),
@@ -66,7 +68,7 @@ def order_free_aggregates() -> list[Column]:
         F.min(F.when(routed, F.col("event_ms"))).alias("first_event_ms"),
         F.max(F.when(routed, F.col("event_ms"))).alias("last_event_ms"),
         F.coalesce(F.sum(F.when(q, F.col("hints_used"))), F.lit(0)).cast("bigint").alias("total_hints_used"),
-    ]
+    )
 
 
 def quiz_answers(events: DataFrame) -> DataFrame:

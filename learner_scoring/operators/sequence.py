@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from learner_scoring.functions import column_cache
+
 BUCKET = "_bkt"
 
 
@@ -92,20 +94,23 @@ def answer_order_metrics(
     the bucket boundary (last answer of the previous bucket) and the bucket of
     the last correct answer. Result: one row per group.
     """
-    g = list(group_cols)
-    b = answers.withColumn(BUCKET, bucket)
+    g = tuple(group_cols)
+    rows_cols, bucket_aggs, stitch_cols, final_aggs = _order_columns(g, seq_col, rapid_ms)
+    rows = answers.withColumn(BUCKET, bucket).select(*g, BUCKET, seq_col, "event_ms", "ok", *rows_cols)
+    per_bucket = rows.groupBy(*g, BUCKET).agg(*bucket_aggs)
+    stitched = per_bucket.select(*g, BUCKET, "_rapid_in", "_trailing", *stitch_cols)
+    return stitched.groupBy(*g).agg(*final_aggs)
+
+
+@column_cache
+def _order_columns(g: tuple[str, ...], seq_col: str, rapid_ms: int):
     w_rows = Window.partitionBy(*g, BUCKET).orderBy(seq_col)
     w_all = Window.partitionBy(*g, BUCKET)
-    rows = b.select(
-        *g,
-        BUCKET,
-        seq_col,
-        "event_ms",
-        "ok",
+    rows_cols = (
         F.lag("event_ms").over(w_rows).alias("_prev_ms"),
         F.max(F.when(F.col("ok"), F.col(seq_col))).over(w_all).alias("_last_ok"),
     )
-    per_bucket = rows.groupBy(*g, BUCKET).agg(
+    bucket_aggs = (
         F.min_by("event_ms", seq_col).alias("_first_ms"),
         F.max_by("event_ms", seq_col).alias("_last_ms"),
         F.count_if((F.col("event_ms") - F.col("_prev_ms")) < rapid_ms).alias("_rapid_in"),
@@ -116,15 +121,11 @@ def answer_order_metrics(
     )
     w_b = Window.partitionBy(*g).orderBy(BUCKET)
     w_g = Window.partitionBy(*g)
-    stitched = per_bucket.select(
-        *g,
-        BUCKET,
-        "_rapid_in",
-        "_trailing",
+    stitch_cols = (
         ((F.col("_first_ms") - F.lag("_last_ms").over(w_b)) < rapid_ms).alias("_rapid_edge"),
         F.max(F.when(F.col("_has_ok") == 1, F.col(BUCKET))).over(w_g).alias("_ok_bkt"),
     )
-    return stitched.groupBy(*g).agg(
+    final_aggs = (
         (F.sum("_rapid_in") + F.count_if(F.col("_rapid_edge"))).cast("bigint").alias("rapid_submissions"),
         F.sum(
             F.when(F.col("_ok_bkt").isNull() | (F.col(BUCKET) >= F.col("_ok_bkt")), F.col("_trailing")).otherwise(0)
@@ -132,6 +133,7 @@ def answer_order_metrics(
         .cast("bigint")
         .alias("consecutive_incorrect"),
     )
+    return rows_cols, bucket_aggs, stitch_cols, final_aggs
 
 
 def answer_positions(

@@ -31,7 +31,7 @@ from learner_scoring.operators.windows import late_records
 from learner_scoring.plans import monitor
 from learner_scoring.plans.pipeline import build_scores, build_state, score_messages, windowed_events, with_zone
 from learner_scoring.sources import decode
-from learner_scoring.sources.fixture import fixture_events, kafka_records, load_events, load_topics
+from learner_scoring.sources.fixture import kafka_records, load_topics, staged_fixture
 from learner_scoring.schemas import QUIZ_ANSWER, SESSION_EVENT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,7 +50,7 @@ def _bigint(*names: str) -> list:
 
 
 def _decoded(spark: SparkSession, sf_dir: str):
-    flat = fixture_events(load_events(spark, sf_dir))
+    flat = staged_fixture(spark, sf_dir)
     quiz_rec, session_rec = kafka_records(flat, defects=True)
     quiz, quiz_bad = decode.split_decoded(decode.decode_json(quiz_rec, QUIZ_ANSWER))
     session, session_bad = decode.split_decoded(decode.decode_json(session_rec, SESSION_EVENT))
