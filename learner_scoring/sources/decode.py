@@ -43,11 +43,21 @@ def decode_json(records: DataFrame, schema: T.StructType, arrival_seq: Column |
         _with_corrupt(schema),
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
     )
+    # The parse runs inside a one-row generator: a filter on the parsed struct
+    # (the good/dead-letter split) cannot be pushed below a generator, so the
+    # optimizer never copies the parse into the filter — each payload is
+    # parsed exactly once.
     p = records.select(
-        F.col("key").cast("string").alias("record_key"),
-        F.col("topic"),
-        parsed.alias("_p"),
-        *transport(arrival_seq),
+        F.inline(
+            F.array(
+                F.struct(
+                    F.col("key").cast("string").alias("record_key"),
+                    F.col("topic"),
+                    parsed.alias("_p"),
+                    *transport(arrival_seq),
+                )
+            )
+        )
     )
     error = (
         F.when(F.col("_p").isNull(), F.lit("empty_payload"))
