@@ -2,55 +2,154 @@
 
 The reference emits a new score whenever a window's state changes (its cache
 merges updates between commits). Without merging, that is one row per record:
-running aggregates over (student, window) in arrival order. All fields are
-window functions over one partitioning, so the plan has a single shuffle; the
-streak uses a finer partition (the running count of correct answers) that the
-same hash partitioning already satisfies.
+running aggregates over (student, window) in arrival order.
+
+A window function partitioned by (student, window) would put a hot group in a
+single task, so the running state is built in two levels:
+
+1. rows, per (group, arrival bucket): running values inside the bucket;
+2. buckets, per group: a small summary row per bucket and its exclusive
+   prefix over earlier buckets (sums, min/max, the last answer time before
+   the bucket, the wrong-answer streak carried into the bucket);
+3. state after a row = prefix of earlier buckets (+) running value in its own
+   bucket.
+
+Only the row level moves all rows (one shuffle on (group, bucket)); the
+summary has one row per (group, bucket).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from learner_scoring import config as C
 from learner_scoring.config import DEFAULT_CONFIG, ScoringConfig
+from learner_scoring.functions import column_cache
 from learner_scoring.functions.scoring import with_metrics, with_score
-from learner_scoring.operators.fold import GROUP
+from learner_scoring.operators.fold import GROUP, SEQ_BUCKET
 
+B = "_bkt"
+SEQ = "arrival_seq"
 
-def running_state(events: DataFrame) -> DataFrame:
-    """State after each record (windowed, valid events in, one row per record out)."""
-    upto = Window.partitionBy(*GROUP).orderBy("arrival_seq").rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*GROUP).orderBy("arrival_seq").rowsBetween(Window.unboundedPreceding, -1)
+
+@column_cache
+def _row_columns() -> tuple[tuple[Column, ...], tuple[Column, ...]]:
+    part = [*GROUP, B]
+    upto = Window.partitionBy(*part).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*part).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, -1)
+    first = Window.partitionBy(*part).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     q = F.col("is_quiz")
     ok = F.coalesce(F.col("is_correct"), F.lit(False))
     routed = q | F.col("is_session")
     prev_answer_ms = F.last(F.when(q, F.col("event_ms")), ignorenulls=True).over(before)
-    step1 = events.select(
-        "*",
-        F.first("session_id").over(upto).alias("state_session_id"),
-        F.count_if(q).over(upto).alias("total_answers"),
-        F.count_if(q & ok).over(upto).alias("correct_answers"),
-        F.count_if(q & ~ok).over(upto).alias("incorrect_answers"),
-        F.count(F.when(q, F.col("time_spent_ms"))).over(upto).alias("n_time_values"),
-        F.coalesce(F.sum(F.when(q, F.col("time_spent_ms"))).over(upto), F.lit(0)).cast("bigint").alias(
-            "total_time_spent"
-        ),
-        F.min(F.when(routed, F.col("event_ms"))).over(upto).alias("first_event_ms"),
-        F.max(F.when(routed, F.col("event_ms"))).over(upto).alias("last_event_ms"),
+    step1 = (
+        F.first("session_id").over(first).alias("_b_session"),
+        F.count_if(q).over(upto).alias("_r_total"),
+        F.count_if(q & ok).over(upto).alias("_r_correct"),
+        F.count_if(q & ~ok).over(upto).alias("_r_incorrect"),
+        F.count(F.when(q, F.col("time_spent_ms"))).over(upto).alias("_r_nt"),
+        F.coalesce(F.sum(F.when(q, F.col("time_spent_ms"))).over(upto), F.lit(0)).cast("bigint").alias("_r_tt"),
+        F.min(F.when(routed, F.col("event_ms"))).over(upto).alias("_r_first"),
+        F.max(F.when(routed, F.col("event_ms"))).over(upto).alias("_r_last"),
         (q & ((F.col("event_ms") - prev_answer_ms) < C.RAPID_SUBMISSION_MS)).alias("_rapid"),
     )
-    since_correct = (
-        Window.partitionBy(*GROUP, "correct_answers").orderBy("arrival_seq").rowsBetween(Window.unboundedPreceding, 0)
+    since_correct = Window.partitionBy(*part, "_r_correct").orderBy(SEQ).rowsBetween(Window.unboundedPreceding, 0)
+    step2 = (
+        F.count_if(F.col("_rapid")).over(upto).alias("_r_rapid"),
+        F.count_if(q & ~ok).over(since_correct).alias("_r_streak"),
+    )
+    return step1, step2
+
+
+_PREFIX_KEEP = ("_p_total", "_p_correct", "_p_incorrect", "_p_nt", "_p_tt", "_p_first", "_p_last", "_edge", "_g_session")
+
+
+@column_cache
+def _bucket_columns() -> tuple[tuple[Column, ...], tuple[Column, ...], tuple[Column, ...]]:
+    q = F.col("is_quiz")
+    ok = F.coalesce(F.col("is_correct"), F.lit(False))
+    answer_seq = F.when(q, F.col(SEQ))
+    # bucket totals = the running values at the bucket's last row
+    summary = (
+        F.max_by("_r_total", SEQ).alias("_n_total"),
+        F.max_by("_r_correct", SEQ).alias("_n_correct"),
+        F.max_by("_r_incorrect", SEQ).alias("_n_incorrect"),
+        F.max_by("_r_nt", SEQ).alias("_n_nt"),
+        F.max_by("_r_tt", SEQ).alias("_n_tt"),
+        F.min("_r_first").alias("_n_first"),
+        F.max("_r_last").alias("_n_last"),
+        F.max_by("_r_rapid", SEQ).alias("_n_rapid"),
+        F.min_by(F.when(q, F.col("event_ms")), answer_seq).alias("_first_answer_ms"),
+        F.max_by(F.when(q, F.col("event_ms")), answer_seq).alias("_last_answer_ms"),
+        F.max((q & ok).cast("int")).alias("_has_ok"),
+        F.max_by("_r_streak", SEQ).alias("_trailing"),
+    )
+    w = Window.partitionBy(*GROUP).orderBy(B)
+    prior = w.rowsBetween(Window.unboundedPreceding, -1)
+    inc_upto = F.sum("_n_incorrect").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    prev_answer = F.last("_last_answer_ms", ignorenulls=True).over(prior)
+    edge = F.coalesce((F.col("_first_answer_ms") - prev_answer) < C.RAPID_SUBMISSION_MS, F.lit(False))
+    step_a = (
+        F.coalesce(F.sum("_n_total").over(prior), F.lit(0)).alias("_p_total"),
+        F.coalesce(F.sum("_n_correct").over(prior), F.lit(0)).alias("_p_correct"),
+        F.coalesce(F.sum("_n_incorrect").over(prior), F.lit(0)).alias("_p_incorrect"),
+        F.coalesce(F.sum("_n_nt").over(prior), F.lit(0)).alias("_p_nt"),
+        F.coalesce(F.sum("_n_tt").over(prior), F.lit(0)).alias("_p_tt"),
+        F.min("_n_first").over(prior).alias("_p_first"),
+        F.max("_n_last").over(prior).alias("_p_last"),
+        edge.cast("int").alias("_edge"),
+        inc_upto.alias("_inc_upto"),
+        F.first("_b_session").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_g_session"),
+    )
+    # streak entering a bucket: trailing run of the last earlier bucket with a
+    # correct answer plus every wrong answer in the buckets after it
+    last_ok = F.last(F.when(F.col("_has_ok") == 1, F.struct("_trailing", "_inc_upto")), ignorenulls=True).over(prior)
+    inc_before = F.coalesce(F.col("_inc_upto") - F.col("_n_incorrect"), F.lit(0))
+    step_b = (
+        F.coalesce(F.sum(F.col("_n_rapid") + F.col("_edge")).over(prior), F.lit(0)).alias("_p_rapid"),
+        F.when(last_ok.isNull(), inc_before)
+        .otherwise(last_ok["_trailing"] + inc_before - last_ok["_inc_upto"])
+        .alias("_carry"),
+    )
+    return summary, step_a, step_b
+
+
+def running_state(events: DataFrame, seq_bucket: int = SEQ_BUCKET) -> DataFrame:
+    """State after each record (windowed, valid events in, one row per record out)."""
+    step1, step2 = _row_columns()
+    rows = (
+        events.withColumn(B, F.floor(F.col(SEQ) / F.lit(seq_bucket)))
+        .select("*", *step1)
+        .select("*", *step2)
+        .drop("_rapid")
+    )
+    summary_aggs, step_a, step_b = _bucket_columns()
+    # _b_session is constant per (group, bucket): a grouping key, not a buffer
+    buckets = rows.groupBy(*GROUP, B, "_b_session").agg(*summary_aggs)
+    prefix = buckets.select("*", *step_a).select(*GROUP, B, *_PREFIX_KEEP, *step_b)
+    joined = rows.join(prefix, [*GROUP, B])
+    seen_answer = F.col("_r_total") > 0
+    return joined.select(
+        *[c for c in events.columns],
+        F.col("_g_session").alias("state_session_id"),
+        (F.col("_p_total") + F.col("_r_total")).alias("total_answers"),
+        (F.col("_p_correct") + F.col("_r_correct")).alias("correct_answers"),
+        (F.col("_p_incorrect") + F.col("_r_incorrect")).alias("incorrect_answers"),
+        (F.col("_p_nt") + F.col("_r_nt")).alias("n_time_values"),
+        (F.col("_p_tt") + F.col("_r_tt")).cast("bigint").alias("total_time_spent"),
+        F.least("_p_first", "_r_first").alias("first_event_ms"),
+        F.greatest("_p_last", "_r_last").alias("last_event_ms"),
+        (F.col("_p_rapid") + F.col("_r_rapid") + F.when(seen_answer, F.col("_edge")).otherwise(0))
+        .cast("bigint")
+        .alias("rapid_submissions"),
+        F.when(F.col("_r_correct") > 0, F.col("_r_streak"))
+        .otherwise(F.col("_carry") + F.col("_r_streak"))
+        .cast("bigint")
+        .alias("consecutive_incorrect"),
     )
-    return step1.select(
-        "*",
-        F.count_if(F.col("_rapid")).over(upto).alias("rapid_submissions"),
-        F.count_if(q & ~ok).over(since_correct).alias("consecutive_incorrect"),
-    ).drop("_rapid")
 
 
-def score_changelog(events: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
+def score_changelog(events: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG, seq_bucket: int = SEQ_BUCKET) -> DataFrame:
     """Running state scored after every record."""
-    return with_score(with_metrics(running_state(events)), cfg)
+    return with_score(with_metrics(running_state(events, seq_bucket)), cfg)
