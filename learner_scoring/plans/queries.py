@@ -249,11 +249,10 @@ def q_pages_visited(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_window_state_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D5 list form (the streaming aggregate) on a static frame: full state
-    including the arrival-ordered answer lists (E6/E7) and skill map."""
-    ev = _events(spark, sf_dir)
-    st = window_state_lists_frame(ev)
+def q_window_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The complete final state per (student, window), from
+    the bucketed batch fold (skill map and page set as canonical text)."""
+    st = build_state(*load_topics(spark, sf_dir), with_skills=True)
     return st.select(
         "student_id",
         "session_id",
@@ -273,20 +272,13 @@ def q_window_state_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
         "total_dwell_time",
         "first_event_ms",
         "last_event_ms",
+        "active_time_ms",
         "unique_skills_attempted",
         A.map_to_text(F.col("skill_tag_attempts")).alias("skill_tag_attempts"),
         F.array_join("pages_visited", ",").alias("pages_visited"),
-        A.list_to_text(F.col("answer_timestamps")).alias("answer_timestamps"),
-        A.list_to_text(F.col("time_spent_values")).alias("time_spent_values"),
     )
 
 
-def window_state_lists_frame(ev: DataFrame) -> DataFrame:
-    from learner_scoring.operators.fold import window_state_lists
-
-    return window_state_lists(ev)
-
-
 # ------------------------------------------------------------ metrics / scores (F, G)
 
 
@@ -443,7 +435,7 @@ def queries() -> dict[str, Query]:
         "rapid_submissions": q_rapid_submissions,
         "skill_attempts": q_skill_attempts,
         "pages_visited": q_pages_visited,
-        "window_state_lists": q_window_state_lists,
+        "window_state": q_window_state,
         "window_metrics": q_window_metrics,
         "pattern_flags": q_pattern_flags,
         "score_components": q_score_components,

@@ -282,12 +282,7 @@ SELECT n.student_id, n.window_start_ms, n.navigation_events, coalesce(pa.n_pages
        coalesce(pa.pages, '') AS pages_visited
 FROM n LEFT JOIN pa ON n.student_id = pa.student_id AND n.window_start_ms = pa.window_start_ms"""
 
-    q["window_state_lists"] = _with(FIXTURE, _state("ev")) + """,
-lists AS (
-  SELECT student_id, window_start_ms,
-         string_agg(CAST(event_ms AS VARCHAR), ',' ORDER BY kafka_offset) AS answer_timestamps,
-         string_agg(CAST(time_spent_ms AS VARCHAR), ',' ORDER BY kafka_offset) AS time_spent_values
-  FROM ev WHERE is_quiz GROUP BY 1, 2),
+    q["window_state"] = _with(FIXTURE, _state("ev")) + """,
 t AS (SELECT student_id, window_start_ms, skill_tag, count(*) AS n
       FROM ev WHERE is_quiz AND skill_tag IS NOT NULL GROUP BY 1, 2, 3),
 sk AS (SELECT student_id, window_start_ms, count(*) AS u,
@@ -310,14 +305,11 @@ SELECT s.student_id, s.session_id, s.window_start_ms, s.window_end_ms,
        c.incorrect_answers, CAST(s.streak AS BIGINT) AS consecutive_incorrect, CAST(s.rapid AS BIGINT) AS rapid_submissions,
        CAST(s.nt AS BIGINT) AS n_time_values, CAST(s.tt AS BIGINT) AS total_time_spent, c.total_hints_used,
        c.navigation_events, c.pause_events, c.resume_events, c.total_dwell_time,
-       s.f AS first_event_ms, s.l AS last_event_ms,
+       s.f AS first_event_ms, s.l AS last_event_ms, coalesce(s.l - s.f, 0) AS active_time_ms,
        coalesce(sk.u, 0) AS unique_skills_attempted, coalesce(sk.m, '') AS skill_tag_attempts,
-       coalesce(pa.pages, '') AS pages_visited,
-       coalesce(li.answer_timestamps, '') AS answer_timestamps,
-       coalesce(li.time_spent_values, '') AS time_spent_values
+       coalesce(pa.pages, '') AS pages_visited
 FROM ev_st s
 JOIN cnt c ON s.student_id = c.student_id AND s.window_start_ms = c.window_start_ms
-LEFT JOIN lists li ON s.student_id = li.student_id AND s.window_start_ms = li.window_start_ms
 LEFT JOIN sk ON s.student_id = sk.student_id AND s.window_start_ms = sk.window_start_ms
 LEFT JOIN pa ON s.student_id = pa.student_id AND s.window_start_ms = pa.window_start_ms"""
 
