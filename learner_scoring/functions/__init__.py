@@ -19,7 +19,10 @@ def column_cache(fn):
         from pyspark import SparkContext
 
         sc = SparkContext._active_spark_context
-        key = (id(sc), args)
+        app = getattr(sc, "_ls_app_id", None)
+        if app is None and sc is not None:
+            app = sc._ls_app_id = sc.applicationId
+        key = (app, args)
         hit = cache.get(key)
         if hit is None:
             hit = cache[key] = fn(*args)

@@ -103,3 +103,36 @@ def test_observed_metrics_and_kafka_frame(spark, scratch):
     assert observed and observed[-1]["scores"]["scores_produced"] == 1
     kf = kafka_frame(latest_scores(spark, f"{scratch}/out")).collect()[0]
     assert kf.key == "s1" and '"trend":"CRITICAL"' in kf.value and '"alertThresholdCrossed":true' in kf.value
+
+
+def test_streaming_decode_splits_dead_letters(spark, scratch):
+    """Kafka-schema records (as files) -> decode -> score stream + dead letters."""
+    from learner_scoring.operators.enrich import split_valid, unified_events
+    from learner_scoring.schemas import QUIZ_ANSWER, SESSION_EVENT
+    from learner_scoring.sources import decode
+    from learner_scoring.sources.fixture import kafka_records, staged_fixture
+
+    qr, sr = kafka_records(staged_fixture(spark, SF001), defects=True)
+    qr.write.parquet(f"{scratch}/quiz_rec")
+    sr.write.parquet(f"{scratch}/session_rec")
+    rq = spark.readStream.schema(qr.schema).parquet(f"{scratch}/quiz_rec")
+    rs = spark.readStream.schema(sr.schema).parquet(f"{scratch}/session_rec")
+    q, qbad = decode.split_decoded(decode.decode_json(rq, QUIZ_ANSWER))
+    s, sbad = decode.split_decoded(decode.decode_json(rs, SESSION_EVENT))
+    _, dead = split_valid(unified_events(q, s))
+    bad = qbad.unionByName(sbad).select("record_key", "reason").unionByName(
+        dead.select("record_key", F.col("invalid_reason").alias("reason"))
+    )
+    dq = start_query(bad, BatchUpsert(f"{scratch}/dead"), f"{scratch}/ckpt_dead", "append", available_now=True)
+    dq.awaitTermination()
+    sq = start_query(stream_scores(q, s), BatchUpsert(f"{scratch}/out"), f"{scratch}/ckpt", available_now=True)
+    sq.awaitTermination()
+    dead_rows = spark.read.parquet(f"{scratch}/dead/batch_id=*").collect()
+    reasons = {r.reason for r in dead_rows}
+    assert {"corrupt_payload", "empty_payload", "null_event_type", "null_student_id"} <= reasons
+    # the stream sends exactly the dead letters the batch decode finds
+    bq, bqbad = decode.split_decoded(decode.decode_json(qr, QUIZ_ANSWER))
+    bs, bsbad = decode.split_decoded(decode.decode_json(sr, SESSION_EVENT))
+    _, bdead = split_valid(unified_events(bq, bs))
+    assert len(dead_rows) == bqbad.count() + bsbad.count() + bdead.count()
+    assert len(_table(spark, scratch)) > 0
