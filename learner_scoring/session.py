@@ -48,3 +48,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_location(spark: SparkSession, name: str) -> str:
     """A per-query streaming checkpoint path under the shared checkpoint root."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+
+
+def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str, str]:
+    """Suggested settings for a large cluster (pass to ``spark-submit --conf``).
+
+    Shuffle partitions start high (about 3 tasks per core) and AQE coalesces
+    them to ~256 MB by measured size; skew splitting is on for joins; scans cut
+    files into 256 MB splits; streaming state lives in RocksDB. Nothing in the
+    library sets these on a running session.
+    """
+    cores = executors * cores_per_executor
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(3 * cores),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
+    }
