@@ -24,7 +24,8 @@ from learner_scoring.schemas import QUIZ_ANSWER, SESSION_EVENT
 from learner_scoring.session import checkpoint_location
 from learner_scoring.sources import decode, kafka
 from learner_scoring.streaming.pipeline import start_query, stream_scores, use_rocksdb_state
-from learner_scoring.streaming.sinks import BatchUpsert, kafka_frame
+from learner_scoring.streaming.observe import observe_scores
+from learner_scoring.streaming.sinks import BatchUpsert, FanOut, KafkaBatchWriter
 
 
 def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
@@ -40,6 +41,7 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--score-topic", default=kafka.SCORE_TOPIC)
     p.add_argument("--out", help="files sink: folder of the score table")
     p.add_argument("--dead-letters", help="folder for undecodable / unfoldable records")
+    p.add_argument("--alerts", help="folder for the alert stream (windows whose score crossed the alert threshold)")
     p.add_argument("--checkpoint-name", default="engagement-scores")
     p.add_argument("--mode", choices=["update", "append"], default="update")
     p.add_argument("--trigger-seconds", type=float, default=1.0)
@@ -68,30 +70,27 @@ def build(spark: SparkSession, a: argparse.Namespace) -> tuple[DataFrame, DataFr
             "record_key", "topic", "kafka_partition", "kafka_offset", "record_ts", F.col("invalid_reason").alias("reason")
         )
     )
-    return stream_scores(quiz, session, DEFAULT_CONFIG), dead
+    # per-micro-batch monitoring (scores, alerts, score range) rides along in the query's own tasks
+    return observe_scores(stream_scores(quiz, session, DEFAULT_CONFIG)), dead
 
 
 def run(spark: SparkSession, argv: list[str] | None = None) -> list[StreamingQuery]:
+    """Start the scoring query (scores + optional alerts from the same
+    micro-batch) and, if asked, the dead-letter query."""
     a = parse_args(argv)
     if a.rocksdb:
         use_rocksdb_state(spark)
     scored, dead = build(spark, a)
     trigger = dict(available_now=True) if a.available_now else dict(processing_time=f"{a.trigger_seconds} seconds")
-    queries = []
     if a.sink == "kafka":
-        w = (
-            kafka_frame(scored)
-            .writeStream.outputMode(a.mode)
-            .format("kafka")
-            .options(**kafka.writer_options(a.bootstrap, a.score_topic))
-            .option("checkpointLocation", checkpoint_location(spark, a.checkpoint_name))
-        )
-        w = w.trigger(availableNow=True) if a.available_now else w.trigger(processingTime=trigger["processing_time"])
-        queries.append(w.start())
+        score_sink = KafkaBatchWriter(kafka.writer_options(a.bootstrap, a.score_topic))
     else:
-        queries.append(
-            start_query(scored, BatchUpsert(a.out), checkpoint_location(spark, a.checkpoint_name), a.mode, **trigger)
-        )
+        score_sink = BatchUpsert(a.out)
+    outputs = [(score_sink, None)]
+    if a.alerts:
+        cols = ["student_id", "session_id", "window_start_ms", "score", "trend", "total_answers"]
+        outputs.append((BatchUpsert(a.alerts, cols), F.col("alert_threshold_crossed")))
+    queries = [start_query(scored, FanOut(*outputs), checkpoint_location(spark, a.checkpoint_name), a.mode, **trigger)]
     if a.dead_letters:
         queries.append(
             start_query(

@@ -40,6 +40,36 @@ class BatchUpsert:
         )
 
 
+class KafkaBatchWriter:
+    """``foreachBatch`` target writing score records to a Kafka topic (at-least-once)."""
+
+    def __init__(self, options: dict[str, str], cfg: ScoringConfig = DEFAULT_CONFIG):
+        self.options = dict(options)
+        self.cfg = cfg
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        kafka_frame(batch, self.cfg).write.format("kafka").options(**self.options).save()
+
+
+class FanOut:
+    """``foreachBatch`` target feeding several sinks from one micro-batch.
+
+    The batch is persisted once so the stateful part of the query runs once
+    per trigger, whatever the number of outputs; each output may filter it.
+    """
+
+    def __init__(self, *outputs):
+        self.outputs = outputs  # (sink, filter Column or None)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for sink, cond in self.outputs:
+                sink(batch if cond is None else batch.filter(cond), batch_id)
+        finally:
+            batch.unpersist()
+
+
 def latest_scores(spark: SparkSession, path: str, keys: tuple[str, ...] = ("student_id", "window_start_ms")) -> DataFrame:
     """Current table state: the row of the latest batch per key."""
     raw = spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/batch_id=*")

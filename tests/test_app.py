@@ -24,6 +24,7 @@ def test_job_scores_and_dead_letters(spark, scratch):
     queries = app.run(spark, [
         "--source", "files", "--quiz-path", f"{scratch}/quiz", "--session-path", f"{scratch}/session",
         "--sink", "files", "--out", f"{scratch}/scores", "--dead-letters", f"{scratch}/dead",
+        "--alerts", f"{scratch}/alerts",
         "--checkpoint-name", f"app-{scratch.rsplit('/', 1)[-1]}", "--available-now",
     ])
     for q in queries:
@@ -38,6 +39,11 @@ def test_job_scores_and_dead_letters(spark, scratch):
     for k in want:
         assert (got[k].score, got[k].trend, got[k].total_answers) == (want[k].score, want[k].trend, want[k].total_answers)
 
+    alerted = {(r.student_id, r.window_start_ms) for r in latest_scores(spark, f"{scratch}/alerts").collect()}
+    assert alerted == {k for k, r in want.items() if r.alert_threshold_crossed}
+    observed = [p["observedMetrics"]["scores"] for p in queries[0].recentProgress if p.get("observedMetrics")]
+    assert sum(m["scores_produced"] for m in observed) == len(want)
+
     _, unfoldable = split_valid(unified_events(q, s))
     dead = spark.read.parquet(f"{scratch}/dead/batch_id=*")
     assert dead.count() == qbad.count() + sbad.count() + unfoldable.count()
