@@ -1,6 +1,5 @@
 """Fold cases as event rows; both fold plans and the changelog must agree."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from learner_scoring.operators.changelog import score_changelog

@@ -1,6 +1,5 @@
 """Permutation property: input row order never matters (arrival_seq does)."""
 
-import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
