@@ -51,3 +51,20 @@ def test_decoded_payload_round_trips(spark):
         for r in flat.filter("event_type = 'quiz.answered'").collect()
     }
     assert got == want
+
+
+def test_score_envelope_ids(spark):
+    """Random ids differ per record; deterministic ids are stable per (student, window)."""
+    from learner_scoring.plans.pipeline import build_scores, score_messages
+    from learner_scoring.sources.fixture import load_topics
+
+    scored = build_scores(*load_topics(spark, SF001))
+    rnd = score_messages(scored, deterministic=False).select("value.envelope.*").collect()
+    assert len({r.id for r in rnd}) == len(rnd) == 179
+    assert {(r.type, r.source, r.specversion) for r in rnd} == {("engagement.scored", "engagement-service", "1.0")}
+    assert all(r.timestamp is not None and r.correlationId is None for r in rnd)
+    def ids():
+        return {(r.key, r.window_start_ms, r.value.envelope.id) for r in score_messages(scored).collect()}
+
+    first, second = ids(), ids()
+    assert first == second and len({i for _, _, i in first}) == 179
