@@ -81,7 +81,8 @@ def strip_confluent_header(value: Column) -> Column:
 
 
 def decode_avro(records: DataFrame, avro_schema_json: str, arrival_seq: Column | None = None) -> DataFrame:
-    """Avro counterpart of ``decode_json`` (needs the spark-avro package at run time)."""
+    """Avro counterpart of ``decode_json``. Needs the spark-avro package on the
+    cluster; without it Spark raises AVRO_NOT_LOADED_SQL_FUNCTIONS_UNUSABLE."""
     try:
         from pyspark.sql.avro.functions import from_avro
     except ImportError as e:  # pragma: no cover - depends on the installation
