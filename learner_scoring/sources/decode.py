@@ -88,7 +88,19 @@ def decode_avro(records: DataFrame, avro_schema_json: str, arrival_seq: Column |
     except ImportError as e:  # pragma: no cover - depends on the installation
         raise RuntimeError("spark-avro is not available in this environment") from e
     parsed = from_avro(strip_confluent_header(F.col("value")), avro_schema_json, {"mode": "PERMISSIVE"})
-    p = records.select(F.col("key").cast("string").alias("record_key"), "topic", parsed.alias("_p"), *transport(arrival_seq))
+    # same one-row generator fence as decode_json: parse once per record
+    p = records.select(
+        F.inline(
+            F.array(
+                F.struct(
+                    F.col("key").cast("string").alias("record_key"),
+                    F.col("topic"),
+                    parsed.alias("_p"),
+                    *transport(arrival_seq),
+                )
+            )
+        )
+    )
     return p.select(
         "record_key",
         "topic",
