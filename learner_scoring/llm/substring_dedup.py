@@ -46,17 +46,35 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
+def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every k neighbouring words."""
+    n = len(h) - k + 1
+    out = h[:n]
+    for j in range(1, k):
+        out = out * np.uint64(_B) + h[j : j + n]
+    return _mix(out)
+
+
+_powers: list[np.ndarray] = []
+
+
+def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse up to the n-th, remembered by the task."""
+    if not _powers or len(_powers[0]) <= n:
+        size = max(n + 1, 1 << 12)
+        _powers[:] = [np.full(size, b, np.uint64) for b in (_B, _B_INV)]
+        for p in _powers:
+            p[0] = 1
+            np.cumprod(p, out=p)
+    return _powers[0], _powers[1]
+
+
 class Rolling:
     """Hashes of word ranges from prefix sums: equal for equal words, wherever they stand."""
 
     def __init__(self, h: np.ndarray):
-        n = len(h)
-        up = np.full(n + 1, _B, np.uint64)
-        up[0] = 1
-        down = np.full(n + 1, _B_INV, np.uint64)
-        down[0] = 1
-        up, self.down = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[:n], dtype=np.uint64)])
+        up, self.down = _powers_to(len(h))
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[: len(h)], dtype=np.uint64)])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _mix((self.sums[end] - self.sums[start]) * self.down[start])
@@ -80,9 +98,8 @@ def segments(words: list[bytes], window: int = WINDOW, gram: int = GRAM):
     n = len(words)
     if n < window:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, bool),)
-    roll = Rolling(word_hashes(words))
-    at = np.arange(n - gram + 1)
-    grams = roll.of(at, at + gram)
+    h = word_hashes(words)
+    roll, grams = Rolling(h), gram_hashes(h, gram)
     low = smallest_gram(grams, window - gram + 1)
     start = np.concatenate([[0], np.flatnonzero(low[1:] != low[:-1]) + 1])
     end = np.concatenate([start[1:], [len(low)]])
