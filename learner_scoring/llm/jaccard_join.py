@@ -14,6 +14,7 @@ meet in a tile are tried against each other.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from learner_scoring.llm.common import arrow_map, cut, raw_texts, ship_by_value, sliced, small
 from learner_scoring.llm.components import connected
-from learner_scoring.llm.substring_dedup import Rolling, word_hashes
+from learner_scoring.llm.substring_dedup import gram_hashes, word_hashes
 
 WORDS = 4
 PERCENT = 85
@@ -32,6 +33,7 @@ PERCENT = 85
 SIG = 8
 #: Hash buckets (a fixed number) whose loads tell frequent shingles from rare ones.
 BUCKET_BITS = 20
+PART_BITS = 14
 #: Buckets above so many times the mean load, plus a margin, come last in the order.
 HEAVY, MARGIN = 2, 8
 #: Rows of one tile that are held at a time.
@@ -45,47 +47,78 @@ def shingle_set(raw: bytes, k: int = WORDS) -> np.ndarray:
     words = raw.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    at = np.arange(max(1, len(words) - k + 1))
-    return np.unique(Rolling(word_hashes(words)).of(at, np.minimum(at + k, len(words))))
+    return np.unique(gram_hashes(word_hashes(words), min(k, len(words))))
 
 
 def signature(h: np.ndarray) -> np.ndarray:
-    """Parity bitmap: bit i is set if an odd number of shingles fall on it."""
-    odd = np.bincount((h & np.uint64(64 * SIG - 1)).astype(np.int64), minlength=64 * SIG) & 1
+    """Parity bitmap: bit i is set if an odd number of shingles fall on it.
+
+    It has ``64 * SIG`` bits, or for larger sets the power of two up to their size.
+    """
+    bits = max(64 * SIG, 1 << max(0, len(h).bit_length() - 1))
+    odd = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def folded(sig: np.ndarray, words: int) -> np.ndarray:
+    """The signature the same set has in fewer 64-bit words."""
+    return np.bitwise_xor.reduce(sig.reshape(-1, words), axis=0)
+
+
+def most_common(x: np.ndarray, y: np.ndarray, n1: int, n2: int) -> int:
+    """Upper bound of the overlap: every differing bit costs one shingle of either set."""
+    w = min(len(x), len(y))
+    return (n1 + n2 - int(np.bitwise_count(folded(x, w) ^ folded(y, w)).sum())) // 2
+
+
 def prefix_length(n: int, percent: int) -> int:
     """Shingles of which a set must share one with any set at the threshold."""
     return n - (percent * n + 99) // 100 + 1
 
 
-def bucket_loads(docs: DataFrame, k: int) -> np.ndarray:
-    """Shingles per hash bucket over all documents; its size is fixed, whatever the data."""
-    size, part = 1 << BUCKET_BITS, 1 << 12
+def _summaries(k: int):
+    """Per document (doc, n, signature); at a task's end its loads, as compressed parts."""
+    size, part = 1 << BUCKET_BITS, 1 << PART_BITS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loads = np.zeros(size, np.uint32)
+
+        def out(docs, n, sigs, full, parts, blobs):
+            cols = [pa.array(docs, pa.int64()), pa.array(n, pa.int64()), *(pa.array(c, pa.int64()) for c in sigs)]
+            cols += [pa.array(full, pa.binary()), pa.array(parts, pa.int32()), pa.array(blobs, pa.binary())]
+            return pa.RecordBatch.from_arrays(cols, names=["doc", "n", *_SIG, "full", "part", "loads"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loads = np.zeros(size, np.int64)
         for b in sliced(batches):
-            hs = [shingle_set(raw, k) for raw in raw_texts(b)]
-            h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
-            loads += np.bincount((h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=size)
-        blobs = [loads[i : i + part].tobytes() for i in range(0, size, part) if loads[i : i + part].any()]
-        at = [i // part for i in range(0, size, part) if loads[i : i + part].any()]
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "loads"])
+            sets = [shingle_set(raw, k) for raw in raw_texts(b)]
+            h = np.concatenate(sets)
+            loads += np.bincount((h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=size).astype(np.uint32)
+            sigs = [signature(x) for x in sets]
+            short = np.stack([folded(x, SIG) for x in sigs])
+            full = [x.tobytes() if len(x) > SIG else None for x in sigs]
+            none = [None] * len(sets)
+            yield out(b.column("doc_id").to_pylist(), [len(x) for x in sets], list(short.T), full, none, none)
+        used = [i for i in range(size // part) if loads[i * part : (i + 1) * part].any()]
+        blobs = [zlib.compress(loads[i * part : (i + 1) * part].tobytes(), 1) for i in used]
+        none = [None] * len(used)
+        yield out(none, none, [none] * SIG, none, used, blobs)
+
+    return run
+
+
+def bucket_loads(parts: DataFrame) -> np.ndarray:
+    """Shingles per hash bucket over all documents; its size is fixed, whatever the data."""
+    size, part = 1 << BUCKET_BITS, 1 << PART_BITS
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for p, raw in zip(b.column("part").to_pylist(), b.column("loads").to_pylist()):
-                sums[p] = sums.get(p, 0) + np.frombuffer(raw, np.int64)
+                sums[p] = sums.get(p, 0) + np.frombuffer(zlib.decompress(raw), np.uint32).astype(np.int64)
         rows = [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())]
         yield pa.RecordBatch.from_arrays(rows, names=["part", "loads"])
 
-    schema = "part int, loads binary"
-    sums = docs.select("text").mapInArrow(count, schema).repartition("part").mapInArrow(add, schema)
     loads = np.zeros(size, np.int64)
-    for r in sums.collect():  # 2**BUCKET_BITS numbers
+    for r in parts.repartition("part").mapInArrow(add, "part int, loads binary").collect():  # 2**BUCKET_BITS numbers
         loads[r["part"] * part : (r["part"] + 1) * part] = np.frombuffer(r["loads"], np.int64)
     return loads
 
@@ -182,14 +215,6 @@ def _tile_rows(percent: int):
     return run
 
 
-def _signatures(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
-    sets = [shingle_set(raw, k) for raw in raw_texts(batch)]
-    sigs = np.stack([signature(h) for h in sets])
-    cols = [batch.column("doc_id"), pa.array([len(h) for h in sets], pa.int64())]
-    cols += [pa.array(np.ascontiguousarray(sigs[:, i])) for i in range(SIG)]
-    return pa.RecordBatch.from_arrays(cols, names=["doc", "n", *_SIG])
-
-
 def _reaches(common, n1, n2, percent: int):
     return 100 * common >= percent * (n1 + n2 - common)
 
@@ -202,6 +227,25 @@ def _may_link(x: str, y: str, percent: int):
     return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & _reaches(most, n1, n2, percent)
 
 
+def _bounded(pairs: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the longer signatures of larger sets leave."""
+    long = sig.filter("full is not null").select("doc", "n", "full")
+    met = pairs.join(long.toDF("a", "n1", "f1"), "a", "left").join(long.toDF("b", "n2", "f2"), "b", "left")
+
+    def test(b: pa.RecordBatch) -> pa.RecordBatch:
+        ok = []
+        for n1, n2, x, y in zip(*(b.column(c).to_pylist() for c in ("n1", "n2", "f1", "f2"))):
+            # a set without a longer signature has passed with its short one
+            ok.append(not x or not y or _reaches(most_common(np.frombuffer(x, np.int64), np.frombuffer(y, np.int64), n1, n2), n1, n2, percent))
+        return b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return arrow_map(met, test, "a long, b long").distinct()
+
+
+def _pair():
+    return F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets reach the threshold, by exact intersection."""
     asked = cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
@@ -211,7 +255,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
         hs = [shingle_set(raw, k).tobytes() for raw in raw_texts(b)]
         return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(hs, pa.binary())], names=["doc", "h"])
 
-    arrays = arrow_map(some, sets, "doc long, h binary").dropDuplicates()
+    arrays = arrow_map(some, sets, "doc long, h binary")
     one = arrays.select(F.col("doc").alias("a"), F.col("h").alias("ha"))
     two = arrays.select(F.col("doc").alias("b"), F.col("h").alias("hb"))
 
@@ -239,10 +283,12 @@ def linked(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame
     spark = docs.sparkSession
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = narrow.filter("doc_id is not null")
-    sizes = cut(arrow_map(narrow, lambda b: _signatures(b, k), f"doc long, n long, {', '.join(f'{c} long' for c in _SIG)}"))
+    schema = f"doc long, n long, {', '.join(f'{c} long' for c in _SIG)}, full binary, part int, loads binary"
+    told = cut(narrow.mapInArrow(_summaries(k), schema))
+    sizes = told.filter("part is null").drop("part", "loads")
     sig = sizes.filter("doc is not null and n > 0").distinct()
 
-    hot = spark.sparkContext.broadcast(np.packbits(frequent(bucket_loads(narrow, k))))
+    hot = spark.sparkContext.broadcast(np.packbits(frequent(bucket_loads(told.filter("part is not null").select("part", "loads")))))
     prefixes = known.mapInArrow(_prefix_rows(hot, k, percent), "token long, doc long, n long")
     sorted_rows = prefixes.repartition("token").sortWithinPartitions("token", "n", "doc")
     tiles = cut(sorted_rows.mapInArrow(_tile_rows(percent), "token long, n long, doc long, own long, low long"))
@@ -251,8 +297,9 @@ def linked(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame
     met = tiles.filter("n > 0")
     star = met.select("doc", F.explode(F.array_distinct(F.array("own", "low"))).alias("other")).filter("doc <> other")
     star = cut(star.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct())
-    near = star.join(sig.alias("x"), F.col("a") == F.col("x.doc")).join(sig.alias("y"), F.col("b") == F.col("y.doc"))
-    near = cut(near.filter(_may_link("x", "y", percent)).select("a", "b").distinct())
+    short = sig.drop("full")
+    near = star.join(short.alias("x"), F.col("a") == F.col("x.doc")).join(short.alias("y"), F.col("b") == F.col("y.doc"))
+    near = cut(_bounded(near.filter(_may_link("x", "y", percent)).select("a", "b").distinct(), sig, percent))
     links = cut(copies.union(_verified(near, known, k, percent)))
     comps = connected(links)
 
@@ -261,12 +308,12 @@ def linked(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame
     rows = met.select("token", "doc", "n").distinct().join(of_doc, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
     shares = rows.groupBy("token", "comp").agg(F.count("*").alias("c"))
     tops = shares.groupBy("token").agg(F.max(F.struct("c", "comp"))["comp"].alias("top"), F.count("*").alias("comps")).filter("comps > 1")
-    mixed = rows.drop("n").join(tops.drop("comps"), "token").join(sig, "doc")
+    mixed = rows.drop("n").join(tops.drop("comps"), "token").join(short, "doc")
     x, y = mixed.filter("comp <> top").alias("x"), mixed.alias("y")
     meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp"))
     once = (F.col("y.comp") == F.col("y.top")) | (F.col("x.doc") < F.col("y.doc"))
     rest = x.join(y, meet & once & _may_link("x", "y", percent))
-    rest = rest.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+    rest = _bounded(rest.select(*_pair()).distinct(), sig, percent)
     rest = cut(rest.join(near, ["a", "b"], "left_anti"))
     more = cut(_verified(rest, known, k, percent))
     if not more.isEmpty():
