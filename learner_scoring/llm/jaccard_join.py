@@ -32,8 +32,8 @@ PERCENT = 85
 #: 64-bit words of a bitmap signature.
 SIG = 8
 #: Hash buckets (a fixed number) whose loads tell frequent shingles from rare ones.
-BUCKET_BITS = 20
-PART_BITS = 14
+BUCKET_BITS = 24
+PART_BITS = 16
 #: Buckets above so many times the mean load, plus a margin, come last in the order.
 HEAVY, MARGIN = 2, 8
 #: Rows of one tile that are held at a time.
@@ -91,12 +91,13 @@ def _summaries(k: int):
         for b in sliced(batches):
             sets = [shingle_set(raw, k) for raw in raw_texts(b)]
             h = np.concatenate(sets)
-            loads += np.bincount((h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=size).astype(np.uint32)
+            np.add.at(loads, (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
             sigs = [signature(x) for x in sets]
             short = np.stack([folded(x, SIG) for x in sigs])
             full = [x.tobytes() if len(x) > SIG else None for x in sigs]
             none = [None] * len(sets)
             yield out(b.column("doc_id").to_pylist(), [len(x) for x in sets], list(short.T), full, none, none)
+        loads = np.minimum(loads, 0xFFFF).astype(np.uint16)  # a task that meets more has settled the bucket
         used = [i for i in range(size // part) if loads[i * part : (i + 1) * part].any()]
         blobs = [zlib.compress(loads[i * part : (i + 1) * part].tobytes(), 1) for i in used]
         none = [None] * len(used)
@@ -105,36 +106,32 @@ def _summaries(k: int):
     return run
 
 
-def bucket_loads(parts: DataFrame) -> np.ndarray:
-    """Shingles per hash bucket over all documents; its size is fixed, whatever the data."""
-    size, part = 1 << BUCKET_BITS, 1 << PART_BITS
+def frequent_buckets(parts: DataFrame, least: float) -> np.ndarray:
+    """Bit map of the buckets with a load above ``least``; 2**BUCKET_BITS bits, whatever the data."""
+    part = 1 << PART_BITS
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for p, raw in zip(b.column("part").to_pylist(), b.column("loads").to_pylist()):
-                sums[p] = sums.get(p, 0) + np.frombuffer(zlib.decompress(raw), np.uint32).astype(np.int64)
-        rows = [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())]
-        yield pa.RecordBatch.from_arrays(rows, names=["part", "loads"])
-
-    loads = np.zeros(size, np.int64)
-    for r in parts.repartition("part").mapInArrow(add, "part int, loads binary").collect():  # 2**BUCKET_BITS numbers
-        loads[r["part"] * part : (r["part"] + 1) * part] = np.frombuffer(r["loads"], np.int64)
-    return loads
-
+                sums[p] = sums.get(p, 0) + np.frombuffer(zlib.decompress(raw), np.uint16).astype(np.int64)
+        rows = [pa.array(list(sums), pa.int32()), pa.array([np.packbits(v > least).tobytes() for v in sums.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(rows, names=["part", "bits"])
 
-def frequent(loads: np.ndarray) -> np.ndarray:
-    return loads > HEAVY * loads.mean() + MARGIN
+    out = np.zeros((1 << (BUCKET_BITS - PART_BITS), part // 8), np.uint8)
+    for r in parts.repartition("part").mapInArrow(add, "part int, bits binary").collect():
+        out[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
 
 
 def _prefix_rows(hot, k: int, percent: int):
-    """(token, doc, n) of each document's first shingles; a text's second copy in a task is (first, doc, -1)."""
+    """(token, doc, n, pos) of each document's first shingles; a text's second copy in a task is (first, doc, -1, 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(hot.value).astype(bool)
         first: dict[bytes, int] = {}
         for b in sliced(batches):
-            tokens, docs, sizes = [], [], []
+            tokens, docs, sizes, places = [], [], [], []
             for doc, raw in zip(b.column("doc_id").to_pylist(), raw_texts(b)):
                 words = raw.lower().split()
                 if not words:
@@ -144,6 +141,7 @@ def _prefix_rows(hot, k: int, percent: int):
                     tokens.append(np.array([rep]))
                     docs.append(np.array([doc]))
                     sizes.append(np.array([-1]))
+                    places.append(np.array([0]))
                     continue
                 h = shingle_set(raw, k)
                 late = bits[(h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
@@ -155,9 +153,10 @@ def _prefix_rows(hot, k: int, percent: int):
                 tokens.append(chosen.view(np.int64))
                 docs.append(np.full(p, doc, np.int64))
                 sizes.append(np.full(p, n, np.int64))
+                places.append(np.arange(p))
             if tokens:
-                cols = [pa.array(np.concatenate(c), pa.int64()) for c in (tokens, docs, sizes)]
-                yield pa.RecordBatch.from_arrays(cols, names=["token", "doc", "n"])
+                cols = [pa.array(np.concatenate(c), pa.int64()) for c in (tokens, docs, sizes, places)]
+                yield pa.RecordBatch.from_arrays(cols, names=["token", "doc", "n", "pos"])
 
     return run
 
@@ -166,11 +165,11 @@ def _tile_rows(percent: int):
     """Rows sorted by (token, n): those of tiles with company, with the pivots of their own and the next lower band."""
     width = -math.log(percent / 100) if percent < 100 else 1e-9
 
-    def settle(t: np.ndarray, n: np.ndarray, d: np.ndarray):
+    def settle(t: np.ndarray, n: np.ndarray, d: np.ndarray, p: np.ndarray):
         new = np.concatenate([[True], t[1:] != t[:-1]])
         tile = np.cumsum(new) - 1
         alone = np.bincount(tile)[tile] == 1
-        t, n, d, tile = t[~alone], n[~alone], d[~alone], tile[~alone]
+        t, n, d, p, tile = t[~alone], n[~alone], d[~alone], p[~alone], tile[~alone]
         if not len(t):
             return None
         band = np.floor(np.log(n) / width).astype(np.int64)
@@ -181,36 +180,36 @@ def _tile_rows(percent: int):
         fits = np.concatenate([[False], (tile[at][1:] == tile[at][:-1]) & (band[at][1:] == band[at][:-1] + 1)])
         own = d[at][run]
         low = np.where(fits, d[at][lower], d[at])[run]
-        return t, n, d, own, low, run, at
+        return t, n, d, p, own, low, at
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 3
+        held = [np.zeros(0, np.int64)] * 4
 
         def out(cols):
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "n", "doc", "own", "low"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["token", "n", "doc", "pos", "own", "low"])
 
         for b in batches:
-            t, n, d = (b.column(c).to_numpy() for c in ("token", "n", "doc"))
+            t, n, d, p = (b.column(c).to_numpy() for c in ("token", "n", "doc", "pos"))
             copy = n < 0
             if copy.any():
-                yield out((t[copy], n[copy], d[copy], t[copy], t[copy]))
-            t, n, d = (np.concatenate([h, x[~copy]]) for h, x in zip(held, (t, n, d)))
+                yield out((t[copy], n[copy], d[copy], p[copy], t[copy], t[copy]))
+            t, n, d, p = (np.concatenate([h, x[~copy]]) for h, x in zip(held, (t, n, d, p)))
             if not len(t):
                 continue
-            whole = int(np.searchsorted(t != t[-1], False)) if (t == t[-1]).all() else len(t) - int((t == t[-1])[::-1].argmin())
+            last = t == t[-1]
+            whole = 0 if last.all() else len(t) - int(last[::-1].argmin())
             if len(t) - whole > TILE_ROWS:  # a long tile: settle what is there and go on with its last pivots
-                done = settle(t, n, d)
-                yield out(done[:5])
-                keep = done[6][-2:]
-                held = [x[keep] for x in (done[0], done[1], done[2])]
+                done = settle(t, n, d, p)
+                yield out(done[:6])
+                held = [x[done[6][-2:]] for x in done[:4]]
                 continue
-            done = settle(t[:whole], n[:whole], d[:whole]) if whole else None
+            done = settle(t[:whole], n[:whole], d[:whole], p[:whole]) if whole else None
             if done:
-                yield out(done[:5])
-            held = [t[whole:], n[whole:], d[whole:]]
+                yield out(done[:6])
+            held = [t[whole:], n[whole:], d[whole:], p[whole:]]
         done = settle(*held) if len(held[0]) else None
         if done:
-            yield out(done[:5])
+            yield out(done[:6])
 
     return run
 
@@ -288,10 +287,11 @@ def linked(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame
     sizes = told.filter("part is null").drop("part", "loads")
     sig = sizes.filter("doc is not null and n > 0").distinct()
 
-    hot = spark.sparkContext.broadcast(np.packbits(frequent(bucket_loads(told.filter("part is not null").select("part", "loads")))))
-    prefixes = known.mapInArrow(_prefix_rows(hot, k, percent), "token long, doc long, n long")
+    load = (sizes.agg(F.sum("n")).first()[0] or 0) / (1 << BUCKET_BITS)
+    hot = spark.sparkContext.broadcast(frequent_buckets(told.filter("part is not null").select("part", "loads"), HEAVY * load + MARGIN))
+    prefixes = known.mapInArrow(_prefix_rows(hot, k, percent), "token long, doc long, n long, pos long")
     sorted_rows = prefixes.repartition("token").sortWithinPartitions("token", "n", "doc")
-    tiles = cut(sorted_rows.mapInArrow(_tile_rows(percent), "token long, n long, doc long, own long, low long"))
+    tiles = cut(sorted_rows.mapInArrow(_tile_rows(percent), "token long, n long, doc long, pos long, own long, low long"))
 
     copies = tiles.filter("n < 0").select(F.col("doc").alias("a"), F.col("token").alias("b"))
     met = tiles.filter("n > 0")
@@ -305,14 +305,17 @@ def linked(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame
 
     # tiles that still hold several components: the rows outside the tile's largest one against all of other components
     of_doc = comps.select(F.col("id").alias("doc"), "comp")
-    rows = met.select("token", "doc", "n").distinct().join(of_doc, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+    rows = met.select("token", "doc", "n", "pos").distinct().join(of_doc, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
     shares = rows.groupBy("token", "comp").agg(F.count("*").alias("c"))
     tops = shares.groupBy("token").agg(F.max(F.struct("c", "comp"))["comp"].alias("top"), F.count("*").alias("comps")).filter("comps > 1")
     mixed = rows.drop("n").join(tops.drop("comps"), "token").join(short, "doc")
     x, y = mixed.filter("comp <> top").alias("x"), mixed.alias("y")
     meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp"))
     once = (F.col("y.comp") == F.col("y.top")) | (F.col("x.doc") < F.col("y.doc"))
-    rest = x.join(y, meet & once & _may_link("x", "y", percent))
+    # at their first common shingle, no more than what is left of either set is common
+    need = percent * (F.col("x.n") + F.col("y.n"))
+    first = ((100 + percent) * (F.col("x.n") - F.col("x.pos")) >= need) & ((100 + percent) * (F.col("y.n") - F.col("y.pos")) >= need)
+    rest = x.join(y, meet & once & first & _may_link("x", "y", percent))
     rest = _bounded(rest.select(*_pair()).distinct(), sig, percent)
     rest = cut(rest.join(near, ["a", "b"], "left_anti"))
     more = cut(_verified(rest, known, k, percent))
