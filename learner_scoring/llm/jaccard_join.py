@@ -227,9 +227,12 @@ def _may_link(x: str, y: str, percent: int):
 
 
 def _bounded(pairs: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that the longer signatures of larger sets leave."""
+    """The pairs (a, b) whose signatures leave room for the threshold: short ones first, then those of larger sets."""
+    short = sig.drop("full")
+    near = pairs.join(short.alias("x"), F.col("a") == F.col("x.doc")).join(short.alias("y"), F.col("b") == F.col("y.doc"))
+    near = near.filter(_may_link("x", "y", percent)).select("a", "b").distinct()
     long = sig.filter("full is not null").select("doc", "n", "full")
-    met = pairs.join(long.toDF("a", "n1", "f1"), "a", "left").join(long.toDF("b", "n2", "f2"), "b", "left")
+    met = near.join(long.toDF("a", "n1", "f1"), "a", "left").join(long.toDF("b", "n2", "f2"), "b", "left")
 
     def test(b: pa.RecordBatch) -> pa.RecordBatch:
         ok = []
@@ -241,10 +244,6 @@ def _bounded(pairs: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
     return arrow_map(met, test, "a long, b long").distinct()
 
 
-def _pair():
-    return F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")
-
-
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets reach the threshold, by exact intersection."""
     asked = cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
@@ -297,27 +296,25 @@ def linked(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame
     met = tiles.filter("n > 0")
     star = met.select("doc", F.explode(F.array_distinct(F.array("own", "low"))).alias("other")).filter("doc <> other")
     star = cut(star.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct())
-    short = sig.drop("full")
-    near = star.join(short.alias("x"), F.col("a") == F.col("x.doc")).join(short.alias("y"), F.col("b") == F.col("y.doc"))
-    near = cut(_bounded(near.filter(_may_link("x", "y", percent)).select("a", "b").distinct(), sig, percent))
+    near = cut(_bounded(star, sig, percent))
     links = cut(copies.union(_verified(near, known, k, percent)))
     comps = connected(links)
 
     # tiles that still hold several components: the rows outside the tile's largest one against all of other components
-    of_doc = comps.select(F.col("id").alias("doc"), "comp")
-    rows = met.select("token", "doc", "n", "pos").distinct().join(of_doc, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-    shares = rows.groupBy("token", "comp").agg(F.count("*").alias("c"))
-    tops = shares.groupBy("token").agg(F.max(F.struct("c", "comp"))["comp"].alias("top"), F.count("*").alias("comps")).filter("comps > 1")
-    mixed = rows.drop("n").join(tops.drop("comps"), "token").join(short, "doc")
+    moved = small(comps.filter("id <> comp").select(F.col("id").alias("doc"), "comp"))
+    rows = met.select("token", "doc", "n", "pos").join(moved, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+    tops = rows.groupBy("token").agg(F.mode("comp").alias("top"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    mixed = rows.join(tops.filter("lo < hi").select("token", "top"), "token")
     x, y = mixed.filter("comp <> top").alias("x"), mixed.alias("y")
     meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp"))
     once = (F.col("y.comp") == F.col("y.top")) | (F.col("x.doc") < F.col("y.doc"))
+    fits = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
     # at their first common shingle, no more than what is left of either set is common
     need = percent * (F.col("x.n") + F.col("y.n"))
     first = ((100 + percent) * (F.col("x.n") - F.col("x.pos")) >= need) & ((100 + percent) * (F.col("y.n") - F.col("y.pos")) >= need)
-    rest = x.join(y, meet & once & first & _may_link("x", "y", percent))
-    rest = _bounded(rest.select(*_pair()).distinct(), sig, percent)
-    rest = cut(rest.join(near, ["a", "b"], "left_anti"))
+    rest = x.join(y, meet & once & fits & first)
+    rest = rest.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+    rest = cut(_bounded(rest.join(near, ["a", "b"], "left_anti"), sig, percent))
     more = cut(_verified(rest, known, k, percent))
     if not more.isEmpty():
         comps = connected(comps.filter("id <> comp").select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more))
