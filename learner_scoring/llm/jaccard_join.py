@@ -7,8 +7,9 @@ shingle flips one bit, bounds the overlap from above by counting differing bits;
 pairs that pass are settled by intersecting the sorted shingle arrays.
 
 Components need no list of all pairs: first every document of a tile is tried
-against the tile's pivot; then only documents of different components that still
-meet in a tile are tried against each other.
+against the tile's pivot, then documents beside a large component against some
+of its members; at last only documents of different components that still meet
+in a tile are tried against each other.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ BUCKET_BITS = 24
 PART_BITS = 16
 #: Buckets above so many times the mean load, plus a margin, come last in the order.
 HEAVY, MARGIN = 2, 8
+#: Documents that make a component large.
+LARGE = 4
 #: Rows of one tile that are held at a time.
 TILE_ROWS = 1 << 18
 
@@ -218,10 +221,10 @@ def _reaches(common, n1, n2, percent: int):
     return 100 * common >= percent * (n1 + n2 - common)
 
 
-def _may_link(x: str, y: str, percent: int):
+def _may_link(x: str, y: str, percent: int, words: int = SIG):
     """Sizes fit, and the differing signature bits leave room for the overlap."""
     n1, n2 = F.col(f"{x}.n"), F.col(f"{y}.n")
-    apart = sum((F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in _SIG[1:]), F.bit_count(F.col(f"{x}.b0").bitwiseXOR(F.col(f"{y}.b0"))))
+    apart = sum((F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in _SIG[1:words]), F.bit_count(F.col(f"{x}.b0").bitwiseXOR(F.col(f"{y}.b0"))))
     most = F.floor((n1 + n2 - apart) / 2)
     return (100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)) & _reaches(most, n1, n2, percent)
 
@@ -244,6 +247,12 @@ def _bounded(pairs: DataFrame, sig: DataFrame, percent: int) -> DataFrame:
     return arrow_map(met, test, "a long, b long").distinct()
 
 
+def _rows_by_component(met: DataFrame, comps: DataFrame) -> DataFrame:
+    """Tile rows with their document's component."""
+    moved = small(comps.filter("id <> comp").select(F.col("id").alias("doc"), "comp"))
+    return met.join(moved, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets reach the threshold, by exact intersection."""
     asked = cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
@@ -300,24 +309,43 @@ def linked(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame
     links = cut(copies.union(_verified(near, known, k, percent)))
     comps = connected(links)
 
+    met = met.select("token", "doc", "n", "pos")
+    tried = near
+
+    def settle(pairs: DataFrame, comps: DataFrame, tried: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Components and pairs tried after the given pairs, each tried once."""
+        rest = cut(_bounded(pairs.join(tried, ["a", "b"], "left_anti"), sig, percent))
+        more = cut(_verified(rest, known, k, percent))
+        if not more.isEmpty():
+            comps = connected(comps.filter("id <> comp").select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more))
+        return comps, tried.union(rest)
+
+    pair = F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")
+    fits = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+
+    # documents that met a large component are tried against one of its members in each tile, another in every tile
+    rows = _rows_by_component(met, comps)
+    large = small(cut(comps.groupBy("comp").agg(F.count("*").alias("c")).filter(F.col("c") >= LARGE).select("comp")))
+    picks = rows.join(large, "comp", "left_semi").groupBy("token", "comp").agg(
+        F.min_by(F.struct("doc", "n"), F.xxhash64("doc", "token")).alias("p")
+    )
+    picks = picks.select("token", "comp", "p.*")
+    some = rows.alias("x").join(picks.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp")) & fits)
+    comps, tried = settle(some.select(*pair).distinct(), comps, tried)
+
     # tiles that still hold several components: the rows outside the tile's largest one against all of other components
-    moved = small(comps.filter("id <> comp").select(F.col("id").alias("doc"), "comp"))
-    rows = met.select("token", "doc", "n", "pos").join(moved, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
+    rows = _rows_by_component(met, comps)
     tops = rows.groupBy("token").agg(F.mode("comp").alias("top"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    mixed = rows.join(tops.filter("lo < hi").select("token", "top"), "token")
+    quick = sig.select("doc", *[F.col(_SIG[i]).bitwiseXOR(F.col(_SIG[i + SIG // 2])).alias(_SIG[i]) for i in range(SIG // 2)])
+    mixed = rows.join(tops.filter("lo < hi").select("token", "top"), "token").join(quick, "doc")
     x, y = mixed.filter("comp <> top").alias("x"), mixed.alias("y")
     meet = (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp"))
     once = (F.col("y.comp") == F.col("y.top")) | (F.col("x.doc") < F.col("y.doc"))
-    fits = 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
     # at their first common shingle, no more than what is left of either set is common
     need = percent * (F.col("x.n") + F.col("y.n"))
     first = ((100 + percent) * (F.col("x.n") - F.col("x.pos")) >= need) & ((100 + percent) * (F.col("y.n") - F.col("y.pos")) >= need)
-    rest = x.join(y, meet & once & fits & first)
-    rest = rest.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
-    rest = cut(_bounded(rest.join(near, ["a", "b"], "left_anti"), sig, percent))
-    more = cut(_verified(rest, known, k, percent))
-    if not more.isEmpty():
-        comps = connected(comps.filter("id <> comp").select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more))
+    rest = x.join(y, meet & once & first & _may_link("x", "y", percent, SIG // 2))
+    comps, _ = settle(rest.select(*pair).distinct(), comps, tried)
     out = sizes.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"))
     out = out.join(comps.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"))
