@@ -23,8 +23,8 @@ from learner_scoring.llm.common import ship_by_value, sliced
 #: Code points of a chunk without its overlap, and of the overlap behind it.
 CHUNK = 1 << 15
 OVERLAP = 1 << 10
-#: Pre-tokens whose ids a task remembers before it starts anew.
-CACHE = 1 << 18
+#: Pre-tokens whose ids a worker remembers: the first it meets, which are the frequent ones.
+CACHE = 1 << 19
 
 
 def read_ranks(spark: SparkSession, path: str) -> list[bytes]:
@@ -41,33 +41,38 @@ def read_ranks(spark: SparkSession, path: str) -> list[bytes]:
 
 
 class Codec:
-    """Encoder and decoder over one vocabulary; remembers the ids of pre-tokens."""
+    """Encoder and decoder over one vocabulary; remembers the ids of pre-tokens.
+
+    It is sent as a broadcast, so a worker's tasks share what it remembers.
+    """
 
     def __init__(self, tokens: list[bytes], pattern: str):
         import regex
 
         self.tokens = tokens
+        self.names = [str(i) for i in range(len(tokens))]
         self.rank = {t: i for i, t in enumerate(tokens)}
         self.pattern = regex.compile(pattern)
         self.cache: dict[str, list[int]] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: the pair of lowest rank is merged, leftmost first, until none is left."""
-        if piece in self.rank:
-            return [self.rank[piece]]
+        rank, none = self.rank, len(self.tokens)
+        if piece in rank:
+            return [rank[piece]]
         parts = [piece[i : i + 1] for i in range(len(piece))]
         if len(parts) > 256:
             return self._merge_long(parts)
-        rank = self.rank
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = rank.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                return [rank[p] for p in parts]
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        pairs = [rank.get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pairs and (best := min(pairs)) < none:
+            i = pairs.index(best)
+            parts[i : i + 2] = [whole := parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = rank.get(whole + parts[i + 1], none)
+            if i:
+                pairs[i - 1] = rank.get(parts[i - 1] + whole, none)
+        return [rank[p] for p in parts]
 
     def _merge_long(self, parts: list[bytes]) -> list[int]:
         """The same for long pre-tokens, with a heap over a linked list."""
@@ -105,9 +110,7 @@ class Codec:
             ids = cache.get(p)
             if ids is None:
                 ids = self.merge(p.encode())
-                if len(cache) >= CACHE:
-                    cache.clear()
-                if len(p) <= 64:
+                if len(cache) < CACHE and len(p) <= 64:
                     cache[p] = ids
             out += ids
         return out
@@ -156,7 +159,7 @@ def stitch(codec: Codec, chunks: list[tuple[int, str, list[int]]]) -> Iterator[s
 
 
 def _digest(codec: Codec, ids: list[int]) -> tuple[int, str, str]:
-    names = ",".join(map(str, ids))
+    names = ",".join([codec.names[i] for i in ids])
     return len(ids), hashlib.sha256(names.encode()).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()
 
 
@@ -170,20 +173,17 @@ def encoded(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fal
     adds the ids themselves.
     """
     spark = docs.sparkSession
-    tokens = spark.sparkContext.broadcast(read_ranks(spark, vocabulary))
+    shared = spark.sparkContext.broadcast(Codec(read_ranks(spark, vocabulary), pattern))
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"
     narrow = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(tokens.value, pattern)
-        for b in map_slices(batches):
+        codec = shared.value
+        for b in sliced(batches):
             ids = [codec.encode(t) for t in b.column("text").to_pylist()]
             yield result(b.column("doc_id"), codec, ids)
 
-    def map_slices(batches):
-        yield from sliced(batches)
-
     def result(doc_ids: pa.Array, codec: Codec, ids: list[list[int]]) -> pa.RecordBatch:
         n, a, d = zip(*(_digest(codec, x) for x in ids))
         cols = [doc_ids, pa.array(n, pa.int64()), pa.array(a), pa.array(d)]
@@ -210,9 +210,7 @@ def encoded(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fal
     chunks = long.mapInArrow(cut_up, head).repartition("key", "start")
 
     def pretokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        find = regex.compile(pattern).finditer
+        find = shared.value.pattern.finditer
         for b in sliced(batches):
             parts = b.column("part").to_pylist()
             bounds = [[m.start() for m in find(p)] + [len(p)] for p in parts]
@@ -220,7 +218,7 @@ def encoded(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fal
 
     def join_up(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("start")
-        codec = Codec(tokens.value, pattern)
+        codec = shared.value
         chunks = [(int(s), p, list(map(int, b))) for s, p, b in zip(rows.start, rows.part, rows.bounds)]
         ids: list[int] = []
         for piece in stitch(codec, chunks):
