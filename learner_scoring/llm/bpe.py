@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from learner_scoring.llm.common import ship_by_value, sliced
@@ -27,7 +27,7 @@ OVERLAP = 1 << 10
 CACHE = 1 << 19
 
 
-def read_ranks(spark: SparkSession, path: str) -> list[bytes]:
+def read_ranks(path: str) -> list[bytes]:
     """The vocabulary in rank order; a file of one base64 token and its rank a line.
 
     The vocabulary's size bounds what is read here and sent to the executors.
@@ -40,20 +40,19 @@ def read_ranks(spark: SparkSession, path: str) -> list[bytes]:
     return [t for _, t in ranked]
 
 
-class Codec:
-    """Encoder and decoder over one vocabulary; remembers the ids of pre-tokens.
+def codec_state(tokens: list[bytes]) -> dict:
+    """What a codec keeps, as plain values; sent as a broadcast, so a worker's tasks share the remembered ids."""
+    return {"tokens": tokens, "names": [str(i) for i in range(len(tokens))], "rank": {t: i for i, t in enumerate(tokens)}, "cache": {}}
 
-    It is sent as a broadcast, so a worker's tasks share what it remembers.
-    """
 
-    def __init__(self, tokens: list[bytes], pattern: str):
+class Codec:
+    """Encoder and decoder over one vocabulary; remembers the ids of pre-tokens in its state."""
+
+    def __init__(self, state: dict, pattern: str):
         import regex
 
-        self.tokens = tokens
-        self.names = [str(i) for i in range(len(tokens))]
-        self.rank = {t: i for i, t in enumerate(tokens)}
+        self.tokens, self.names, self.rank, self.cache = (state[k] for k in ("tokens", "names", "rank", "cache"))
         self.pattern = regex.compile(pattern)
-        self.cache: dict[str, list[int]] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token: the pair of lowest rank is merged, leftmost first, until none is left."""
@@ -172,14 +171,13 @@ def encoded(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fal
     tokens); equal rows give equal rows; a null doc_id stays null. ``keep_ids``
     adds the ids themselves.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(Codec(read_ranks(spark, vocabulary), pattern))
+    shared = docs.sparkSession.sparkContext.broadcast(codec_state(read_ranks(vocabulary)))
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"
     narrow = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = shared.value
+        codec = Codec(shared.value, pattern)
         for b in sliced(batches):
             ids = [codec.encode(t) for t in b.column("text").to_pylist()]
             yield result(b.column("doc_id"), codec, ids)
@@ -210,7 +208,7 @@ def encoded(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fal
     chunks = long.mapInArrow(cut_up, head).repartition("key", "start")
 
     def pretokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = shared.value.pattern.finditer
+        find = Codec(shared.value, pattern).pattern.finditer
         for b in sliced(batches):
             parts = b.column("part").to_pylist()
             bounds = [[m.start() for m in find(p)] + [len(p)] for p in parts]
@@ -218,7 +216,7 @@ def encoded(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fal
 
     def join_up(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("start")
-        codec = shared.value
+        codec = Codec(shared.value, pattern)
         chunks = [(int(s), p, list(map(int, b))) for s, p, b in zip(rows.start, rows.part, rows.bounds)]
         ids: list[int] = []
         for piece in stitch(codec, chunks):
