@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learner_scoring.llm.common import ship_by_value, sliced
+from learner_scoring.llm.common import bounded_batches, ship_by_value, sliced
 
 #: Code points of a chunk without its overlap, and of the overlap behind it.
 CHUNK = 1 << 15
 OVERLAP = 1 << 10
 #: Pre-tokens whose ids a worker remembers: the first it meets, which are the frequent ones.
-CACHE = 1 << 19
+CACHE = 1 << 18
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -171,6 +171,7 @@ def encoded(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fal
     tokens); equal rows give equal rows; a null doc_id stays null. ``keep_ids``
     adds the ids themselves.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(codec_state(read_ranks(vocabulary)))
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, ids array<int>"
@@ -178,7 +179,7 @@ def encoded(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fal
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value, pattern)
-        for b in sliced(batches):
+        for b in sliced(batches, 1 << 20):
             ids = [codec.encode(t) for t in b.column("text").to_pylist()]
             yield result(b.column("doc_id"), codec, ids)
 

@@ -17,8 +17,8 @@ SPACE = " \t\n\x0b\x0c\r"
 #: One word, as a Java / RE2 regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows of one Arrow batch are handled in slices of at most this many bytes of text.
-SLICE_BYTES = 4 << 20
+#: Bytes of an Arrow batch between JVM and Python; batches are handled in slices of no more.
+BATCH_BYTES = 4 << 20
 
 
 def ship_by_value(module: str) -> None:
@@ -76,13 +76,24 @@ def text_key(col: str = "text"):
     return F.unhex(F.substring(F.sha2(F.coalesce(F.col(col), F.lit("")), 256), 1, 32))
 
 
-def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches into zero-copy slices of about ``SLICE_BYTES``, one row at least."""
+def bounded_batches(spark: SparkSession) -> None:
+    """Hold Arrow batches to ``BATCH_BYTES`` where the session allows larger ones.
+
+    The usual bound counts rows, and rows of text may be long.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower().rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
+def sliced(batches: Iterator[pa.RecordBatch], size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into zero-copy slices of about ``size`` bytes, one row at least."""
     for b in batches:
         n = b.num_rows
         if not n:
             continue
-        step = max(1, min(n, int(n * SLICE_BYTES / max(1, b.nbytes))))
+        step = max(1, min(n, int(n * size / max(1, b.nbytes))))
         for i in range(0, n, step):
             yield b.slice(i, step)
 
@@ -95,6 +106,8 @@ def raw_texts(batch: pa.RecordBatch, col: str = "text") -> list[bytes]:
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``mapInArrow`` over slices; ``fn`` turns one slice into one output batch."""
 
+    bounded_batches(df.sparkSession)
+
     def run(batches):
         for b in sliced(batches):
             out = fn(b)

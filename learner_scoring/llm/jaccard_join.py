@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learner_scoring.llm.common import arrow_map, cut, raw_texts, ship_by_value, sliced, small
+from learner_scoring.llm.common import arrow_map, bounded_batches, cut, raw_texts, ship_by_value, sliced, small
 from learner_scoring.llm.components import connected
 from learner_scoring.llm.substring_dedup import gram_hashes, word_hashes
 
@@ -288,6 +288,7 @@ def linked(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame
     read; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = narrow.filter("doc_id is not null")
     schema = f"doc long, n long, {', '.join(f'{c} long' for c in _SIG)}, full binary, part int, loads binary"

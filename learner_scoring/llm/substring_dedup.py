@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learner_scoring.llm.common import arrow_map, cut, raw_texts, ship_by_value, sliced, text_key
+from learner_scoring.llm.common import arrow_map, bounded_batches, cut, raw_texts, ship_by_value, sliced, text_key
 from learner_scoring.llm.fm_index import FMIndex, match_counts
 
 WINDOW = 35
@@ -230,6 +230,7 @@ def repeated_windows(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, b
 
     ``keyed`` has (doc_id, k, text); k identifies the text.
     """
+    bounded_batches(keyed.sparkSession)
     segs = keyed.select("k", "text").mapInArrow(_segment_rows(window, gram), "k binary, pos long, gram long, seg long, own boolean")
     counts = segs.groupBy("gram").agg(F.count("*").alias("c"), F.min("seg").alias("a"), F.max("seg").alias("b"), F.max("own").alias("o"))
     twice = counts.filter("c > 1 or o").select("gram", "c", F.expr("a = b and not o").alias("same"))
