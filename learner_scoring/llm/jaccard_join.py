@@ -39,6 +39,8 @@ PART_BITS = 16
 HEAVY, MARGIN = 2, 8
 #: Documents that make a component large.
 LARGE = 4
+#: Bytes of text handled at a time.
+SLICE = 1 << 20
 #: Rows of one tile that are held at a time.
 TILE_ROWS = 1 << 18
 
@@ -84,23 +86,23 @@ def _summaries(k: int):
     size, part = 1 << BUCKET_BITS, 1 << PART_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loads = np.zeros(size, np.uint32)
+        loads = np.zeros(size, np.uint16)
+        most = 0xFFFF  # a task that meets more has settled the bucket
 
         def out(docs, n, sigs, full, parts, blobs):
             cols = [pa.array(docs, pa.int64()), pa.array(n, pa.int64()), *(pa.array(c, pa.int64()) for c in sigs)]
             cols += [pa.array(full, pa.binary()), pa.array(parts, pa.int32()), pa.array(blobs, pa.binary())]
             return pa.RecordBatch.from_arrays(cols, names=["doc", "n", *_SIG, "full", "part", "loads"])
 
-        for b in sliced(batches):
+        for b in sliced(batches, SLICE):
             sets = [shingle_set(raw, k) for raw in raw_texts(b)]
-            h = np.concatenate(sets)
-            np.add.at(loads, (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), 1)
+            at, new = np.unique((np.concatenate(sets) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32), return_counts=True)
+            loads[at] = np.minimum(loads[at] + new, most)
             sigs = [signature(x) for x in sets]
             short = np.stack([folded(x, SIG) for x in sigs])
             full = [x.tobytes() if len(x) > SIG else None for x in sigs]
             none = [None] * len(sets)
             yield out(b.column("doc_id").to_pylist(), [len(x) for x in sets], list(short.T), full, none, none)
-        loads = np.minimum(loads, 0xFFFF).astype(np.uint16)  # a task that meets more has settled the bucket
         used = [i for i in range(size // part) if loads[i * part : (i + 1) * part].any()]
         blobs = [zlib.compress(loads[i * part : (i + 1) * part].tobytes(), 1) for i in used]
         none = [None] * len(used)
@@ -131,9 +133,9 @@ def _prefix_rows(hot, k: int, percent: int):
     """(token, doc, n, pos) of each document's first shingles; a text's second copy in a task is (first, doc, -1, 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(hot.value).astype(bool)
+        bits = np.unpackbits(hot.value).view(bool)
         first: dict[bytes, int] = {}
-        for b in sliced(batches):
+        for b in sliced(batches, SLICE):
             tokens, docs, sizes, places = [], [], [], []
             for doc, raw in zip(b.column("doc_id").to_pylist(), raw_texts(b)):
                 words = raw.lower().split()

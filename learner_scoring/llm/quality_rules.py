@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learner_scoring.llm.common import arrow_map, cut, raw_texts, ship_by_value
+from learner_scoring.llm.common import arrow_map, cut, raw_texts, ship_by_value, small
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -91,7 +91,7 @@ def judge(docs: DataFrame, host: str = "source") -> DataFrame:
     narrow = docs.select("doc_id", F.col(host).alias("host"), "text")
     counts = arrow_map(narrow, _features, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, host string, {FEATURES}")
     feats = cut(rule_flags(counts))
-    bad = host_verdicts(feats).select(F.col("host").alias("h"), "host_rate", "host_rejected")
+    bad = small(cut(host_verdicts(feats).select(F.col("host").alias("h"), "host_rate", "host_rejected")))
     out = feats.join(bad, F.col("host").eqNullSafe(F.col("h")), "left").drop("h")
     return out.withColumn("kept", ~F.col("base_failed") & ~(F.col("host_rejected") & F.col("rule_failed")))
 
@@ -107,7 +107,7 @@ def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
     text, src = f"c{names.index('text')}", f"c{names.index(host)}"
     narrow = docs.select(F.col(host).alias("host"), "text")
     flags = rule_flags(arrow_map(narrow, _features, f"host string, {FEATURES}"))
-    bad = host_verdicts(cut(flags)).filter("host_rejected").select(F.col("host").alias("h"), "host_rejected")
+    bad = small(cut(host_verdicts(cut(flags)).filter("host_rejected").select(F.col("host").alias("h"), "host_rejected")))
     flagged = keyed.join(bad, F.col(src).eqNullSafe(F.col("h")), "left").drop("h")
 
     def passes(batch: pa.RecordBatch) -> pa.RecordBatch:
