@@ -24,7 +24,7 @@ from learner_scoring.llm.common import bounded_batches, ship_by_value, sliced
 CHUNK = 1 << 15
 OVERLAP = 1 << 10
 #: Pre-tokens whose ids a worker remembers: the first it meets, which are the frequent ones.
-CACHE = 1 << 18
+CACHE = 1 << 17
 
 
 def read_ranks(path: str) -> list[bytes]:
