@@ -42,7 +42,7 @@ def usable(embedding: str = "embedding"):
 
 
 def _assign(key, rows: pd.DataFrame, centers: pd.DataFrame) -> pd.DataFrame:
-    out = rows[["grp", "id", "copies", "embedding"]].copy()
+    out = rows[["grp", "id", "twin", "copies", "embedding"]].copy()
     if not len(rows):
         return out.assign(cell=pd.Series(dtype=np.int64))
     centers = centers.sort_values("salt")
@@ -52,16 +52,16 @@ def _assign(key, rows: pd.DataFrame, centers: pd.DataFrame) -> pd.DataFrame:
 
 def _block(rows: pd.DataFrame) -> pd.DataFrame:
     """One row per block: its vectors, ids and copies as bytes, and a ball around them."""
-    rows = rows.sort_values("id")
+    rows = rows.sort_values(["id", "twin"])
     x = _unit(rows.embedding)
     center = x.mean(axis=0)
     length = np.linalg.norm(center)
     center = center / length if length > 0 else x[0]
-    blob = [x.tobytes()], [rows.id.to_numpy(np.int64).tobytes()], [rows.copies.to_numpy(np.int64).tobytes()]
+    blob = [x.tobytes()], [rows.id.to_numpy(np.int64).tobytes()], [rows.copies.to_numpy(np.int64).tobytes()], [rows.twin.to_numpy(np.int64).tobytes()]
     radius = float(distance(x @ center).max())
     return pd.DataFrame(
         {"grp": [rows.grp.iat[0]], "block": [int(rows.cell.iat[0]) * (1 << 32) + int(rows["sub"].iat[0])], "center": [center], "radius": [radius], "n": [len(x)],
-         "vectors": blob[0], "ids": blob[1], "copies": blob[2]}
+         "vectors": blob[0], "ids": blob[1], "copies": blob[2], "twins": blob[3]}
     )
 
 
@@ -87,28 +87,32 @@ def _traverse(cosine: float):
             for row in b.to_pylist():
                 out = pair_links(row, cosine)
                 if len(out[0]):
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=["id", "links", "root"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in out], names=["id", "twin", "links", "root"])
 
     return run
 
 
 def pair_links(row: dict, cosine: float):
-    """(id, links, root) of the linked vectors of two blocks; links count copies of the other side."""
+    """(id, twin, links, root) of the linked vectors of two blocks; links count copies of the other side.
+
+    ``twin`` tells vectors with one id apart.
+    """
 
     def side(s: str):
         ids = np.frombuffer(row[f"ids_{s}"], np.int64)
         x = np.frombuffer(row[f"vectors_{s}"], np.float64).reshape(len(ids), -1).copy()
-        return CoverTree(x), ids, np.frombuffer(row[f"copies_{s}"], np.int64)
+        return CoverTree(x), ids, np.frombuffer(row[f"copies_{s}"], np.int64), np.frombuffer(row[f"twins_{s}"], np.int64)
 
     one = row["block_x"] == row["block_y"]
-    a, ids_a, n_a = side("x")
-    b, ids_b, n_b = (a, ids_a, n_a) if one else side("y")
+    a, ids_a, n_a, twin_a = side("x")
+    b, ids_b, n_b, twin_b = (a, ids_a, n_a, twin_a) if one else side("y")
     found = dual(a, b, cosine)
-    ids_a, n_a = ids_a[a.order], n_a[a.order]
+    ids_a, n_a, twins = ids_a[a.order], n_a[a.order], twin_a[a.order]
     if one:
         ids, n, shift = ids_a, n_a, 0
     else:
         ids, n, shift = np.concatenate([ids_a, ids_b[b.order]]), np.concatenate([n_a, n_b[b.order]]), len(ids_a)
+        twins = np.concatenate([twins, twin_b[b.order]])
     links = np.zeros(len(ids), np.int64)
     us, vs = [], []
     for lo, hi, lo2, hi2, mask in found:
@@ -124,10 +128,10 @@ def pair_links(row: dict, cosine: float):
         us.append(left[i])
         vs.append(right[j])
     if not us:
-        return ids[:0], links[:0], ids[:0]
+        return ids[:0], twins[:0], links[:0], ids[:0]
     root = _roots(len(ids), np.concatenate(us), np.concatenate(vs))
     hit = links > 0
-    return ids[hit], links[hit], ids[root[hit]]
+    return ids[hit], twins[hit], links[hit], ids[root[hit]]
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
@@ -144,7 +148,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
     spark = vectors.sparkSession
     rows = vectors.select("vec_id", "embedding", F.concat_ws(":", "label", F.size("embedding")).alias("grp"), "label")
     rows = rows.withColumn("ok", usable() & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
-    classes = cut(rows.filter("ok").groupBy("grp", "embedding").agg(F.min("vec_id").cast("long").alias("id"), F.count("*").alias("copies")))
+    classes = cut(rows.filter("ok").groupBy("grp", "embedding").agg(F.min("vec_id").cast("long").alias("id"), F.count("*").alias("copies")).withColumn("twin", F.xxhash64("grp", "embedding")))
 
     # cells: a center for about every ``block`` vectors of a label
     sizes = classes.groupBy("grp").agg(F.ceil(F.count("*") / block).alias("blocks"))
@@ -156,13 +160,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
     dealt = sized.withColumn("chunk", F.pmod(F.xxhash64("embedding"), F.col("blocks")))
     kind = classes.schema["embedding"].dataType.simpleString()
     cells = dealt.groupBy("grp", "chunk").cogroup(centers.groupBy("g", "part")).applyInPandas(
-        _assign, f"grp string, id long, copies long, embedding {kind}, cell long"
+        _assign, f"grp string, id long, twin long, copies long, embedding {kind}, cell long"
     )
     cells = cut(cells)
     counts = cells.groupBy("grp", "cell").agg(F.ceil(F.count("*") / block).alias("subs"))
     parted = cells.join(counts, ["grp", "cell"]).withColumn("sub", F.pmod(F.xxhash64("embedding", "id"), F.col("subs")))
     blocks = cut(parted.groupBy("grp", "cell", "sub").applyInPandas(
-        _block, "grp string, block long, center array<double>, radius double, n long, vectors binary, ids binary, copies binary"
+        _block, "grp string, block long, center array<double>, radius double, n long, vectors binary, ids binary, copies binary, twins binary"
     ))
 
     # block pairs that the covering radii leave
@@ -173,16 +177,16 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLO
     dot = F.aggregate(F.zip_with("cx", "cy", lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
     apart = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * dot))
     pairs = x.join(y, "grp").filter("block_x <= block_y").filter((F.col("block_x") == F.col("block_y")) | (apart <= F.col("rx") + F.col("ry") + reach))
-    full = blocks.select("grp", "block", "vectors", "ids", "copies")
+    full = blocks.select("grp", "block", "vectors", "ids", "copies", "twins")
     tasks = pairs.select("grp", "block_x", "block_y")
-    tasks = tasks.join(full.toDF("grp", "block_x", "vectors_x", "ids_x", "copies_x"), ["grp", "block_x"])
-    tasks = tasks.join(full.toDF("grp", "block_y", "vectors_y", "ids_y", "copies_y"), ["grp", "block_y"])
+    tasks = tasks.join(full.toDF("grp", "block_x", "vectors_x", "ids_x", "copies_x", "twins_x"), ["grp", "block_x"])
+    tasks = tasks.join(full.toDF("grp", "block_y", "vectors_y", "ids_y", "copies_y", "twins_y"), ["grp", "block_y"])
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = cut(tasks.repartition(width, "grp", "block_x", "block_y").mapInArrow(_traverse(cosine), "id long, links long, root long"))
+    found = cut(tasks.repartition(width, "grp", "block_x", "block_y").mapInArrow(_traverse(cosine), "id long, twin long, links long, root long"))
 
     comps = connected(found, "id", "root")
-    links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    known = classes.join(links, "id", "left").join(comps, "id", "left")
+    links = found.groupBy("id", "twin").agg(F.sum("links").alias("links"))
+    known = classes.join(links, ["id", "twin"], "left").join(comps, "id", "left")
     known = known.select("grp", "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("comp", "id").alias("comp"))
     good = rows.filter("ok").join(known, ["grp", "embedding"]).select("vec_id", "n_links", F.col("comp").alias("component_id"))
     bad = rows.filter("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias("component_id"))
