@@ -11,8 +11,11 @@ from tools.compare import _norm
 
 from tests.conftest import SF001
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+from learner_scoring.plans import queries as core
+from oracle_sql import oracle_sql
+
+QUERIES = core.queries()
+ORACLE = oracle_sql()
 
 
 @pytest.fixture(scope="module")
