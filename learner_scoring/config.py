@@ -49,7 +49,7 @@ QUIZ_EVENT_TYPE = "quiz.answered"
 SESSION_EVENT_PREFIX = "session."
 SCORE_EVENT_TYPE = "engagement.scored"
 SPEC_VERSION = "1.0"
-APPLICATION_NAME = "engagement-service"
+APPLICATION_NAME = "learner-scoring"
 
 
 @dataclass(frozen=True)

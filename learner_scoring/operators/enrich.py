@@ -120,11 +120,14 @@ def invalid_reason() -> Column:
 
 @column_cache
 def _classify_columns(with_record: bool) -> tuple[Column, ...]:
+    reason = invalid_reason()
+    if with_record:  # a row without record time fits no window
+        reason = F.coalesce(reason, F.when(F.col("record_ts").isNull(), F.lit("null_record_time")))
     extra = (
         is_quiz().alias("is_quiz"),
         is_session().alias("is_session"),
         F.unix_millis("event_ts").alias("event_ms"),
-        invalid_reason().alias("invalid_reason"),
+        reason.alias("invalid_reason"),
     )
     return extra + ((F.unix_millis("record_ts").alias("record_ms"),) if with_record else ())
 

@@ -33,12 +33,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when it is unset (local tests) a fresh private folder is created and
-    registered, so ``DataFrame.checkpoint()`` and streaming checkpoints have a
-    home. On a cluster the configured shared folder is always used.
+    Where it is unset, a local session (tests) gets a fresh private folder; any
+    other master is an error, because executors and restarts would not see it.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="ls-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     spark.sparkContext.setCheckpointDir(root)

@@ -25,16 +25,18 @@ def kafka_options(
     client_properties: Mapping[str, str] | None = None,
     starting_offsets: str = "earliest",
     max_offsets_per_trigger: int | None = None,
+    fail_on_data_loss: bool = True,
 ) -> dict[str, str]:
     """Reader options: subscribe, start at the earliest offset when no checkpoint
     exists (A3; later runs resume from the checkpoint) and pass client settings
-    (security, SASL, ...) through with the ``kafka.`` prefix (A6)."""
+    (security, SASL, ...) through with the ``kafka.`` prefix (A6). Records that
+    vanished before they were read fail the query unless the caller allows it."""
     topic_list = topics if isinstance(topics, str) else ",".join(topics)
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic_list,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
         "includeHeaders": "false",
     }
     if max_offsets_per_trigger is not None:

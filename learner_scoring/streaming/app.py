@@ -36,12 +36,13 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--session-topic", default=kafka.SESSION_TOPIC)
     p.add_argument("--quiz-path", help="files source: parquet folder of quiz records")
     p.add_argument("--session-path", help="files source: parquet folder of session records")
-    p.add_argument("--max-offsets-per-trigger", type=int)
+    p.add_argument("--max-offsets-per-trigger", type=int, default=5_000_000, help="bound of a micro-batch, the first one too")
+    p.add_argument("--max-files-per-trigger", type=int, default=1000, help="files source: bound of a micro-batch")
     p.add_argument("--sink", choices=["kafka", "files"], default="kafka")
     p.add_argument("--score-topic", default=kafka.SCORE_TOPIC)
     p.add_argument("--out", help="files sink: folder of the score table")
     p.add_argument("--dead-letters", help="folder for undecodable / unfoldable records")
-    p.add_argument("--alerts", help="folder for the alert stream (windows whose score crossed the alert threshold)")
+    p.add_argument("--alerts", help="folder of the alert flag per window; filter alert_threshold_crossed on reading")
     p.add_argument("--checkpoint-name", default="engagement-scores")
     p.add_argument("--mode", choices=["update", "append"], default="update")
     p.add_argument("--trigger-seconds", type=float, default=1.0)
@@ -55,7 +56,7 @@ def _records(spark: SparkSession, a: argparse.Namespace, topic: str, path: str |
         opts = kafka.kafka_options(a.bootstrap, topic, max_offsets_per_trigger=a.max_offsets_per_trigger)
         return kafka.read_topic_stream(spark, opts)
     schema = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int"
-    return spark.readStream.schema(schema).parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", a.max_files_per_trigger).parquet(path)
 
 
 def build(spark: SparkSession, a: argparse.Namespace) -> tuple[DataFrame, DataFrame]:
@@ -88,8 +89,9 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> list[StreamingQue
         score_sink = BatchUpsert(a.out)
     outputs = [(score_sink, None)]
     if a.alerts:
-        cols = ["student_id", "session_id", "window_start_ms", "score", "trend", "total_answers"]
-        outputs.append((BatchUpsert(a.alerts, cols), F.col("alert_threshold_crossed")))
+        cols = ["student_id", "session_id", "window_start_ms", "score", "trend", "total_answers", "alert_threshold_crossed"]
+        # every update carries the flag, so a window that recovers is no longer listed by its latest row
+        outputs.append((BatchUpsert(a.alerts, cols), None))
     queries = [start_query(scored, FanOut(*outputs), checkpoint_location(spark, a.checkpoint_name), a.mode, **trigger)]
     if a.dead_letters:
         queries.append(
@@ -102,9 +104,8 @@ def run(spark: SparkSession, argv: list[str] | None = None) -> list[StreamingQue
 
 def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("engagement-scores").getOrCreate()
-    queries = run(spark, argv)
-    for q in queries:
-        q.awaitTermination()
+    run(spark, argv)
+    spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

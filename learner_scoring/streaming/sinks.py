@@ -2,7 +2,8 @@
 
 * Kafka: ``kafka_frame`` builds the ``key``/``value`` columns the Kafka sink
   expects (value = JSON score record). Spark's Kafka sink is at-least-once; the
-  deterministic envelope id lets consumers drop re-deliveries.
+  deterministic envelope id (student, window, batch) lets consumers drop
+  re-deliveries and keep every update.
 * Files: ``BatchUpsert`` is a ``foreachBatch`` writer that makes every
   micro-batch idempotent — a replayed batch id overwrites its own folder — and
   ``latest_scores`` reads the table back keeping the last update per
@@ -11,16 +12,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learner_scoring.config import DEFAULT_CONFIG, ScoringConfig
 from learner_scoring.functions.scoring import deterministic_score_id, score_envelope, score_record
 
 
-def kafka_frame(scored: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG, deterministic: bool = True) -> DataFrame:
-    """key = student id, value = JSON score record."""
-    env = score_envelope(cfg, deterministic_score_id() if deterministic else None)
+def kafka_frame(
+    scored: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG, deterministic: bool = True, batch_id: int | None = None
+) -> DataFrame:
+    """key = student id, value = JSON score record.
+
+    With a batch id every update of a window has its own id, and a replayed
+    batch has the ids it had before.
+    """
+    batch = None if batch_id is None else F.lit(batch_id)
+    env = score_envelope(cfg, deterministic_score_id(batch) if deterministic else None)
     return scored.filter(F.col("score").isNotNull()).select(
         F.col("student_id").alias("key"), F.to_json(score_record(env)).alias("value")
     )
@@ -48,7 +56,7 @@ class KafkaBatchWriter:
         self.cfg = cfg
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        kafka_frame(batch, self.cfg).write.format("kafka").options(**self.options).save()
+        kafka_frame(batch, self.cfg, batch_id=batch_id).write.format("kafka").options(**self.options).save()
 
 
 class FanOut:
@@ -73,5 +81,6 @@ class FanOut:
 def latest_scores(spark: SparkSession, path: str, keys: tuple[str, ...] = ("student_id", "window_start_ms")) -> DataFrame:
     """Current table state: the row of the latest batch per key."""
     raw = spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/batch_id=*")
-    last = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
-    return raw.withColumn("_rn", F.row_number().over(last)).filter("_rn = 1").drop("_rn", "batch_id")
+    rest = [c for c in raw.columns if c not in (*keys, "batch_id")]
+    last = raw.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch_id")).alias("last"))
+    return last.select(*keys, "last.*")

@@ -398,7 +398,7 @@ FROM sc GROUP BY 1"""
     q["score_messages"] = scores + """
 SELECT student_id AS key, window_start_ms,
        sha256(student_id || ':' || CAST(window_start_ms AS VARCHAR)) AS envelope_id,
-       'engagement.scored' AS envelope_type, 'engagement-service' AS envelope_source, '1.0' AS specversion,
+       'engagement.scored' AS envelope_type, 'learner-scoring' AS envelope_source, '1.0' AS specversion,
        session_id, score, accuracy_score, CAST(NULL AS DOUBLE) AS attention_score, trend, alert_threshold_crossed
 FROM sc"""
 

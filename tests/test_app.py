@@ -39,7 +39,7 @@ def test_job_scores_and_dead_letters(spark, scratch):
     for k in want:
         assert (got[k].score, got[k].trend, got[k].total_answers) == (want[k].score, want[k].trend, want[k].total_answers)
 
-    alerted = {(r.student_id, r.window_start_ms) for r in latest_scores(spark, f"{scratch}/alerts").collect()}
+    alerted = {(r.student_id, r.window_start_ms) for r in latest_scores(spark, f"{scratch}/alerts").filter("alert_threshold_crossed").collect()}
     assert alerted == {k for k, r in want.items() if r.alert_threshold_crossed}
     observed = [p["observedMetrics"]["scores"] for p in queries[0].recentProgress if p.get("observedMetrics")]
     assert sum(m["scores_produced"] for m in observed) == len(want)

@@ -61,7 +61,7 @@ def test_score_envelope_ids(spark):
     scored = build_scores(*load_topics(spark, SF001))
     rnd = score_messages(scored, deterministic=False).select("value.envelope.*").collect()
     assert len({r.id for r in rnd}) == len(rnd) == 179
-    assert {(r.type, r.source, r.specversion) for r in rnd} == {("engagement.scored", "engagement-service", "1.0")}
+    assert {(r.type, r.source, r.specversion) for r in rnd} == {("engagement.scored", "learner-scoring", "1.0")}
     assert all(r.timestamp is not None and r.correlationId is None for r in rnd)
     def ids():
         return {(r.key, r.window_start_ms, r.value.envelope.id) for r in score_messages(scored).collect()}
@@ -85,3 +85,10 @@ def test_avro_decode_needs_the_avro_package(spark):
         assert "AVRO" in str(e).upper()
     else:  # with the package, a 3-byte body is not a valid record: PERMISSIVE gives a dead letter
         assert decoded[0]["_decode_error"] == "corrupt_payload" or pytest.fail("unexpected decode")
+
+
+def test_data_loss_fails_by_default():
+    from learner_scoring.sources.kafka import kafka_options
+
+    assert kafka_options("b:9", "t")["failOnDataLoss"] == "true"
+    assert kafka_options("b:9", "t", fail_on_data_loss=False)["failOnDataLoss"] == "false"

@@ -136,3 +136,14 @@ def test_streaming_decode_splits_dead_letters(spark, scratch):
     _, bdead = split_valid(unified_events(bq, bs))
     assert len(dead_rows) == bqbad.count() + bsbad.count() + bdead.count()
     assert len(_table(spark, scratch)) > 0
+
+
+def test_updates_of_a_window_have_their_own_ids(spark):
+    import json
+
+    from learner_scoring.plans.pipeline import build_scores
+    from learner_scoring.sources.fixture import load_topics
+
+    one = build_scores(*load_topics(spark, SF001)).limit(1)
+    ids = [json.loads(kafka_frame(one, batch_id=b).first()["value"])["envelope"]["id"] for b in (1, 2, 1)]
+    assert ids[0] != ids[1] and ids[0] == ids[2]
