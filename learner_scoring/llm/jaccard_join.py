@@ -33,8 +33,8 @@ PERCENT = 85
 #: 64-bit words of a bitmap signature.
 SIG = 8
 #: Hash buckets (a fixed number) whose loads tell frequent shingles from rare ones.
-BUCKET_BITS = 22
-PART_BITS = 15
+BUCKET_BITS = 23
+PART_BITS = 16
 #: Buckets above so many times the mean load, plus a margin, come last in the order.
 HEAVY, MARGIN = 2, 8
 #: Documents that make a component large.
