@@ -28,9 +28,9 @@ from learner_scoring.config import DEFAULT_CONFIG, ScoringConfig
 from learner_scoring.functions import column_cache
 from learner_scoring.functions.scoring import with_metrics, with_score
 from learner_scoring.operators.fold import GROUP, SEQ_BUCKET
+from learner_scoring.operators.sequence import SEQ, arrival_bucket
 
 B = "_bkt"
-SEQ = "arrival_seq"
 
 
 @column_cache
@@ -119,7 +119,7 @@ def running_state(events: DataFrame, seq_bucket: int = SEQ_BUCKET) -> DataFrame:
     """State after each record (windowed, valid events in, one row per record out)."""
     step1, step2 = _row_columns()
     rows = (
-        events.withColumn(B, F.floor(F.col(SEQ) / F.lit(seq_bucket)))
+        events.withColumn(B, arrival_bucket(events, seq_bucket))
         .select("*", *step1)
         .select("*", *step2)
         .drop("_rapid")

@@ -23,12 +23,12 @@ from learner_scoring import config as C
 from learner_scoring.config import DEFAULT_CONFIG, ScoringConfig
 from learner_scoring.functions import arrays as A
 from learner_scoring.functions import column_cache
-from learner_scoring.operators.sequence import answer_order_metrics
+from learner_scoring.operators.sequence import answer_order_metrics, arrival_bucket
 from learner_scoring.operators.windows import assign_window
 
 GROUP = ["student_id", "window_start_ms"]
-# Arrival-sequence values per bucket in the order scan (Kafka offsets: one
-# record per value, so a bucket never holds more than this many rows).
+# Offsets per bucket in the order scan: one record per offset of a partition, so
+# a bucket never holds more than this many rows.
 SEQ_BUCKET = 1 << 16
 
 
@@ -76,13 +76,10 @@ def quiz_answers(events: DataFrame) -> DataFrame:
     return events.filter(_q()).select(*GROUP, "arrival_seq", "event_ms", _ok().alias("ok"))
 
 
-def _seq_bucket(width: int = SEQ_BUCKET) -> Column:
-    return F.floor(F.col("arrival_seq") / F.lit(width))
-
-
 def order_metrics(events: DataFrame, seq_bucket: int = SEQ_BUCKET) -> DataFrame:
     """E5 + E9 per (student, window), from windowed events."""
-    return answer_order_metrics(quiz_answers(events), GROUP, "arrival_seq", _seq_bucket(seq_bucket), C.RAPID_SUBMISSION_MS)
+    answers = quiz_answers(events)
+    return answer_order_metrics(answers, GROUP, "arrival_seq", arrival_bucket(answers, seq_bucket), C.RAPID_SUBMISSION_MS)
 
 
 def skill_attempts(events: DataFrame) -> DataFrame:

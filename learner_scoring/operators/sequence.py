@@ -14,10 +14,45 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from learner_scoring.functions import column_cache
 
 BUCKET = "_bkt"
+SEQ = "arrival_seq"
+
+
+def arrival_order(record_ms: Column, topic: Column, partition: Column, offset: Column) -> Column:
+    """The arrival order over both topics: record time, then topic, partition, offset.
+
+    Offsets count per (topic, partition), so alone they order nothing across
+    partitions; the record clock does, and the rest breaks its ties.
+    """
+    return F.struct(
+        record_ms.cast("bigint").alias("record_ms"),
+        topic.cast("string").alias("topic"),
+        partition.cast("int").alias("kafka_partition"),
+        offset.cast("bigint").alias("kafka_offset"),
+    )
+
+
+def arrival_bucket(df: DataFrame, width: int) -> Column:
+    """A non-decreasing bucket of ``arrival_seq``, of at most ``width`` records.
+
+    ``arrival_seq`` is either ``arrival_order`` (a bucket is ``width`` offsets of
+    one partition in one millisecond) or a bigint the source numbers itself. A
+    window of W ms has at most W x partitions buckets, plus one per ``width``
+    records: the summaries stay bounded however hot the window is.
+    """
+    seq = F.col(SEQ)
+    if not isinstance(df.schema[SEQ].dataType, T.StructType):
+        return F.floor(seq / F.lit(width))
+    return F.struct(
+        seq["record_ms"].alias("record_ms"),
+        seq["topic"].alias("topic"),
+        seq["kafka_partition"].alias("kafka_partition"),
+        F.floor(seq["kafka_offset"] / F.lit(width)).alias("offsets"),
+    )
 
 
 def dense_sequence(
@@ -88,6 +123,7 @@ def answer_order_metrics(
     * ``rapid_submissions``: adjacent answers whose event-time gap is below
       ``rapid_ms`` (negative gaps count).
     * ``consecutive_incorrect``: answers after the last correct one.
+    * ``n_answers``: all answers.
 
     Row level, per (group, bucket): ``lag`` for the gap inside the bucket and
     the last correct position inside the bucket. Bucket level: the gap across
@@ -98,7 +134,7 @@ def answer_order_metrics(
     rows_cols, bucket_aggs, stitch_cols, final_aggs = _order_columns(g, seq_col, rapid_ms)
     rows = answers.withColumn(BUCKET, bucket).select(*g, BUCKET, seq_col, "event_ms", "ok", *rows_cols)
     per_bucket = rows.groupBy(*g, BUCKET).agg(*bucket_aggs)
-    stitched = per_bucket.select(*g, BUCKET, "_rapid_in", "_trailing", *stitch_cols)
+    stitched = per_bucket.select(*g, BUCKET, "_n", "_rapid_in", "_trailing", *stitch_cols)
     return stitched.groupBy(*g).agg(*final_aggs)
 
 
@@ -111,6 +147,7 @@ def _order_columns(g: tuple[str, ...], seq_col: str, rapid_ms: int):
         F.max(F.when(F.col("ok"), F.col(seq_col))).over(w_all).alias("_last_ok"),
     )
     bucket_aggs = (
+        F.count(F.lit(1)).alias("_n"),
         F.min_by("event_ms", seq_col).alias("_first_ms"),
         F.max_by("event_ms", seq_col).alias("_last_ms"),
         F.count_if((F.col("event_ms") - F.col("_prev_ms")) < rapid_ms).alias("_rapid_in"),
@@ -126,6 +163,7 @@ def _order_columns(g: tuple[str, ...], seq_col: str, rapid_ms: int):
         F.max(F.when(F.col("_has_ok") == 1, F.col(BUCKET))).over(w_g).alias("_ok_bkt"),
     )
     final_aggs = (
+        F.sum("_n").cast("bigint").alias("n_answers"),
         (F.sum("_rapid_in") + F.count_if(F.col("_rapid_edge"))).cast("bigint").alias("rapid_submissions"),
         F.sum(
             F.when(F.col("_ok_bkt").isNull() | (F.col(BUCKET) >= F.col("_ok_bkt")), F.col("_trailing")).otherwise(0)

@@ -32,15 +32,17 @@ def assign_window(events: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> Dat
 
 
 def with_stream_time(events: DataFrame, bucket_width: int = OFFSET_BUCKET) -> DataFrame:
-    """``stream_time_ms``: max record time seen in the record's Kafka partition up
-    to and including the record, in offset order (per-record stream time).
+    """``stream_time_ms``: max record time seen in the record's (topic, partition)
+    up to and including the record, in offset order (per-record stream time).
 
+    Merging the partitions by that running max gives one clock: no record merged
+    earlier is ahead of it, so it is the stream time of the merged stream too.
     Distributed prefix max: partitions are cut into offset buckets so no Kafka
     partition lands in a single task.
     """
     return running_max(
         events,
-        ["kafka_partition"],
+        ["topic", "kafka_partition"],
         "kafka_offset",
         "record_ms",
         F.floor(F.col("kafka_offset") / F.lit(bucket_width)),

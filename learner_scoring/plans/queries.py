@@ -22,11 +22,10 @@ from learner_scoring.operators.fold import (
     SEQ_BUCKET,
     order_free_aggregates,
     order_metrics,
-    quiz_answers,
     skill_attempts,
     window_state,
 )
-from learner_scoring.operators.sequence import answer_positions
+from learner_scoring.operators.sequence import answer_positions, arrival_bucket
 from learner_scoring.operators.windows import late_records
 from learner_scoring.plans import monitor
 from learner_scoring.plans.pipeline import build_scores, build_state, score_messages, windowed_events, with_zone
@@ -153,13 +152,13 @@ def q_merge_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_event_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How each event type is routed; unknown types still open windows."""
     ev = _events(spark, sf_dir)
-    route = F.when(F.col("is_quiz"), "quiz").when(F.col("is_session"), "session").otherwise("none")
+    # the route is a function of the type: taken once per type, after the counts
+    route = F.when(E.is_quiz(), "quiz").when(E.is_session(), "session").otherwise("none")
     per_window = ev.groupBy("event_type", *GROUP).agg(F.count(F.lit(1)).alias("n"))
     events = per_window.groupBy("event_type").agg(
         F.sum("n").cast("bigint").alias("events"), F.count(F.lit(1)).alias("windows")
     )
-    routes = ev.select("event_type", route.alias("route")).distinct()
-    return events.join(routes, "event_type")
+    return events.withColumn("route", route)
 
 
 # ------------------------------------------------------------ fold (D, E)
@@ -211,24 +210,20 @@ def q_answer_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E6/E7 as a table: each answer with its arrival position in the window."""
     ev = _events(spark, sf_dir)
     answers = ev.filter(F.col("is_quiz")).select(*GROUP, "arrival_seq", "event_ms", "time_spent_ms")
-    pos = answer_positions(answers, GROUP, "arrival_seq", F.floor(F.col("arrival_seq") / F.lit(SEQ_BUCKET)))
+    pos = answer_positions(answers, GROUP, "arrival_seq", arrival_bucket(answers, SEQ_BUCKET))
     return pos.select(*GROUP, "position", "event_ms", "time_spent_ms")
 
 
 def q_incorrect_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E5: trailing run of wrong answers, for windows with answers."""
     ev = _events(spark, sf_dir)
-    om = order_metrics(ev)
-    n = quiz_answers(ev).groupBy(*GROUP).agg(F.count(F.lit(1)).alias("total_answers"))
-    return n.join(om, GROUP).select(*GROUP, "total_answers", "consecutive_incorrect")
+    return order_metrics(ev).select(*GROUP, F.col("n_answers").alias("total_answers"), "consecutive_incorrect")
 
 
 def q_rapid_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adjacent answers less than 5 s apart, arrival order."""
     ev = _events(spark, sf_dir)
-    om = order_metrics(ev)
-    n = quiz_answers(ev).groupBy(*GROUP).agg(F.count(F.lit(1)).alias("total_answers"))
-    return n.join(om, GROUP).select(*GROUP, "total_answers", "rapid_submissions")
+    return order_metrics(ev).select(*GROUP, F.col("n_answers").alias("total_answers"), "rapid_submissions")
 
 
 def q_skill_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:

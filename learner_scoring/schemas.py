@@ -40,7 +40,8 @@ SESSION_EVENT = T.StructType(
 
 # Transport columns every decoded topic frame carries (Kafka metadata or an
 # equivalent): record time (the windowing clock), partition, offset and an
-# orderable arrival sequence that is a total order per student.
+# orderable arrival sequence that is a total order per student (see
+# ``operators.sequence.arrival_order``). Frames also carry ``topic``.
 TRANSPORT_COLUMNS = ["record_ts", "kafka_partition", "kafka_offset", "arrival_seq"]
 
 UNIFIED_EVENT_COLUMNS = [

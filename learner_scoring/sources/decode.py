@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from learner_scoring.operators.sequence import arrival_order
+
 CORRUPT = "_corrupt_record"
 
 
@@ -26,13 +28,15 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
 
 
 def transport(arrival_seq: Column | None = None) -> list[Column]:
-    """Kafka metadata -> transport columns. ``arrival_seq`` defaults to the offset,
-    a total order per partition (students are keyed to one partition)."""
+    """Kafka metadata -> transport columns. ``arrival_seq`` defaults to record time,
+    topic, partition, offset: a student's records come from any partition of both topics."""
+    if arrival_seq is None:
+        arrival_seq = arrival_order(F.unix_millis("timestamp"), F.col("topic"), F.col("partition"), F.col("offset"))
     return [
         F.col("timestamp").alias("record_ts"),
         F.col("partition").cast("int").alias("kafka_partition"),
         F.col("offset").cast("bigint").alias("kafka_offset"),
-        (F.col("offset").cast("bigint") if arrival_seq is None else arrival_seq).alias("arrival_seq"),
+        arrival_seq.alias("arrival_seq"),
     ]
 
 

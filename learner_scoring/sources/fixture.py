@@ -8,9 +8,9 @@ payload records plus ``record_ts`` (Kafka record time), ``kafka_partition``,
 ``kafka_offset`` and ``arrival_seq``.
 
 Arrival differs from record time for some rows (delayed by 4 s or 12 s), so
-offsets are not in time order: that produces late records and negative gaps.
-Every student maps to one partition, so ``arrival_seq = kafka_offset`` is a
-total order per student.
+offsets are not in time order: that produces late records. Offsets count per
+(topic, partition) and a student's records are spread over all of them, so
+``arrival_seq`` is record time, topic, partition, offset.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learner_scoring.functions import column_cache
-from learner_scoring.operators.sequence import dense_sequence
+from learner_scoring.operators.sequence import arrival_order, dense_sequence
 from learner_scoring.sources.kafka import QUIZ_TOPIC, SESSION_TOPIC
 
 TOPIC = "topic"
@@ -30,12 +30,12 @@ TOPIC = "topic"
 # Fixed values of the fixture definition.
 EPOCH_MS = 1704067200000  # 2024-01-01T00:00:00Z, origin of the compressed clock
 TIME_COMPRESSION = 3600  # one real hour becomes one second
-N_PARTITIONS = 4  # kafka_partition = user_id % 4
+N_PARTITIONS = 4  # kafka_partition = event_id % 4
 SESSION_SPAN_MS = 45000  # compressed ms per session id
 FIXTURE_SOURCE = "events-fixture"
 # Width of the arrival-time buckets used to number offsets without a
 # single task per Kafka partition.
-OFFSET_BUCKET_MS = 1000
+OFFSET_BUCKET_MS = 1
 
 
 def _k() -> Column:
@@ -76,7 +76,7 @@ def _derived(events: DataFrame) -> DataFrame:
     dwell = et == "session.dwell"
     return base.withColumn("event_type", _event_type()).select(
         "event_id",
-        (F.col("user_id") % N_PARTITIONS).cast("int").alias("kafka_partition"),
+        (F.col("event_id") % N_PARTITIONS).cast("int").alias("kafka_partition"),
         (rel + F.when(k % 10 == 0, 12000).when(k % 10 == 1, 4000).otherwise(0)).alias("arrival_ms"),
         (F.lit(EPOCH_MS) + rel).alias("record_ms"),
         (F.lit(EPOCH_MS) + rel - (k % 3) * 700).alias("event_ms"),
@@ -101,15 +101,15 @@ def _derived(events: DataFrame) -> DataFrame:
 
 
 def kafka_offsets(derived: DataFrame) -> DataFrame:
-    """(event_id, kafka_offset): dense arrival order per partition.
+    """(event_id, kafka_offset): dense arrival order per topic and partition.
 
     Numbered on a narrow key projection only, so the shuffle moves three
     columns, and the same subplan serves both topics (exchange reuse).
     """
-    keys = derived.select("event_id", "kafka_partition", "arrival_ms")
+    keys = derived.select("event_id", "kafka_partition", "arrival_ms", (F.col("event_type") == "quiz.answered").alias("_quiz"))
     numbered = dense_sequence(
         keys,
-        ["kafka_partition"],
+        ["_quiz", "kafka_partition"],
         ["arrival_ms", "event_id"],
         F.floor(F.col("arrival_ms") / OFFSET_BUCKET_MS),
         "kafka_offset",
@@ -142,12 +142,14 @@ def _envelope(source: str = FIXTURE_SOURCE) -> Column:
 
 
 @column_cache
-def _transport() -> tuple[Column, ...]:
+def _transport(topic: str) -> tuple[Column, ...]:
+    order = arrival_order(F.col("record_ms"), F.lit(topic), F.col("kafka_partition"), F.col("kafka_offset"))
     return (
+        F.lit(topic).alias(TOPIC),
         F.timestamp_millis(F.col("record_ms")).alias("record_ts"),
         F.col("kafka_partition"),
         F.col("kafka_offset"),
-        F.col("kafka_offset").alias("arrival_seq"),
+        order.alias("arrival_seq"),
     )
 
 
@@ -176,14 +178,14 @@ def _topic_columns() -> tuple[tuple[Column, ...], tuple[Column, ...]]:
         F.col("skill_tag").alias("skillTag"),
         F.col("difficulty_level").alias("difficultyLevel"),
         F.struct(F.col("hints_used").alias("hintsUsed")).alias("contextualData"),
-        *_transport(),
+        *_transport(QUIZ_TOPIC),
     )
     session = (
         _envelope().alias("envelope"),
         F.col("session_event_type").alias("eventType"),
         F.col("page_id").alias("pageId"),
         F.col("dwell_time_ms").alias("dwellTimeMs"),
-        *_transport(),
+        *_transport(SESSION_TOPIC),
     )
     return quiz, session
 

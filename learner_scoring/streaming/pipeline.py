@@ -21,7 +21,6 @@ from learner_scoring.config import DEFAULT_CONFIG, ScoringConfig
 from learner_scoring.functions.scoring import with_metrics, with_score
 from learner_scoring.operators.enrich import valid_events
 from learner_scoring.operators.fold import window_state_lists
-from learner_scoring.schemas import QUIZ_ANSWER, SESSION_EVENT
 from learner_scoring.session import ensure_checkpoint_dir
 from learner_scoring.streaming.sinks import BatchUpsert, latest_scores
 
@@ -69,23 +68,9 @@ def file_topics(spark: SparkSession, quiz_dir: str, session_dir: str, max_files_
     r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.schema(_topic_schema(QUIZ_ANSWER)).parquet(quiz_dir), r.schema(_topic_schema(SESSION_EVENT)).parquet(
-        session_dir
-    )
-
-
-def _topic_schema(payload):
-    from pyspark.sql import types as T
-
-    return T.StructType(
-        [
-            *payload.fields,
-            T.StructField("record_ts", T.TimestampType()),
-            T.StructField("kafka_partition", T.IntegerType()),
-            T.StructField("kafka_offset", T.LongType()),
-            T.StructField("arrival_seq", T.LongType()),
-        ]
-    )
+    # the landed files say how they number arrival (a struct or a bigint)
+    quiz, session = (spark.read.parquet(d).schema for d in (quiz_dir, session_dir))
+    return r.schema(quiz).parquet(quiz_dir), r.schema(session).parquet(session_dir)
 
 
 def run_file_backed_stream(

@@ -17,7 +17,7 @@ b AS (
          (epoch_us(ts) - 1704067200000000) // 3600000 AS rel_ms
   FROM events),
 c AS (
-  SELECT event_id, user_id % 4 AS kafka_partition,
+  SELECT event_id, event_id % 4 AS kafka_partition,
          1704067200000 + rel_ms AS record_ms,
          1704067200000 + rel_ms - (k % 3) * 700 AS event_ms,
          rel_ms + CASE k % 10 WHEN 0 THEN 12000 WHEN 1 THEN 4000 ELSE 0 END AS arrival_ms,
@@ -34,7 +34,9 @@ c AS (
   FROM b),
 fx AS (
   SELECT event_id, kafka_partition,
-         row_number() OVER (PARTITION BY kafka_partition ORDER BY arrival_ms, event_id) AS kafka_offset,
+         CASE WHEN event_type = 'quiz.answered' THEN 'quiz.answers' ELSE 'session.events' END AS topic,
+         row_number() OVER (PARTITION BY event_type = 'quiz.answered', kafka_partition
+                            ORDER BY arrival_ms, event_id) AS kafka_offset,
          record_ms, event_ms, student_id, session_id, event_type,
          CASE WHEN event_type = 'quiz.answered' THEN 'q-' || CAST(k AS VARCHAR) END AS question_id,
          CASE WHEN event_type = 'quiz.answered' AND k % 11 <> 0 THEN k % 3 <> 0 END AS is_correct,
@@ -51,13 +53,15 @@ ev AS (
          record_ms - record_ms % 60000 + 60000 AS window_end_ms,
          event_type = 'quiz.answered' AS is_quiz,
          event_type LIKE 'session.%' AS is_session,
-         coalesce(is_correct, false) AS ok
+         coalesce(is_correct, false) AS ok,
+         -- place in the arrival order: record time, topic, partition, offset
+         row_number() OVER (ORDER BY record_ms, topic, kafka_partition, kafka_offset) AS seq
   FROM fx)"""
 
 # Stream time per record and the events that survive the 5 s grace.
 LATE = """
 lt AS (
-  SELECT *, max(record_ms) OVER (PARTITION BY kafka_partition ORDER BY kafka_offset
+  SELECT *, max(record_ms) OVER (PARTITION BY topic, kafka_partition ORDER BY kafka_offset
                                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_time_ms
   FROM ev),
 ev_on_time AS (SELECT * FROM lt WHERE window_end_ms > stream_time_ms - 5000)"""
@@ -69,8 +73,7 @@ d AS (
                  WHEN event_id % 23 = 0 THEN 'null_type'
                  WHEN event_id % 29 = 0 AND (event_type = 'quiz.answered' OR event_type LIKE 'session.%') THEN 'null_time'
                  WHEN event_id % 31 = 0 AND event_type LIKE 'session.%' THEN 'null_session_type'
-                 WHEN event_id % 37 = 0 THEN 'null_student' END AS defect,
-            CASE WHEN event_type = 'quiz.answered' THEN 'quiz.answers' ELSE 'session.events' END AS topic
+                 WHEN event_id % 37 = 0 THEN 'null_student' END AS defect
   FROM fx)"""
 
 
@@ -82,22 +85,22 @@ def _state(src: str) -> str:
     """Final window state from event CTE ``src`` (CTEs st_*, named by src)."""
     return f"""
 {src}_ans AS (
-  SELECT student_id, window_start_ms, kafka_offset, ok,
-         event_ms - lag(event_ms) OVER (PARTITION BY student_id, window_start_ms ORDER BY kafka_offset) AS gap
+  SELECT student_id, window_start_ms, seq, ok,
+         event_ms - lag(event_ms) OVER (PARTITION BY student_id, window_start_ms ORDER BY seq) AS gap
   FROM {src} WHERE is_quiz),
 {src}_lastok AS (
-  SELECT student_id, window_start_ms, max(CASE WHEN ok THEN kafka_offset END) AS last_ok
+  SELECT student_id, window_start_ms, max(CASE WHEN ok THEN seq END) AS last_ok
   FROM {src}_ans GROUP BY student_id, window_start_ms),
 {src}_ord AS (
   SELECT a.student_id, a.window_start_ms,
          sum(CASE WHEN a.gap < 5000 THEN 1 ELSE 0 END) AS rapid,
-         sum(CASE WHEN NOT a.ok AND (l.last_ok IS NULL OR a.kafka_offset > l.last_ok) THEN 1 ELSE 0 END) AS streak
+         sum(CASE WHEN NOT a.ok AND (l.last_ok IS NULL OR a.seq > l.last_ok) THEN 1 ELSE 0 END) AS streak
   FROM {src}_ans a JOIN {src}_lastok l ON a.student_id = l.student_id AND a.window_start_ms = l.window_start_ms
   GROUP BY a.student_id, a.window_start_ms),
 {src}_first AS (
   SELECT student_id, window_start_ms, session_id FROM (
     SELECT student_id, window_start_ms, session_id,
-           row_number() OVER (PARTITION BY student_id, window_start_ms ORDER BY kafka_offset) AS rn
+           row_number() OVER (PARTITION BY student_id, window_start_ms ORDER BY seq) AS rn
     FROM {src}) WHERE rn = 1),
 {src}_agg AS (
   SELECT student_id, window_start_ms, window_end_ms,
@@ -235,7 +238,7 @@ FROM ev GROUP BY student_id, window_start_ms"""
     q["window_first_session"] = _with(FIXTURE) + """
 SELECT student_id, window_start_ms, session_id FROM (
   SELECT student_id, window_start_ms, session_id,
-         row_number() OVER (PARTITION BY student_id, window_start_ms ORDER BY kafka_offset) AS rn
+         row_number() OVER (PARTITION BY student_id, window_start_ms ORDER BY seq) AS rn
   FROM ev) WHERE rn = 1"""
 
     q["window_time_bounds"] = _with(FIXTURE) + """
@@ -248,7 +251,7 @@ FROM ev GROUP BY student_id, window_start_ms"""
 
     q["answer_lists"] = _with(FIXTURE) + """
 SELECT student_id, window_start_ms,
-       row_number() OVER (PARTITION BY student_id, window_start_ms ORDER BY kafka_offset) AS position,
+       row_number() OVER (PARTITION BY student_id, window_start_ms ORDER BY seq) AS position,
        event_ms, time_spent_ms
 FROM ev WHERE is_quiz"""
 
@@ -259,7 +262,7 @@ FROM ev_st WHERE total > 0"""
 
     q["rapid_submissions"] = _with(FIXTURE) + """,
 g AS (SELECT student_id, window_start_ms,
-             event_ms - lag(event_ms) OVER (PARTITION BY student_id, window_start_ms ORDER BY kafka_offset) AS gap
+             event_ms - lag(event_ms) OVER (PARTITION BY student_id, window_start_ms ORDER BY seq) AS gap
       FROM ev WHERE is_quiz)
 SELECT student_id, window_start_ms, count(*) AS total_answers,
        count(*) FILTER (WHERE gap < 5000) AS rapid_submissions
@@ -341,7 +344,7 @@ FROM lt WHERE window_end_ms <= stream_time_ms - 5000"""
     q["score_changelog"] = _with(FIXTURE) + """,
 gaps AS (
   SELECT event_id,
-         event_ms - lag(event_ms) OVER (PARTITION BY student_id, window_start_ms ORDER BY kafka_offset) AS gap
+         event_ms - lag(event_ms) OVER (PARTITION BY student_id, window_start_ms ORDER BY seq) AS gap
   FROM ev WHERE is_quiz),
 e2 AS (SELECT ev.*, coalesce(gaps.gap < 5000, false) AS rapid_flag FROM ev LEFT JOIN gaps USING (event_id)),
 r AS (
@@ -355,11 +358,11 @@ r AS (
     max(CASE WHEN is_quiz OR is_session THEN event_ms END) OVER w AS l,
     sum(CASE WHEN rapid_flag THEN 1 ELSE 0 END) OVER w AS rapid
   FROM e2
-  WINDOW w AS (PARTITION BY student_id, window_start_ms ORDER BY kafka_offset
+  WINDOW w AS (PARTITION BY student_id, window_start_ms ORDER BY seq
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 r2 AS (
   SELECT *, wrong_run - coalesce(max(CASE WHEN is_quiz AND ok THEN wrong_run END) OVER (
-              PARTITION BY student_id, window_start_ms ORDER BY kafka_offset
+              PARTITION BY student_id, window_start_ms ORDER BY seq
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS streak
   FROM r),
 st AS (

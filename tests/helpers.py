@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from learner_scoring.sources.fixture import topic_frames
 
@@ -60,5 +61,8 @@ def sess(offset, stype, event_ms, **kw):
 
 
 def topics(spark: SparkSession, rows) -> tuple[DataFrame, DataFrame]:
+    """Topic frames of hand-written rows; their offset is the arrival order of both topics."""
     flat = spark.createDataFrame(rows, FLAT_DDL)
-    return topic_frames(flat)
+    quiz, session = topic_frames(flat)
+    seq = F.col("kafka_offset")
+    return quiz.withColumn("arrival_seq", seq), session.withColumn("arrival_seq", seq)

@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from learner_scoring.plans import queries
 
 from tests.conftest import SF001
 
@@ -14,10 +14,10 @@ def _plan(df):
 
 @pytest.fixture(scope="module")
 def q():
-    return E.queries()
+    return queries.queries()
 
 
-def test_no_python_or_cartesian_anywhere(spark, q):
+def test_no_python_or_cartesian_in_core_queries(spark, q):
     for name, fn in q.items():
         if name == "streaming_scores":
             continue
@@ -50,5 +50,13 @@ def test_fold_never_collects_answers_in_batch(spark, q):
 
 def test_late_filter_is_bucketed(spark, q):
     p = _plan(q["late_filtered_scores"](spark, SF001))
-    # running max is partitioned by (kafka partition, offset bucket), not the partition alone
-    assert "hashpartitioning(kafka_partition" in p and "_bkt" in p
+    # running max is partitioned by (topic, kafka partition, offset bucket), not the partition alone
+    parts = [line.split("hashpartitioning(")[1] for line in p.split("\n") if "hashpartitioning(topic" in line]
+    assert parts and any("kafka_partition" in x and "_bkt" in x for x in parts)
+
+
+def test_answer_metrics_and_routes_take_one_pass(spark, q):
+    for name in ("incorrect_streak", "rapid_submissions", "event_routing"):
+        p = _plan(q[name](spark, SF001))
+        assert "Join" not in p, name
+        assert len([line for line in p.split("\n") if "FileScan" in line]) <= 2, name
