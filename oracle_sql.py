@@ -8,7 +8,15 @@ engine uses higher-order functions, and the float32 widening spelled as
 
 from __future__ import annotations
 
-from learner_scoring.config import DEFAULT_CONFIG, TUNED_CONFIG, ScoringConfig
+# Fixed values of the score, spelled here and not taken from the engine, so that a
+# wrong default of the engine shows.
+DEFAULT = {
+    "accuracy": 0.4, "dwell": 0.3, "pacing": 0.3,
+    "alert": 0.4, "yellow": 0.4, "green": 0.7,
+    "struggling_ms": 15000, "rushing_ms": 5000,
+    "expected_questions_per_minute": 0.5, "tolerance_percent": 0.2,
+}
+TUNED = DEFAULT | {"yellow": 0.7, "expected_questions_per_minute": 4.0, "tolerance_percent": 0.5}
 
 # The events fixture (compressed clock, derived quiz/session fields, offsets).
 FIXTURE = """
@@ -126,19 +134,17 @@ def _f(x: float) -> str:
     return f"CAST(CAST({x!r} AS FLOAT) AS DOUBLE)"
 
 
-def _score(state: str, cfg: ScoringConfig, name: str) -> str:
+def _score(state: str, v: dict, name: str) -> str:
     """Components, score, trend, alert on top of a state CTE."""
-    t = cfg.thresholds
-    w = cfg.weights
-    lo = f"({_f(t.expected_questions_per_minute)} * (1 - {_f(t.tolerance_percent)}))"
-    hi = f"({_f(t.expected_questions_per_minute)} * (1 + {_f(t.tolerance_percent)}))"
+    lo = f"({_f(v['expected_questions_per_minute'])} * (1 - {_f(v['tolerance_percent'])}))"
+    hi = f"({_f(v['expected_questions_per_minute'])} * (1 + {_f(v['tolerance_percent'])}))"
     return f"""
 {name}_c AS (
   SELECT *,
          CASE WHEN total = 0 THEN CAST(0 AS DOUBLE) ELSE rate END AS accuracy_score,
          CASE WHEN total = 0 THEN CAST(1 AS DOUBLE)
-              WHEN avg_t > {t.struggling_ms} THEN CAST(0.3 AS DOUBLE)
-              WHEN avg_t < {t.rushing_ms} THEN CAST(0.5 AS DOUBLE)
+              WHEN avg_t > {v['struggling_ms']} THEN CAST(0.3 AS DOUBLE)
+              WHEN avg_t < {v['rushing_ms']} THEN CAST(0.5 AS DOUBLE)
               ELSE CAST(1 AS DOUBLE) END AS dwell_score,
          CASE WHEN total = 0 THEN CAST(1 AS DOUBLE)
               WHEN qpm >= {lo} AND qpm <= {hi} THEN CAST(1 AS DOUBLE)
@@ -146,17 +152,17 @@ def _score(state: str, cfg: ScoringConfig, name: str) -> str:
   FROM {state}),
 {name}_s AS (
   SELECT *, greatest(CAST(0 AS DOUBLE), least(CAST(1 AS DOUBLE),
-           accuracy_score * {_f(w.accuracy)} + dwell_score * {_f(w.dwell)} + pacing_score * {_f(w.pacing)})) AS score
+           accuracy_score * {_f(v['accuracy'])} + dwell_score * {_f(v['dwell'])} + pacing_score * {_f(v['pacing'])})) AS score
   FROM {name}_c),
 {name} AS (
   SELECT *,
-         CASE WHEN score < {_f(t.alert)} THEN 'CRITICAL'
-              WHEN score < {_f(t.yellow)} THEN 'DECLINING'
-              WHEN rate > CAST(0.7 AS DOUBLE) AND avg_t >= {t.rushing_ms} AND avg_t <= {t.struggling_ms}
+         CASE WHEN score < {_f(v['alert'])} THEN 'CRITICAL'
+              WHEN score < {_f(v['yellow'])} THEN 'DECLINING'
+              WHEN rate > CAST(0.7 AS DOUBLE) AND avg_t >= {v['rushing_ms']} AND avg_t <= {v['struggling_ms']}
                    AND score >= CAST(0.8 AS DOUBLE) THEN 'RISING'
               ELSE 'STABLE' END AS trend,
-         score < {_f(t.alert)} AS alert_threshold_crossed,
-         CASE WHEN score >= {_f(t.green)} THEN 'GREEN' WHEN score >= {_f(t.yellow)} THEN 'YELLOW' ELSE 'ALERT' END AS zone
+         score < {_f(v['alert'])} AS alert_threshold_crossed,
+         CASE WHEN score >= {_f(v['green'])} THEN 'GREEN' WHEN score >= {_f(v['yellow'])} THEN 'YELLOW' ELSE 'ALERT' END AS zone
   FROM {name}_s)"""
 
 
@@ -164,9 +170,9 @@ SCORE_COLS = """student_id, session_id, window_start_ms, window_end_ms, CAST(tot
        accuracy_score, dwell_score, pacing_score, score, trend, alert_threshold_crossed"""
 
 
-def _scores_sql(cfg: ScoringConfig = DEFAULT_CONFIG, late: bool = False) -> str:
+def _scores_sql(v: dict = DEFAULT, late: bool = False) -> str:
     src = "ev_on_time" if late else "ev"
-    parts = [FIXTURE] + ([LATE] if late else []) + [_state(src), _score(f"{src}_st", cfg, "sc")]
+    parts = [FIXTURE] + ([LATE] if late else []) + [_state(src), _score(f"{src}_st", v, "sc")]
     return _with(*parts)
 
 
@@ -334,7 +340,7 @@ SELECT student_id, window_start_ms, accuracy_score, dwell_score, pacing_score,
 FROM sc"""
 
     q["engagement_scores"] = scores + f"\nSELECT {SCORE_COLS} FROM sc"
-    q["engagement_scores_tuned"] = _scores_sql(TUNED_CONFIG) + f"\nSELECT {SCORE_COLS} FROM sc"
+    q["engagement_scores_tuned"] = _scores_sql(TUNED) + f"\nSELECT {SCORE_COLS} FROM sc"
     q["late_filtered_scores"] = _scores_sql(late=True) + f"\nSELECT {SCORE_COLS} FROM sc"
 
     q["late_records"] = _with(FIXTURE, LATE) + """
@@ -371,7 +377,7 @@ st AS (
     CASE WHEN nt = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(tt AS DOUBLE) / CAST(nt AS DOUBLE) END AS avg_t,
     CASE WHEN f IS NULL OR l = f THEN CAST(0 AS DOUBLE)
          ELSE CAST(total AS DOUBLE) / (CAST(l - f AS DOUBLE) / CAST(60000 AS DOUBLE)) END AS qpm
-  FROM r2),""" + _score("st", DEFAULT_CONFIG, "sc") + """
+  FROM r2),""" + _score("st", DEFAULT, "sc") + """
 SELECT CAST(event_id AS VARCHAR) AS event_id, student_id, window_start_ms, kafka_offset,
        CAST(total AS BIGINT) AS total_answers, CAST(correct AS BIGINT) AS correct_answers,
        CAST(streak AS BIGINT) AS consecutive_incorrect, CAST(rapid AS BIGINT) AS rapid_submissions,
