@@ -4,8 +4,9 @@ Markup is stripped into lines, one per block element. Lines inside menus,
 headers, footers, sidebars, notices, adverts, forms and reader comments have no
 weight. The weights are summed over a sliding window of lines: a run of lines
 surges where a window first holds enough text and dives where it holds none; the
-text between is the page's text. An ``article`` or ``main`` element marks its
-own run, however short.
+text between is the page's text. Lines inside an ``article`` or ``main`` element
+get a bonus that lets them surge, however short; runs outside surge by their own
+text.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from learner_scoring.llm.common import arrow_map, ship_by_value
 #: Lines of a window, and the text (code points outside links) that makes it a surge.
 WINDOW = 3
 SURGE = 86
+#: Added to the weight of a line with text outside links inside an article or main element.
+BONUS = 86
 
 #: Elements whose text is markup or data, skipped up to their end tag.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "object", "select", "button"}
@@ -74,13 +77,14 @@ def _boilerplate(name: str, attrs: str) -> bool:
 
 
 class _Lines:
-    """Lines of a page in order: (text, weight, in a main element); None for a gap of boilerplate."""
+    """Lines of a page in order: (text, weight, number of its outermost main element or 0); None for a gap of boilerplate."""
 
     def __init__(self):
-        self.lines: list[tuple[str, int, bool] | None] = []
+        self.lines: list[tuple[str, int, int] | None] = []
         self.stack: list[tuple[str, bool]] = []  # open elements, True where boilerplate
         self.skip = 0
         self.main = 0
+        self.mains = 0
         self.link = 0
         self.parts: list[str] = []
         self.linked = 0
@@ -97,7 +101,7 @@ class _Lines:
         if self.parts:
             s = " ".join("".join(self.parts).split())
             if s:
-                self.lines.append((s, max(0, len(s) - self.linked), self.main > 0))
+                self.lines.append((s, max(0, len(s) - self.linked), self.mains if self.main else 0))
         self.parts, self.linked, self.link = [], 0, 0
 
     def open(self, name: str, attrs: str) -> None:
@@ -127,7 +131,9 @@ class _Lines:
             self.lines.append(None)
         self.stack.append((name, bad))
         self.skip += bad
-        self.main += name in MAIN and not bad
+        if name in MAIN and not bad:
+            self.mains += not self.main
+            self.main += 1
 
     def _pop(self) -> None:
         name, bad = self.stack.pop()
@@ -148,7 +154,7 @@ class _Lines:
                 return  # a stray end tag does not end the article
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool] | None]:
+def page_lines(page: str) -> list[tuple[str, int, int] | None]:
     out, at = _Lines(), 0
     for m in iter(lambda: _TAG.search(page, at), None):
         out.text(page[at : m.start()])
@@ -170,26 +176,27 @@ def page_lines(page: str) -> list[tuple[str, int, bool] | None]:
     return out.lines
 
 
-def main_lines(lines: list[tuple[str, int, bool] | None]) -> list[str]:
+def main_lines(lines: list[tuple[str, int, int] | None]) -> list[str]:
     """The lines between surge and dive points."""
-    marked = [x[0] for x in lines if x and x[2]]
-    if marked:
-        return marked
-    out: list[str] = []
-    weight = [x[1] if x else 0 for x in lines] + [0] * WINDOW
-    sums = [sum(weight[i : i + WINDOW]) for i in range(len(lines))]
+    weight = [x[1] + BONUS * (x[1] > 0 and x[2] > 0) if x else 0 for x in lines]
+    main = [x[2] if x else -1 for x in lines]
+    sums = [sum(weight[k] for k in range(i, min(i + WINDOW, len(lines))) if main[k] == main[i]) for i in range(len(lines))]
+    core: set[int] = set()
     i = 0
     while i < len(lines):
         if lines[i] is None or not sums[i]:
             i += 1
             continue
-        j = i  # a run goes on to boilerplate or to a window without text
-        while j < len(lines) and lines[j] is not None and sums[j]:
+        j = i  # a run goes on to boilerplate, to the edge of a main element or to a window without text
+        while j < len(lines) and main[j] == main[i] and sums[j]:
             j += 1
         if max(sums[i:j]) >= SURGE:
-            out += [x[0] for x in lines[i:j] if x[1]]
+            core.update(k for k in range(i, j) if weight[k])
         i = j
-    return out
+    if not any(weight):  # an article of links alone
+        return [x[0] for x in lines if x and x[2]]
+    mains = {main[k] for k in core if main[k]}
+    return [x[0] for k, x in enumerate(lines) if x and (k in core or x[2] in mains)]
 
 
 def main_text(page: str) -> str:

@@ -231,6 +231,19 @@ def test_html(main, text):
     assert html_extract.main_text(PAGE.format(main=main)) == text
 
 
+STORY = "<div>" + "".join(f"<p>{n} part of the story, told at some length so that its lines weigh enough.</p>" for n in ("First", "Second", "Third")) + "</div>"
+STORY_TEXT = "\n\n".join(f"{n} part of the story, told at some length so that its lines weigh enough." for n in ("First", "Second", "Third"))
+
+
+def test_html_story_beside_articles():
+    """An article is a hint: runs outside it surge by their own text, short lines outside do not."""
+    card = "<article><h3><a href=x>Other story</a></h3></article>"
+    assert html_extract.main_text(PAGE.format(main=STORY + card * 3)) == STORY_TEXT
+    told = "<article><h3>Other</h3><p>Read on.</p></article>"
+    assert html_extract.main_text(PAGE.format(main=told + STORY)) == "Other\n\nRead on.\n\n" + STORY_TEXT
+    assert html_extract.main_text(PAGE.format(main="<p>Short</p>" + told + "<p>Lines</p>")) == "Other\n\nRead on."
+
+
 def test_html_rows(spark):
     d = spark.createDataFrame([(1, "u", None), (2, None, ""), (3, "v", "<article><p>cut <b"), (3, "v", "<article><p>cut <b")], "page_id long, url string, html string")
     assert sorted(tuple(r) for r in html_extract.extract(d).fillna("").collect()) == [(1, "u", "", 0), (2, "", "", 0), (3, "v", "cut", 3), (3, "v", "cut", 3)]
