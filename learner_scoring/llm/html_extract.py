@@ -6,13 +6,16 @@ weight. The weights are summed over a sliding window of lines: a run of lines
 surges where a window first holds enough text and dives where it holds none; the
 text between is the page's text. Lines inside an ``article`` or ``main`` element
 get a bonus that lets them surge, however short; runs outside surge by their own
-text.
+text. Short runs and lines of links alone stay where they share a parent block
+with lines that surge; where the heaviest run does not reach a surge, as in
+verse, it sets the level.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,6 +39,11 @@ BLOCK = ASIDE | MAIN | set(
     "address blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html legend "
     "li ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Blocks that belong to the block around them, and blocks of which that is so where they hold data.
+CONTENT = set("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre figure figcaption address caption summary details legend center".split())
+TABLE = set("table tbody thead tfoot tr td th".split())
+#: Blocks that hold a paragraph or heading of their own.
+PARAGRAPH = set("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
 #: Elements without an end tag.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that may stay open, closed by the next of their kind.
@@ -76,12 +84,22 @@ def _boilerplate(name: str, attrs: str) -> bool:
     return False
 
 
+class Line(NamedTuple):
+    text: str
+    weight: int  # code points outside links
+    main: int  # number of its outermost main element, or 0
+    own: tuple[int, ...]  # its parent block, by number; also the block itself where the text stands in a div
+    near: tuple[int, ...]  # blocks whose text it may belong to
+    paragraph: bool
+
+
 class _Lines:
-    """Lines of a page in order: (text, weight, number of its outermost main element or 0); None for a gap of boilerplate."""
+    """Lines of a page in order; None for a gap of boilerplate."""
 
     def __init__(self):
-        self.lines: list[tuple[str, int, int] | None] = []
-        self.stack: list[tuple[str, bool]] = []  # open elements, True where boilerplate
+        self.lines: list[Line | None] = []
+        self.stack: list[tuple[str, bool, int]] = []  # open elements with their numbers, True where boilerplate
+        self.opened = 0
         self.skip = 0
         self.main = 0
         self.mains = 0
@@ -101,19 +119,33 @@ class _Lines:
         if self.parts:
             s = " ".join("".join(self.parts).split())
             if s:
-                self.lines.append((s, max(0, len(s) - self.linked), self.mains if self.main else 0))
+                self.lines.append(Line(s, max(0, len(s) - self.linked), self.mains if self.main else 0, *self._blocks()))
         self.parts, self.linked, self.link = [], 0, 0
 
+    def _around(self, at: int, kinds: set[str]) -> int:
+        """The number of the block that holds the element at this depth, past elements of these kinds; 0 for the page."""
+        while at >= 0 and self.stack[at][0] in kinds:
+            at -= 1
+        return self.stack[at][2] if at >= 0 else 0
+
+    def _blocks(self) -> tuple[tuple[int, ...], tuple[int, ...], bool]:
+        top = len(self.stack) - 1
+        inner = self.stack[top][0] if top >= 0 else ""
+        own = (self._around(top, CONTENT),)
+        if inner in ("div", "section"):
+            own += (self._around(top - 1, CONTENT),)
+        return own, (*own, self._around(top, CONTENT | TABLE)), inner in PARAGRAPH
+
     def open(self, name: str, attrs: str) -> None:
         if name == "a":
             self.link += 1
         if name == "br":
             self.text(" ")
         if name in MAIN:  # an unclosed menu or header ends where the article begins
-            while self.skip and any(n in ("nav", "header", "footer", "head", "menu") for n, b in self.stack if b):
+            while self.skip and any(n in ("nav", "header", "footer", "head", "menu") for n, b, _ in self.stack if b):
                 self._pop()
         if name == "body":
-            while any(n == "head" for n, _ in self.stack):
+            while any(n == "head" for n, _, _ in self.stack):
                 self._pop()
         if name in BLOCK:
             self.end_line()
@@ -129,14 +161,15 @@ class _Lines:
         if bad and not self.skip:
             self.end_line()
             self.lines.append(None)
-        self.stack.append((name, bad))
+        self.opened += 1
+        self.stack.append((name, bad, self.opened))
         self.skip += bad
         if name in MAIN and not bad:
             self.mains += not self.main
             self.main += 1
 
     def _pop(self) -> None:
-        name, bad = self.stack.pop()
+        name, bad, _ = self.stack.pop()
         self.skip -= bad
         self.main -= name in MAIN and not bad
 
@@ -154,7 +187,7 @@ class _Lines:
                 return  # a stray end tag does not end the article
 
 
-def page_lines(page: str) -> list[tuple[str, int, int] | None]:
+def page_lines(page: str) -> list[Line | None]:
     out, at = _Lines(), 0
     for m in iter(lambda: _TAG.search(page, at), None):
         out.text(page[at : m.start()])
@@ -176,12 +209,12 @@ def page_lines(page: str) -> list[tuple[str, int, int] | None]:
     return out.lines
 
 
-def main_lines(lines: list[tuple[str, int, int] | None]) -> list[str]:
-    """The lines between surge and dive points."""
-    weight = [x[1] + BONUS * (x[1] > 0 and x[2] > 0) if x else 0 for x in lines]
-    main = [x[2] if x else -1 for x in lines]
+def main_lines(lines: list[Line | None]) -> list[str]:
+    """The lines between surge and dive points, and what belongs to them."""
+    weight = [x.weight + BONUS * (x.weight > 0 and x.main > 0) if x else 0 for x in lines]
+    main = [x.main if x else -1 for x in lines]
     sums = [sum(weight[k] for k in range(i, min(i + WINDOW, len(lines))) if main[k] == main[i]) for i in range(len(lines))]
-    core: set[int] = set()
+    runs: list[tuple[int, int, int, int]] = []  # (text, best window, start, end)
     i = 0
     while i < len(lines):
         if lines[i] is None or not sums[i]:
@@ -190,13 +223,27 @@ def main_lines(lines: list[tuple[str, int, int] | None]) -> list[str]:
         j = i  # a run goes on to boilerplate, to the edge of a main element or to a window without text
         while j < len(lines) and main[j] == main[i] and sums[j]:
             j += 1
-        if max(sums[i:j]) >= SURGE:
-            core.update(k for k in range(i, j) if weight[k])
+        runs.append((sum(weight[i:j]), max(sums[i:j]), i, j))
         i = j
     if not any(weight):  # an article of links alone
-        return [x[0] for x in lines if x and x[2]]
+        return [x.text for x in lines if x and x.main]
+    # the heaviest run is the page's text; where even it has no surge, runs half as dense stay with it
+    _, best, _, _ = max(runs, key=lambda r: r[:2])
+    level = SURGE if best >= SURGE else best / 2
+    core = {k for _, top, i, j in runs if top >= level for k in range(i, j) if weight[k]}
     mains = {main[k] for k in core if main[k]}
-    return [x[0] for k, x in enumerate(lines) if x and (k in core or x[2] in mains)]
+    spans: dict[int, tuple[int, int]] = {}  # first and last line that surges, by parent block
+    for k in sorted(core):
+        for block in () if main[k] else lines[k].own:
+            spans[block] = (spans.get(block, (k,))[0], k)
+
+    def belongs(k: int, x: Line) -> bool:
+        if x.main:
+            return x.main in mains
+        around = [spans[b] for b in x.near if b in spans]
+        return bool(around) and (x.weight > 0 or x.paragraph or any(a < k < z for a, z in around))
+
+    return [x.text for k, x in enumerate(lines) if x and (k in core or belongs(k, x))]
 
 
 def main_text(page: str) -> str:

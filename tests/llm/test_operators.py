@@ -244,6 +244,26 @@ def test_html_story_beside_articles():
     assert html_extract.main_text(PAGE.format(main="<p>Short</p>" + told + "<p>Lines</p>")) == "Other\n\nRead on."
 
 
+LONG = "long words here " * 9 + "end"
+
+
+@pytest.mark.parametrize(
+    "main, lines",
+    [
+        (f"<div><p>{LONG}</p><div class=ad>Buy</div><p>End.</p></div>", [LONG, "End."]),
+        (f"<div><h2><a href=x>Title</a></h2><p>{LONG}</p><p><a href=y>All one link</a></p><p>{LONG}</p></div>", ["Title", LONG, "All one link", LONG]),
+        (f"<div><p>{LONG}<div class=ad>Buy</div><ul><li>one<li><a href=x>two</a></ul><div class=ad>Buy</div><p>{LONG}</div>", [LONG, "one", "two", LONG]),
+        (f"<div><p>{LONG}</p><div class=ad>Buy</div><table><tr><td>1<td>2</table></div>", [LONG, "1", "2"]),
+        (f"<div><ul><li><a href=x>Home</a><li><a href=y>About</a></ul></div><div class=ad>Buy</div><div><p>{LONG}</p></div><div class=ad>Buy</div><div><p>Links</p></div>", [LONG]),
+        ("<div>" + "<p>a short line of verse</p>" * 40 + "</div>", ["a short line of verse"] * 40),
+        ("<div>" + "<p>a short line of verse</p>" * 9 + "</div><div class=ad>Buy</div><div>" + "<p>and one more of them</p>" * 9 + "</div>", ["a short line of verse"] * 9 + ["and one more of them"] * 9),
+        ("<div><p>Only this.</p></div>", ["Only this."]),
+    ],
+)
+def test_html_without_article(main, lines):
+    assert html_extract.main_text(PAGE.format(main=main)) == "\n\n".join(lines)
+
+
 def test_html_rows(spark):
     d = spark.createDataFrame([(1, "u", None), (2, None, ""), (3, "v", "<article><p>cut <b"), (3, "v", "<article><p>cut <b")], "page_id long, url string, html string")
     assert sorted(tuple(r) for r in html_extract.extract(d).fillna("").collect()) == [(1, "u", "", 0), (2, "", "", 0), (3, "v", "cut", 3), (3, "v", "cut", 3)]
