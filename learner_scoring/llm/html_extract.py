@@ -8,7 +8,8 @@ text between is the page's text. Lines inside an ``article`` or ``main`` element
 get a bonus that lets them surge, however short; runs outside surge by their own
 text. Short runs and lines of links alone stay where they share a parent block
 with lines that surge; where the heaviest run does not reach a surge, as in
-verse, it sets the level.
+verse, it sets the level. Class, id and role only hint at boilerplate: an element
+so marked that holds the page's article or most of its text is none.
 """
 
 from __future__ import annotations
@@ -55,6 +56,16 @@ MARKS = set(
     "subscribe subscription signup login share sharing social related recommended recommendations comment comments commentlist respond "
     "replies disqus pagination pager widget toolbar copyright disclaimer".split()
 )
+#: Of these, words for what is no article text whatever it holds, unless a page has no other text.
+NEVER = set(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent newsletter subscribe "
+    "subscription share sharing social related recommended recommendations comment comments commentlist respond replies disqus".split()
+)
+#: Words before a mark that make it a word about the layout, as in has-sidebar.
+ABOUT = {"has", "no", "with", "without"}
+#: Words beside a mark that make it a part of the article, as in article-header, and the marks of which that is so.
+PARTS = {"article", "post", "entry"}
+OWN_PARTS = set("header footer banner masthead notice notices overlay copyright disclaimer".split())
 #: ARIA roles that mark boilerplate.
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "menubar", "form"}
 
@@ -68,20 +79,38 @@ _HINT = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
-def _boilerplate(name: str, attrs: str) -> bool:
-    if name in ASIDE:
-        return True
+#: Kinds of elements: no boilerplate, by its tag, by a hint, by a hint of NEVER.
+PLAIN, TAG, HINT, SURE = range(4)
+
+
+def _marks(value: str) -> set[str]:
+    """The words of a class or id that mark its element."""
+    out: set[str] = set()
+    for one in value.split():
+        words = [w.lower() for w in _WORDS.findall(one)]
+        part = not PARTS.isdisjoint(words)
+        for i, w in enumerate(words):
+            if w in MARKS and not (part and w in OWN_PARTS) and ABOUT.isdisjoint(words[:i]):
+                out.add(w)
+    return out
+
+
+def _boilerplate(name: str, attrs: str) -> int:
+    if name in ASIDE and name != "form":
+        return TAG
+    kind = HINT if name == "form" else PLAIN
     if name in ("html", "body") or not attrs:
-        return False
+        return kind
     for key, *values in _HINT.findall(attrs):
         value = next((v for v in values if v), "")
         if key.lower() == "role":
             if value.strip().lower() in ROLES:
-                return True
+                kind = max(kind, HINT)
         elif name not in MAIN or "comment" in value.lower():
-            if any(w.lower() in MARKS for w in _WORDS.findall(value)):
-                return True
-    return False
+            words = _marks(value)
+            if words:
+                kind = max(kind, HINT if words.isdisjoint(NEVER) else SURE)
+    return kind
 
 
 class Line(NamedTuple):
@@ -96,11 +125,17 @@ class Line(NamedTuple):
 class _Lines:
     """Lines of a page in order; None for a gap of boilerplate."""
 
-    def __init__(self):
+    def __init__(self, lifted: set[int] = frozenset()):
         self.lines: list[Line | None] = []
-        self.stack: list[tuple[str, bool, int]] = []  # open elements with their numbers, True where boilerplate
+        #: open elements with their numbers; the second is -1 where a tag marks boilerplate, the hint's number where a hint does
+        self.stack: list[tuple[str, int, int]] = []
         self.opened = 0
         self.skip = 0
+        self.tags = 0
+        self.lifted = lifted  # numbers of hints not to be followed
+        self.hints = 0
+        self.around: dict[int, tuple[int, bool]] = {}  # the hint around a hint or 0, is it or one around it sure
+        self.held: dict[int, list[int]] = {}  # text outside links that a hint holds back: all, in articles within
         self.main = 0
         self.mains = 0
         self.link = 0
@@ -109,12 +144,24 @@ class _Lines:
 
     def text(self, raw: str) -> None:
         if self.skip:
+            if not self.tags and not self.link and not raw.isspace():
+                self._hold(len(raw.strip()))
             return
         s = html.unescape(raw)
         self.parts.append(s)
         if self.link:
             self.linked += len(s)
 
+    def _hold(self, n: int) -> None:
+        told = False
+        for name, bad, _ in reversed(self.stack):
+            if bad:
+                held = self.held.setdefault(bad, [0, 0])
+                held[0] += n
+                held[1] += n * told
+                return
+            told = told or name in MAIN
+
     def end_line(self) -> None:
         if self.parts:
             s = " ".join("".join(self.parts).split())
@@ -152,25 +199,38 @@ class _Lines:
         if name in LOOSE and self.stack and self.stack[-1][0] == name:
             self._pop()
         if name in VOID or (name not in BLOCK and name not in MAIN):
-            if name not in VOID and _boilerplate(name, attrs):
-                self._push(name, True)
+            if name not in VOID and (bad := self._bad(name, attrs)):
+                self._push(name, bad)
             return
-        self._push(name, _boilerplate(name, attrs))
-
-    def _push(self, name: str, bad: bool) -> None:
+        self._push(name, self._bad(name, attrs))
+
+    def _bad(self, name: str, attrs: str) -> int:
+        kind = _boilerplate(name, attrs)
+        if kind in (PLAIN, TAG):
+            return -(kind == TAG)
+        self.hints += 1
+        if self.hints in self.lifted:
+            return 0
+        outer = next((b for _, b, _ in reversed(self.stack) if b > 0), 0)
+        self.around[self.hints] = (outer, kind == SURE or (outer > 0 and self.around[outer][1]))
+        return self.hints
+
+    def _push(self, name: str, bad: int) -> None:
         if bad and not self.skip:
             self.end_line()
             self.lines.append(None)
         self.opened += 1
         self.stack.append((name, bad, self.opened))
-        self.skip += bad
+        self.skip += bad != 0
+        self.tags += bad < 0
         if name in MAIN and not bad:
             self.mains += not self.main
             self.main += 1
 
     def _pop(self) -> None:
         name, bad, _ = self.stack.pop()
-        self.skip -= bad
+        self.skip -= bad != 0
+        self.tags -= bad < 0
         self.main -= name in MAIN and not bad
 
     def close(self, name: str) -> None:
@@ -187,8 +247,8 @@ class _Lines:
                 return  # a stray end tag does not end the article
 
 
-def page_lines(page: str) -> list[Line | None]:
-    out, at = _Lines(), 0
+def _parsed(page: str, lifted: set[int] = frozenset()) -> _Lines:
+    out, at = _Lines(lifted), 0
     for m in iter(lambda: _TAG.search(page, at), None):
         out.text(page[at : m.start()])
         at = m.end()
@@ -206,7 +266,28 @@ def page_lines(page: str) -> list[Line | None]:
         out.open(name, attrs)
     out.text(page[at:])
     out.end_line()
-    return out.lines
+    return out
+
+
+def _wrong_hints(found: _Lines) -> set[int]:
+    """Numbers of the hints on elements that hold the page's article or most of its text, and of the hints around them."""
+    free = [(x.weight, x.main > 0) if x else (0, False) for x in found.lines]
+    told = sum(w for w, inside in free if inside)
+    every = sum(w for w, _ in free) + sum(n for n, _ in found.held.values())
+    surges = told > 0 or any(sum(w for w, _ in free[i : i + WINDOW]) >= SURGE for i in range(len(free)))
+    out: set[int] = set()
+    for hint, (n, inside) in found.held.items():
+        if (inside > told or (n >= SURGE and 2 * n > every)) and not (found.around[hint][1] and surges):
+            while hint and hint not in out:
+                out.add(hint)
+                hint = found.around[hint][0]
+    return out
+
+
+def page_lines(page: str) -> list[Line | None]:
+    found = _parsed(page)
+    wrong = _wrong_hints(found)
+    return _parsed(page, wrong).lines if wrong else found.lines
 
 
 def main_lines(lines: list[Line | None]) -> list[str]:

@@ -264,6 +264,30 @@ def test_html_without_article(main, lines):
     assert html_extract.main_text(PAGE.format(main=main)) == "\n\n".join(lines)
 
 
+TOLD = "<article><p>Told.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "main, text",
+    [
+        (f'<div class="layout has-sidebar">{TOLD}</div>', "Told."),
+        (f'<div class="no-comments">{TOLD}</div>', "Told."),
+        (f'<div id="withBanner">{STORY}</div>', STORY_TEXT),
+        (f'<div class="article-header"><h1>Title</h1></div>{STORY}', "Title\n\n" + STORY_TEXT),
+        (f'<article><div class="entry-header"><h1>Title</h1></div><p>Told.</p><div class="post-comments">First!</div></article>', "Title\n\nTold."),
+        (f'<div class="banner"><div class="widget">{TOLD}<div class=ad>Buy</div></div></div>', "Told."),
+        (f'<form id=all><div role=dialog>{STORY}</div></form>', STORY_TEXT),
+        (f'<div class="sidebar-page">{STORY}<div class="sidebar"><p>Aside of the story</p></div></div>', STORY_TEXT),
+        (f'{TOLD}<div class="related">{STORY}<article>Card</article></div>', "Told."),
+        (f'{STORY}<div id="comments"><article><p>Reader</p></article>{STORY * 3}</div>', STORY_TEXT),
+        ('<div class="cookie-notice">We use cookies</div><div class="sidebar">Aside</div>', ""),
+    ],
+)
+def test_html_wrappers(main, text):
+    """A class, id or role on a wrapper of the article is no boilerplate; comments, adverts and cards beside it are."""
+    assert html_extract.main_text(PAGE.format(main=main)) == text
+
+
 def test_html_rows(spark):
     d = spark.createDataFrame([(1, "u", None), (2, None, ""), (3, "v", "<article><p>cut <b"), (3, "v", "<article><p>cut <b")], "page_id long, url string, html string")
     assert sorted(tuple(r) for r in html_extract.extract(d).fillna("").collect()) == [(1, "u", "", 0), (2, "", "", 0), (3, "v", "cut", 3), (3, "v", "cut", 3)]
