@@ -3,7 +3,8 @@
 Strong spans (assignments, access identifiers, long hex runs) are reported where
 they stand. Weak parts of a credential (a user name, a mixed token, an endpoint)
 say nothing alone: they are reported where a name or access identifier and a
-mixed token stand within one scope, found by an interval join of the parts.
+secret (a mixed token, an assignment or a long hex run) stand within one scope,
+found by an interval join of the parts.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ WEAK = [
     ("endpoint", r"(?:https?|ftp|jdbc:[a-z]+|mongodb|postgres(?:ql)?|mysql|redis|amqp)://[A-Za-z0-9.-]+(?::[0-9]+)?", ["://"]),
 ]
 KINDS = [k for k, _, _ in STRONG + WEAK]
+#: Kinds that are the secret of a credential, and those that say whose it is.
+SECRETS = (0, 2, 4)
+IDENTIFIERS = (1, 3)
 #: Group 2 of an assignment and a whole access identifier have at least so many characters.
 LEAST_VALUE, LEAST_ACCESS = 8, 16
 #: Parts of one credential lie at most so many code points apart.
@@ -94,29 +98,32 @@ def linked(spans: DataFrame) -> DataFrame:
     """The weak parts to report: (row, kind, start, end).
 
     Weak parts that overlap a strong span are dropped as already reported. An
-    identifier (user name or access identifier) and a mixed token at most
-    ``SCOPE`` apart are one credential; both are reported, and so is an endpoint
-    that far from the token.
+    identifier (user name or access identifier) and a secret (mixed token,
+    assignment or hex run) at most ``SCOPE`` apart are one credential; its weak
+    parts are reported, and so is an endpoint that far from the secret. An access
+    identifier inside the secret's own span is no identifier of it.
     """
     by_start = Window.partitionBy("row").orderBy("start", "kind")
     strong = F.col("kind") < len(STRONG)
     before = F.max(F.when(strong, F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     after = F.min(F.when(strong, F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing))
     covered = ~strong & ((F.coalesce(before, F.lit(-1)) > F.col("start")) | (F.coalesce(after, F.col("end")) < F.col("end")))
-    parts = spans.withColumn("covered", covered).filter("not covered").filter(F.col("kind").isin(1, 3, 4, 5))
+    parts = spans.withColumn("covered", covered).filter("not covered")
     block = F.floor(F.col("start") / SCOPE)
-    # a token is met in the blocks its scope reaches; others lie in the blocks they touch
+    # a secret is met in the blocks its scope reaches; others lie in the blocks they touch
     low, high = F.floor((F.col("start") - SCOPE) / SCOPE), F.floor((F.col("end") + SCOPE) / SCOPE)
-    tokens = parts.filter("kind = 4").select("row", F.col("start").alias("ts"), F.col("end").alias("te"), F.explode(F.sequence(low, high)).alias("block"))
-    others = parts.filter("kind <> 4").select("row", "kind", "start", "end", F.explode(F.sequence(block, F.floor(F.col("end") / SCOPE))).alias("block"))
-    near = tokens.join(others, ["row", "block"]).filter((F.col("start") <= F.col("te") + SCOPE) & (F.col("end") + SCOPE >= F.col("ts")))
-    ident = F.col("kind").isin(1, 3)
-    kept = near.groupBy("row", "ts", "te").agg(
-        F.max(ident).alias("ok"), F.collect_set(F.when(F.col("kind") != 1, F.struct("kind", "start", "end"))).alias("with")
+    secret = F.col("kind").isin(*SECRETS)
+    secrets = parts.filter(secret).select("row", F.col("kind").alias("tk"), F.col("start").alias("ts"), F.col("end").alias("te"), F.explode(F.sequence(low, high)).alias("block"))
+    others = parts.filter(~secret).select("row", "kind", "start", "end", F.explode(F.sequence(block, F.floor(F.col("end") / SCOPE))).alias("block"))
+    near = secrets.join(others, ["row", "block"]).filter((F.col("start") <= F.col("te") + SCOPE) & (F.col("end") + SCOPE >= F.col("ts")))
+    near = near.filter((F.col("kind") != 1) | (F.col("end") <= F.col("ts")) | (F.col("start") >= F.col("te")))
+    weak = F.col("kind") >= len(STRONG)
+    kept = near.groupBy("row", "tk", "ts", "te").agg(
+        F.max(F.col("kind").isin(*IDENTIFIERS)).alias("ok"), F.collect_set(F.when(weak, F.struct("kind", "start", "end"))).alias("with")
     ).filter("ok")
-    token = F.struct(F.lit(4).alias("kind"), F.col("ts").alias("start"), F.col("te").alias("end"))
+    token = F.struct(F.col("tk").alias("kind"), F.col("ts").alias("start"), F.col("te").alias("end"))
     each = kept.select("row", F.explode(F.concat(F.array(token), "with")).alias("p"))
-    return each.select("row", "p.*").distinct()
+    return each.select("row", "p.*").filter(weak).distinct()
 
 
 def _joined(spans: Column) -> Column:
