@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import html
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -134,3 +136,120 @@ def quality(docs):
         failed = len(w) < 50 or 100 * len(rep) > 50 * len(w)
         out.append((d["doc_id"], len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(ls) - len(set(ls)), len(rep), failed))
     return out
+
+
+def kept_by_quality(docs):
+    """op9: which docs stay, with the verdicts on their hosts."""
+    hard = [q[-1] for q in quality(docs)]
+    soft = [2 * q[3] > q[1] or 2 * q[4] > q[1] for q in quality(docs)]
+    failed = [a or b for a, b in zip(hard, soft)]
+    hosts = defaultdict(list)
+    for d, f in zip(docs, failed):
+        hosts[d["source"]].append(f)
+    rates = [sum(f) / len(f) for f in hosts.values()]
+    m = sum(rates) / len(rates) if rates else 0.0
+    v = sum((r - m) ** 2 for r in rates) / (len(rates) - 1) if len(rates) > 1 else 0.0
+    s = m * (1 - m) / v - 1 if 0 < v < m * (1 - m) else 10.0
+    rejected = {h for h, f in hosts.items() if (sum(f) + m * s) / (len(f) + s) > 0.5}
+    return [not a and not (b and d["source"] in rejected) for d, a, b in zip(docs, hard, failed)]
+
+
+def line_texts(docs):
+    """op4: the texts that stay, for docs whose doc_ids differ."""
+    key = lambda x: lower_az(x.strip(" \t\n\x0b\x0c\r"))
+    first = {}
+    for d in docs:
+        for x in map(key, (d["text"] or "").split("\n")):
+            first[x] = min(first.get(x, d["doc_id"]), d["doc_id"])
+    keeps = lambda d, x: len(key(x)) < 10 or first[key(x)] == d["doc_id"]
+    return ["\n".join(x for x in (d["text"] or "").split("\n") if keeps(d, x)) for d in docs]
+
+
+def mix(docs):
+    """op3: copies of every doc."""
+    size = [len(WORD.findall(d["text"] or "")) for d in docs]
+    place = [hashlib.md5(f"mix-1:{d['doc_id']}:{d['text'] or ''}".encode()).hexdigest()[:9] for d in docs]
+    names = sorted({d["source"] for d in docs}, key=lambda x: (x is None, x or ""))
+    weight = {x: (3, 1, 2)[i % 3] for i, x in enumerate(names)}
+    whole = {x: sum(n for d, n in zip(docs, size) if d["source"] == x) for x in names}
+    target, left, rest = {}, Fraction(3 * sum(whole.values()), 2), sum(weight.values())
+    for x in sorted(names, key=lambda x: Fraction(2 * whole[x], weight[x])):
+        target[x] = min(Fraction(2 * whole[x]), left / rest * weight[x])
+        left, rest = left - target[x], rest - weight[x]
+    copies = [0] * len(docs)
+    for x in names:
+        full = target[x] // whole[x] if whole[x] else 0
+        left, groups = target[x] - full * whole[x], defaultdict(list)
+        for i, d in enumerate(docs):
+            if d["source"] == x:
+                groups[place[i]].append(i)
+                copies[i] = min(2, int(full))
+        for _, ids in sorted(groups.items()):
+            n = sum(size[i] for i in ids)
+            if n > left and n - left >= left:
+                break
+            for i in ids:
+                copies[i] = min(2, copies[i] + 1)
+            if n > left:
+                break
+            left -= n
+    return copies
+
+
+def corpus(docs, enc):
+    """The pipeline: (doc_id, n_tokens, ids digest, text digest, ids) of every row."""
+    docs = [d for d, ok in zip(docs, kept_by_quality(docs)) if ok]
+    docs = [{**d, "text": t} for d, t in zip(docs, line_texts(docs))]
+    docs = [d for d, n in zip(docs, near(docs, 80, 5)) if n[2] == d["doc_id"]]
+    docs = [d for d, n in zip(docs, mix(docs)) for _ in range(n)]
+    return [(*t, tuple(enc.encode_ordinary(d["text"]))) for d, t in zip(docs, tokens(docs, enc))]
+
+
+USER = re.compile(r"""(?:user(?:_?name)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""", re.I | re.A)
+ENDPOINT = re.compile(r"(?:https?|ftp|jdbc:[a-z]+|mongodb|postgres(?:ql)?|mysql|redis|amqp)://[A-Za-z0-9.-]+(?::[0-9]+)?")
+
+
+def secret_spans(docs, scope=200):
+    """op7: (doc_id, spans, n_weak) with the linked parts."""
+    names = ["assign", "access", "hex", "user", "mixed", "endpoint"]
+    out = []
+    for d in docs:
+        t = d["text"] or ""
+        strong = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 8]
+        strong += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+        strong += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]{32,}", t)]
+        weak = [(m.start(), 3, m.end()) for m in USER.finditer(t)]
+        weak += [(m.start(), 4, m.end()) for m in re.finditer("[A-Za-z0-9+/]{20,}", t) if all(re.search(c, m[0]) for c in ("[0-9]", "[A-Z]", "[a-z]"))]
+        weak += [(m.start(), 5, m.end()) for m in ENDPOINT.finditer(t)]
+        weak = [w for w in weak if not any(s[0] < w[2] and w[0] < s[2] for s in strong)]
+        told = set()
+        for z in strong + weak:
+            if z[1] in (0, 2, 4):
+                near = [p for p in strong + weak if p[1] in (1, 3, 5) and p[0] <= z[2] + scope and p[2] + scope >= z[0]]
+                near = [p for p in near if p[1] != 1 or p[2] <= z[0] or p[0] >= z[2]]
+                if any(p[1] != 5 for p in near):
+                    told.update(p for p in [z, *near] if p[1] > 2)
+        out.append((d["doc_id"], ",".join(f"{names[k]}:{a}:{b}" for a, k, b in sorted([*strong, *told])), len(told)))
+    return out
+
+
+def article_text(page):
+    """op10, for pages whose text is one article of headings and paragraphs."""
+    inner = re.search(r"<article>(.*?)(?:</article>|\Z)", page or "", re.S)
+    cut = re.sub(r'<!--.*?-->|<(script|style|aside|nav|footer|form)\b.*?</\1>|<div class="[^"]*">.*?</div>', "", inner[1] if inner else "", flags=re.S)
+    parts = re.split(r"</?(?:p|h[1-6]|ul|ol|li|blockquote|div)\b[^>]*>", re.sub(r"<br[^>]*>", " ", cut))
+    texts = [" ".join(html.unescape(re.sub("<[^>]*(?:>|$)", "", x)).split()) for x in parts]
+    return "\n\n".join(x for x in texts if x)
+
+
+def vectors(rows, cosine=0.98):
+    """op8, for rows of distinct vec_ids: (vec_id, n_links, component_id, kept)."""
+    import numpy as np
+
+    x = [np.asarray(np.float32(r["embedding"]), float) for r in rows]
+    x = [v / np.linalg.norm(v) for v in x]
+    links = [(a, b) for a in range(len(x)) for b in range(a + 1, len(x)) if rows[a]["label"] == rows[b]["label"] is not None and x[a] @ x[b] >= cosine]
+    root, n, least = components(len(x), links), Counter(i for pair in links for i in pair), {}
+    for r, k in zip(rows, root):
+        least[k] = min(least.get(k, r["vec_id"]), r["vec_id"])
+    return [(r["vec_id"], n[i], least[root[i]], r["vec_id"] == least[root[i]]) for i, r in enumerate(rows)]

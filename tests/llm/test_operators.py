@@ -332,3 +332,36 @@ def test_pipeline(spark):
     ok = [x for x, q in zip(docs, brute.quality(docs)) if not q[-1]]
     assert {r["doc_id"] for r in got} <= {x["doc_id"] for x in ok}
     assert os.path.isdir(out) and all(r["n_tokens"] == len(r["ids"]) for r in got)
+
+
+def test_added_columns_on_the_smallest_tables(spark):
+    docs = plain(spark.read.parquet(f"{SF001}/documents.parquet"))
+    same(Q.op7_secret_scan(spark, SF001).select("doc_id", "spans", "n_weak").collect(), brute.secret_spans(docs))
+    same(Q.op9_quality_rules(spark, SF001).select("doc_id", "kept").collect(), [(d["doc_id"], k) for d, k in zip(docs, brute.kept_by_quality(docs))])
+    vectors = [r.asDict() for r in spark.read.parquet(f"{SF001}/embeddings.parquet").collect()]
+    same(Q.op8_embed_dedup(spark, SF001).collect(), brute.vectors(vectors))
+    pages = [r.asDict() for r in spark.read.parquet(f"{SF001}/pages.parquet").collect()]
+    want = [(p["page_id"], p["url"], brute.article_text(p["html"])) for p in pages]
+    same(Q.op10_html_extract(spark, SF001).collect(), [(*w, len(w[2])) for w in want])
+
+
+def pipeline_rows(spark, folder):
+    import corpus_pipeline as P
+
+    return [(*[r[c] for c in ("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")], tuple(r["ids"])) for r in P.run(spark, folder).collect()]
+
+
+def test_pipeline_rows(spark):
+    """Every row of the pipeline: hosts' verdicts, repeated lines, near copies, copies of the mix, tokens."""
+    enc = brute.bpe_encoding(VOCAB, tok.PATTERN)
+    near = [" ".join(w if i not in cut else f"e{k}" for i, w in enumerate(BASE.split())) for k, cut in enumerate([(3,), (50,), (80,)])]
+    noisy = [f"{words(55, 90 + i, 900)} " + "# " * 60 for i in range(4)]
+    shared = [f"{words(70, 70 + i, 9000)}\nA line that several documents hold\n{words(30, 80 + i, 9000)}" for i in range(9)]
+    d = rows(spark, TEXTS + near + noisy + shared)
+    out = tempfile.mkdtemp(prefix="pipe-")
+    d.write.mode("overwrite").parquet(f"{out}/documents.parquet")
+    want = brute.corpus(plain(d), enc)
+    assert len(want) > len({w[0] for w in want}) > 9  # some twice
+    same(pipeline_rows(spark, out), want)
+    docs = plain(spark.read.parquet(f"{SF001}/documents.parquet"))
+    same(pipeline_rows(spark, SF001), brute.corpus(docs, enc))
