@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,8 +142,11 @@ def repeated_keys(refs: DataFrame) -> DataFrame:
 def drops(refs: DataFrame) -> DataFrame:
     """(doc, lost): per document the keys (h1, h2) that another, smaller document keeps."""
     keep = repeated_keys(refs).select("h1", "h2", "first_doc")
-    lost = refs.join(keep, ["h1", "h2"]).filter("doc != first_doc")
-    return lost.groupBy("doc").agg(F.collect_list(F.struct("h1", "h2")).alias("lost"))
+    return _lost(refs.join(keep, ["h1", "h2"]).filter("doc != first_doc"))
+
+
+def _lost(refs: DataFrame) -> DataFrame:
+    return refs.groupBy("doc").agg(F.collect_list(F.struct("h1", "h2")).alias("lost"))
 
 
 def _lost_sets(col: pa.ListArray) -> list[set[bytes] | None]:
@@ -174,13 +178,18 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     without doc_id are one document after all others; rows with the same doc_id
     are one document, so lines they share with each other alone stay.
     """
+    return without_lines(docs, drops(line_refs(docs)))
+
+
+def without_lines(docs: DataFrame, lost: DataFrame) -> DataFrame:
+    """``docs`` without the lines that :func:`drops` tells for each, with n_lines and n_dropped."""
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     text = f"c{names.index('text')}"
     keyed = docs.select(names).toDF(*[f"c{i}" for i in range(len(names))])
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keyed.schema) + ", n_lines long, n_dropped long"
     fields = keyed.columns
     doc = F.coalesce(F.col(f"c{names.index('doc_id')}").cast("long"), F.lit(NO_ID))
-    joined = keyed.withColumn("doc", doc).join(drops(line_refs(docs)), "doc", "left").drop("doc")
+    joined = keyed.withColumn("doc", doc).join(lost, "doc", "left").drop("doc")
 
     def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [clean_lines(r, x) for r, x in zip(raw_texts(batch, text), _lost_sets(batch.column("lost")))]
@@ -194,19 +203,41 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 class LineIndex:
     """References and filters of the lines inserted so far, in a shared folder.
 
-    ``refs`` holds the exact table (shard, h1, h2, doc), ``filters`` one cuckoo
-    filter per shard; every change writes a new version and then its number, so
-    a job that dies half-way leaves the last whole version in force.
+    ``refs`` holds the exact table (shard, h1, h2, doc, since), ``filters`` one
+    cuckoo filter per shard; every change writes a new version and then adds its
+    number to the table ``versions``, so a job that dies half-way leaves the last
+    whole version in force, and an existing folder is gone on with. ``shards``
+    holds for a new folder; one writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str, shards: int = 64):
         self.spark, self.path, self.shards, self.version = spark, path.rstrip("/"), shards, 0
-        self._write(spark.createDataFrame([], "shard long, " + REFS), spark.createDataFrame([], "shard long, filter binary"))
+        last = self._last()
+        if last:
+            self.version, self.shards = last
+        else:
+            self._write(spark.createDataFrame([], self._REFS), spark.createDataFrame([], "shard long, filter binary"))
+
+    _REFS = "shard long, " + REFS + ", since long"
+    _VERSIONS = "version long, shards long"
+
+    def _last(self) -> tuple[int, int] | None:
+        """(version, shards) of the last whole version in the folder."""
+        try:
+            told = self.spark.read.schema(self._VERSIONS).parquet(f"{self.path}/versions")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        row = told.orderBy(F.desc("version")).first()
+        return (row["version"], row["shards"]) if row else None
 
     def _write(self, refs: DataFrame, filters: DataFrame) -> None:
         to = f"{self.path}/v{self.version + 1}"
         refs.write.mode("overwrite").parquet(f"{to}/refs")
         filters.write.mode("overwrite").parquet(f"{to}/filters")
+        row = self.spark.createDataFrame([(self.version + 1, self.shards)], self._VERSIONS)
+        row.coalesce(1).write.mode("append").parquet(f"{self.path}/versions")
         self.version += 1
 
     def refs(self) -> DataFrame:
@@ -259,17 +290,33 @@ class LineIndex:
         new = self._sharded(line_refs(docs)).join(self.refs(), ["shard", "h1", "h2", "doc"], "left_anti")
         held = self.refs().select("shard", "h1", "h2").distinct()
         first = new.select("shard", "h1", "h2").distinct().join(held, ["shard", "h1", "h2"], "left_anti")
-        refs = self.refs().unionByName(new)
+        refs = self.refs().unionByName(new.withColumn("since", F.lit(self.version + 1).cast("long")))
         self._store(refs, self._change(first, True))
 
     def delete(self, docs: DataFrame) -> None:
         """Take documents (by doc_id) out again."""
         gone = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc")).distinct()
-        refs = self.refs().join(gone, "doc", "left_anti").select("shard", "h1", "h2", "doc")
+        refs = self.refs().join(gone, "doc", "left_anti").select("shard", "h1", "h2", "doc", "since")
         keys = ["shard", "h1", "h2"]
         last = self.refs().select(keys).distinct().join(refs.select(keys).distinct(), keys, "left_anti")
         self._store(refs, self._change(last, False))
 
+    def dedup(self, docs: DataFrame) -> DataFrame:
+        """:func:`dedup_lines` of a batch that comes after the documents inserted so far.
+
+        A line stays in the document that was inserted with it first (the smallest
+        doc_id of that batch), and a line that no inserted document holds in the
+        smallest doc_id of this batch. The index does not change: ``insert`` the
+        same documents to keep them; the answer for them is then the same.
+        """
+        refs = line_refs(docs).distinct()
+        known = self.maybe_known(docs).filter("known").select("h1", "h2")
+        held = self.refs().join(known, ["h1", "h2"], "left_semi")
+        keeper = held.groupBy("h1", "h2").agg(F.min(F.struct("since", "doc"))["doc"].alias("keeper"))
+        first = repeated_keys(refs).select("h1", "h2", "first_doc")
+        told = refs.join(keeper, ["h1", "h2"], "left").join(first, ["h1", "h2"], "left")
+        return without_lines(docs, _lost(told.filter("doc != coalesce(keeper, first_doc, doc)")))
+
     def _store(self, refs: DataFrame, changed: DataFrame) -> None:
         def anew(key, rows: pd.DataFrame) -> pd.DataFrame:
             h = rows.h1.to_numpy().view(np.uint64)

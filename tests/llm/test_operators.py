@@ -84,6 +84,31 @@ def test_line_index_is_reversible(spark):
     assert index.maybe_known(old).filter("not known").count() == 0
 
 
+def test_line_index_goes_on_after_a_restart(spark):
+    d = rows(spark)
+    old, new = d.filter("doc_id < 10"), d.filter("doc_id >= 10")
+    want = brute.lines(plain(d))
+    answer = lambda x: sorted(kept(x, "doc_id", "n_lines", "n_dropped"))
+    path = tempfile.mkdtemp(prefix="lines-")
+    index = line_dedup.LineIndex(spark, path, shards=3)
+    same(answer(index.dedup(old)), [w for w in want if w[0] < 10])
+    index.insert(old)
+    counts = sorted(map(tuple, index.counts().collect()))
+    again = line_dedup.LineIndex(spark, path)
+    assert (again.version, again.shards) == (index.version, 3)
+    assert counts and sorted(map(tuple, again.counts().collect())) == counts
+    same(answer(again.dedup(new)), [w for w in want if w[0] >= 10])
+    again.insert(new)
+    same(answer(line_dedup.LineIndex(spark, path).dedup(d)), want)
+    # what came first keeps its lines, also from smaller documents
+    late = line_dedup.LineIndex(spark, tempfile.mkdtemp(prefix="lines-"), shards=3)
+    late.insert(new)
+    before = answer(late.dedup(new))
+    shared = sum(r["n_dropped"] for r in late.dedup(old).collect())
+    late.insert(old)
+    assert answer(late.dedup(new)) == before and shared > sum(w[2] for w in want if w[0] < 10)
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.integers(0, 2**64 - 1), unique=True, max_size=400))
 def test_cuckoo(keys):
