@@ -405,9 +405,10 @@ def q_score_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_streaming_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D5/D6/D9/D10/D12 + A7: the Structured Streaming query over file-backed
-    topics, run to completion with an available-now trigger; returns the
-    upserted score table it wrote."""
+    """D5/D6/D10/D12 + A7: the Structured Streaming query over file-backed
+    topics landed in slices, started again after each from its checkpoint and
+    RocksDB state with an available-now trigger; returns the upserted score
+    table it wrote. The timed cadence (D9) is not run."""
     from learner_scoring.streaming.pipeline import run_file_backed_stream
 
     return run_file_backed_stream(spark, sf_dir).select(*SCORE_OUT)

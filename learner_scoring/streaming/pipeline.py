@@ -13,8 +13,10 @@ end; the checkpoint holds offsets and state so a restart resumes.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from learner_scoring.config import DEFAULT_CONFIG, ScoringConfig
@@ -25,6 +27,9 @@ from learner_scoring.session import ensure_checkpoint_dir
 from learner_scoring.streaming.sinks import BatchUpsert, latest_scores
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+#: Slices of record time in which the file-backed stream lands its topics.
+SLICES = 4
 
 
 def stream_scores(quiz: DataFrame, session: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -35,7 +40,21 @@ def stream_scores(quiz: DataFrame, session: DataFrame, cfg: ScoringConfig = DEFA
 
 def use_rocksdb_state(spark: SparkSession) -> None:
     """Keep keyed state in RocksDB (off-heap, spills to local disk, checkpointed)."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    spark.conf.set(PROVIDER_KEY, ROCKSDB_PROVIDER)
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """``use_rocksdb_state`` for the queries run inside; the session's own setting comes back."""
+    before = spark.conf.get(PROVIDER_KEY, None)
+    use_rocksdb_state(spark)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER_KEY)
+        else:
+            spark.conf.set(PROVIDER_KEY, before)
 
 
 def start_query(
@@ -74,18 +93,36 @@ def file_topics(spark: SparkSession, quiz_dir: str, session_dir: str, max_files_
 
 
 def run_file_backed_stream(
-    spark: SparkSession, sf_dir: str, cfg: ScoringConfig = DEFAULT_CONFIG, output_mode: str = "update"
+    spark: SparkSession,
+    sf_dir: str,
+    cfg: ScoringConfig = DEFAULT_CONFIG,
+    output_mode: str = "update",
+    slices: int = SLICES,
+    run: str | None = None,
 ) -> DataFrame:
-    """Write the fixture topics of ``sf_dir`` to parquet under the shared
-    checkpoint root, stream them through ``stream_scores`` to completion and
-    return the upserted score table."""
+    """Stream the fixture topics of ``sf_dir`` through ``stream_scores`` and
+    return the upserted score table.
+
+    The topics are landed under the shared checkpoint root in ``slices`` of
+    record time, the same for both, so no record comes after the watermark.
+    After each slice the query is started again from its checkpoint (offsets and
+    RocksDB state), reads what is new and stops. ``run`` is a new folder for all
+    of it.
+    """
     from learner_scoring.sources.fixture import load_topics
 
-    run = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
-    quiz, session = load_topics(spark, sf_dir)
-    quiz.write.parquet(f"{run}/quiz")
-    session.write.parquet(f"{run}/session")
-    qs, ss = file_topics(spark, f"{run}/quiz", f"{run}/session")
-    q = start_query(stream_scores(qs, ss, cfg), BatchUpsert(f"{run}/scores"), f"{run}/checkpoint", output_mode, available_now=True)
-    q.awaitTermination()
+    run = run or f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    topics = dict(zip(("quiz", "session"), load_topics(spark, sf_dir)))
+    times = topics["quiz"].select("record_ts").union(topics["session"].select("record_ts"))
+    at = [i / slices for i in range(1, slices)]
+    ends = times.agg(F.percentile_approx(F.unix_micros("record_ts"), at).alias("p")).first()["p"] if at else []
+    micros = F.unix_micros("record_ts")
+    place = sum((F.when(micros > end, 1).otherwise(0) for end in ends or []), F.lit(0))  # null times come first
+    with rocksdb_state(spark):
+        for i in range(slices):
+            for name, topic in topics.items():
+                topic.filter(place == i).write.mode("append").parquet(f"{run}/{name}")
+            qs, ss = file_topics(spark, f"{run}/quiz", f"{run}/session")
+            sink = BatchUpsert(f"{run}/scores")
+            start_query(stream_scores(qs, ss, cfg), sink, f"{run}/checkpoint", output_mode, available_now=True).awaitTermination()
     return latest_scores(spark, f"{run}/scores")
