@@ -52,6 +52,58 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM h JOIN verdict ON h.source IS NOT DISTINCT FROM verdict.source
 """
 
+OP11 = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT ar, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) AS slot
+  FROM s WHERE same QUALIFY slot <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER (PARTITION BY p.ar, slot ORDER BY score DESC, vec_id))::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.ar = s.ar AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+OP12 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_WORDS} AS ws FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first FROM d GROUP BY t),
+good AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (len(ws) < 100)::INT + 2 * (100 * len(list_distinct(ws)) < 80 * len(ws))::INT
+         + 4 * (100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * coalesce(first < d.doc_id, false)::INT AS bits
+  FROM d JOIN firsts USING (t) LEFT JOIN good ON d.doc_id = good.doc_id),
+c AS (SELECT part, bits, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, bits),
+one AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS b),
+perm AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bs
+  FROM one a, one b, one c, one d, one e WHERE a.b + b.b + c.b + d.b + e.b = 31 AND a.b | b.b | c.b | d.b | e.b = 31),
+step AS (
+  SELECT filter_order, i::INTEGER AS step, bs[i] AS bit, coalesce(list_sum(bs[1:i - 1]), 0)::INTEGER AS before
+  FROM perm, (SELECT unnest(range(1, 6)) AS i)),
+shown AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN bits & (before | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+         sum(CASE WHEN bits & bit <> 0 AND bits & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+         sum(CASE WHEN bits & bit <> 0 AND bits & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+         sum(CASE WHEN bits = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+         sum(CASE WHEN bits & bit <> 0 AND bits & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+         sum(CASE WHEN bits & bit <> 0 AND bits & before = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM c, step GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM shown
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1, "op4_line_dedup": OP4, "op9_quality_rules": OP9}
+    return {"op1_substring_dedup": OP1, "op4_line_dedup": OP4, "op9_quality_rules": OP9, "op11_hard_negatives": OP11, "op12_filter_audit": OP12}

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learner_scoring.llm import bpe, embed_dedup, html_extract, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, sharding, substring_dedup
+from learner_scoring.llm import (
+    bpe, embed_dedup, filter_audit, hard_negatives, html_extract, jaccard_join, line_dedup, mixing, quality_model, quality_rules, secret_scan, sharding, substring_dedup,
+)
 from learner_scoring.llm.common import read
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -62,6 +64,18 @@ def op10_html_extract(spark, sf_dir):
     return html_extract.extract(read(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(_docs(spark, sf_dir, "lang"), read(spark, sf_dir, "labels"))
+
+
+def op13_quality_classifier(spark, sf_dir):
+    return quality_model.score(_docs(spark, sf_dir), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [f for name, f in globals().items() if name.startswith("op") and callable(f)]
     return {f.__name__: f for f in found}

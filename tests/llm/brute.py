@@ -253,3 +253,61 @@ def vectors(rows, cosine=0.98):
     for r, k in zip(rows, root):
         least[k] = min(least.get(k, r["vec_id"]), r["vec_id"])
     return [(r["vec_id"], n[i], least[root[i]], r["vec_id"] == least[root[i]]) for i, r in enumerate(rows)]
+
+
+def hard_negatives(rows):
+    """op11."""
+    import math
+
+    v = []
+    for r in rows:
+        x = r["embedding"]
+        if r["vec_id"] is None or r["label"] is None or x is None or any(c is None or not math.isfinite(c) for c in x):
+            continue
+        label = (r["label"] + 1) % 10 if r["vec_id"] % 7 == 0 else r["label"]
+        v.append((r["vec_id"], label, [math.floor(256 * c) for c in x]))
+    out = []
+    for i, (anchor, label, q) in enumerate(v):
+        if anchor % 50:
+            continue
+        ranked = sorted((-sum(a * b for a, b in zip(q, p)), vec_id, lab) for j, (vec_id, lab, p) in enumerate(v) if j != i)
+        for ps, positive, _ in [x for x in ranked if x[2] == label][:5]:
+            ok = [x for x in ranked if x[2] != label and 50 * -ps <= 100 * -x[0] <= 95 * -ps][:3]
+            out += [(anchor, positive, k + 1, vec_id, -ps, -ns) for k, (ns, vec_id, _) in enumerate(ok)]
+    return out
+
+
+def audit(docs, labels):
+    """op12."""
+    from itertools import permutations
+
+    good = {x["doc_id"] for x in labels if x["quality"] == 1 and x["doc_id"] is not None}
+    toxic = {x["doc_id"] for x in labels if x["toxic"] == 1 and x["doc_id"] is not None}
+    smallest = {}
+    for d in docs:
+        if d["doc_id"] is not None:
+            t = d["text"] or ""
+            smallest[t] = min(smallest.get(t, d["doc_id"]), d["doc_id"])
+    failed = []
+    for d in docs:
+        t = d["text"] or ""
+        w = WORD.findall(t)
+        e = d["doc_id"] is not None and smallest[t] < d["doc_id"]
+        bad = [len(w) < 100, 100 * len(set(w)) < 80 * len(w), 100 * len(re.findall("[A-Z]", t)) > 10 * len(t), bool(re.search("[#$%&*|]", t)), e]
+        failed.append((d["lang"] or "", d["doc_id"], {c for c, b in zip("ABCDE", bad) if b}))
+    rows = []
+    for part in sorted({f[0] for f in failed}):
+        mine = [f[1:] for f in failed if f[0] == part]
+        total = Counter()
+        for order in map("".join, permutations("ABCDE")):
+            for i, c in enumerate(order):
+                here = [x for x, bad in mine if c in bad and not bad & set(order[:i])]
+                total[c] += len(here)
+                rows.append([
+                    part, order, i + 1, sum(not bad & set(order[: i + 1]) for _, bad in mine), len(here), sum(c in bad for _, bad in mine) - len(here),
+                    sum(bad == {c} for _, bad in mine), sum(x in good for x in here), sum(x in toxic for x in here), c,
+                ])
+        for r in rows:
+            if r[0] == part:
+                r[-1] = total[r[-1]]
+    return [tuple(r) for r in rows]
