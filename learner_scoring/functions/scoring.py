@@ -76,20 +76,21 @@ def active_time_ms() -> Column:
 
 
 @column_cache
-def metric_columns() -> tuple[Column, ...]:
+def metric_columns(order: bool = True) -> tuple[Column, ...]:
+    pattern = (rapid_incorrect_pattern().alias("rapid_incorrect_pattern"),) if order else ()
     return (
         correctness_rate().alias("correctness_rate"),
         average_time_spent().alias("average_time_spent"),
         questions_per_minute().alias("questions_per_minute"),
-        rapid_incorrect_pattern().alias("rapid_incorrect_pattern"),
+        *pattern,
         struggling_pattern().alias("struggling_pattern"),
         active_time_ms().alias("active_time_ms"),
     )
 
 
 def with_metrics(state: DataFrame) -> DataFrame:
-    """Append F1-F5 and F7 (F6 comes with the skill map, see fold)."""
-    return state.select("*", *metric_columns())
+    """Append F1-F5 and F7 (F6 comes with the skill map, see fold); F4 where the state has the order fields."""
+    return state.select("*", *metric_columns("consecutive_incorrect" in state.columns))
 
 
 # ---------------------------------------------------------------- scoring (G)

@@ -4,8 +4,9 @@ The reference emits a new score whenever a window's state changes (its cache
 merges updates between commits). Without merging, that is one row per record:
 running aggregates over (student, window) in arrival order.
 
-A window function partitioned by (student, window) would put a hot group in a
-single task, so the running state is built in two levels:
+Usual windows are one window function over (student, window): one shuffle of
+the records, and no join. A window too long for a task is cut into arrival
+buckets (``sequence.split_hot``) and built in two levels:
 
 1. rows, per (group, arrival bucket): running values inside the bucket;
 2. buckets, per group: a small summary row per bucket and its exclusive
@@ -14,8 +15,7 @@ single task, so the running state is built in two levels:
 3. state after a row = prefix of earlier buckets (+) running value in its own
    bucket.
 
-Only the row level moves all rows (one shuffle on (group, bucket)); the
-summary has one row per (group, bucket).
+The summary has one row per (cut window, bucket).
 """
 
 from __future__ import annotations
@@ -27,15 +27,13 @@ from learner_scoring import config as C
 from learner_scoring.config import DEFAULT_CONFIG, ScoringConfig
 from learner_scoring.functions import column_cache
 from learner_scoring.functions.scoring import with_metrics, with_score
-from learner_scoring.operators.fold import GROUP, SEQ_BUCKET
-from learner_scoring.operators.sequence import SEQ, arrival_bucket
-
-B = "_bkt"
+from learner_scoring.operators.partials import GROUP
+from learner_scoring.operators.sequence import BUCKET as B
+from learner_scoring.operators.sequence import HOT_ROWS, SAMPLE_EVERY, SEQ, both, split_hot
 
 
 @column_cache
-def _row_columns() -> tuple[tuple[Column, ...], tuple[Column, ...]]:
-    part = [*GROUP, B]
+def _row_columns(part: tuple[str, ...]) -> tuple[tuple[Column, ...], tuple[Column, ...]]:
     upto = Window.partitionBy(*part).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*part).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, -1)
     first = Window.partitionBy(*part).orderBy(SEQ).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -115,41 +113,66 @@ def _bucket_columns() -> tuple[tuple[Column, ...], tuple[Column, ...], tuple[Col
     return summary, step_a, step_b
 
 
-def running_state(events: DataFrame, seq_bucket: int = SEQ_BUCKET) -> DataFrame:
+def _rows(events: DataFrame, *part: str) -> DataFrame:
+    step1, step2 = _row_columns(part)
+    return events.select("*", *step1).select("*", *step2).drop("_rapid")
+
+
+def _state_columns(events: DataFrame, prefix: bool) -> list[Column]:
+    """The state after a row: its running values, after a prefix of earlier buckets if there are any."""
+    c = F.col
+
+    def plus(name: str) -> Column:
+        return (c(f"_p_{name}") + c(f"_r_{name}") if prefix else c(f"_r_{name}")).cast("bigint")
+
+    seen_answer = c("_r_total") > 0
+    rapid = plus("rapid")
+    streak = c("_r_streak")
+    if prefix:
+        rapid = rapid + F.when(seen_answer, c("_edge")).otherwise(0)
+        streak = F.when(c("_r_correct") > 0, streak).otherwise(c("_carry") + streak)
+    return [
+        *[c(x) for x in events.columns if x != B],
+        c("_g_session" if prefix else "_b_session").alias("state_session_id"),
+        plus("total").alias("total_answers"),
+        plus("correct").alias("correct_answers"),
+        plus("incorrect").alias("incorrect_answers"),
+        plus("nt").alias("n_time_values"),
+        plus("tt").alias("total_time_spent"),
+        (F.least("_p_first", "_r_first") if prefix else c("_r_first")).alias("first_event_ms"),
+        (F.greatest("_p_last", "_r_last") if prefix else c("_r_last")).alias("last_event_ms"),
+        rapid.cast("bigint").alias("rapid_submissions"),
+        streak.cast("bigint").alias("consecutive_incorrect"),
+    ]
+
+
+def running_state(
+    events: DataFrame,
+    seq_bucket: int | None = None,
+    cfg: ScoringConfig = DEFAULT_CONFIG,
+    hot_rows: int = HOT_ROWS,
+    every: int = SAMPLE_EVERY,
+) -> DataFrame:
     """State after each record (windowed, valid events in, one row per record out)."""
-    step1, step2 = _row_columns()
-    rows = (
-        events.withColumn(B, arrival_bucket(events, seq_bucket))
-        .select("*", *step1)
-        .select("*", *step2)
-        .drop("_rapid")
-    )
-    summary_aggs, step_a, step_b = _bucket_columns()
-    # _b_session is constant per (group, bucket): a grouping key, not a buffer
-    buckets = rows.groupBy(*GROUP, B, "_b_session").agg(*summary_aggs)
-    prefix = buckets.select("*", *step_a).select(*GROUP, B, *_PREFIX_KEEP, *step_b)
-    joined = rows.join(prefix, [*GROUP, B])
-    seen_answer = F.col("_r_total") > 0
-    return joined.select(
-        *[c for c in events.columns],
-        F.col("_g_session").alias("state_session_id"),
-        (F.col("_p_total") + F.col("_r_total")).alias("total_answers"),
-        (F.col("_p_correct") + F.col("_r_correct")).alias("correct_answers"),
-        (F.col("_p_incorrect") + F.col("_r_incorrect")).alias("incorrect_answers"),
-        (F.col("_p_nt") + F.col("_r_nt")).alias("n_time_values"),
-        (F.col("_p_tt") + F.col("_r_tt")).cast("bigint").alias("total_time_spent"),
-        F.least("_p_first", "_r_first").alias("first_event_ms"),
-        F.greatest("_p_last", "_r_last").alias("last_event_ms"),
-        (F.col("_p_rapid") + F.col("_r_rapid") + F.when(seen_answer, F.col("_edge")).otherwise(0))
-        .cast("bigint")
-        .alias("rapid_submissions"),
-        F.when(F.col("_r_correct") > 0, F.col("_r_streak"))
-        .otherwise(F.col("_carry") + F.col("_r_streak"))
-        .cast("bigint")
-        .alias("consecutive_incorrect"),
-    )
-
-
-def score_changelog(events: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG, seq_bucket: int = SEQ_BUCKET) -> DataFrame:
+    usual, cut = split_hot(events, GROUP, cfg.window.duration_ms, seq_bucket, hot_rows, every)
+    if usual is not None:
+        usual = _rows(usual, *GROUP).select(*_state_columns(events, prefix=False))
+    if cut is not None:
+        rows = _rows(cut, *GROUP, B)
+        summary_aggs, step_a, step_b = _bucket_columns()
+        # _b_session is constant per (group, bucket): a grouping key, not a buffer
+        buckets = rows.groupBy(*GROUP, B, "_b_session").agg(*summary_aggs)
+        prefix = buckets.select("*", *step_a).select(*GROUP, B, *_PREFIX_KEEP, *step_b)
+        cut = rows.join(prefix, [*GROUP, B]).select(*_state_columns(events, prefix=True))
+    return both(usual, cut)
+
+
+def score_changelog(
+    events: DataFrame,
+    cfg: ScoringConfig = DEFAULT_CONFIG,
+    seq_bucket: int | None = None,
+    hot_rows: int = HOT_ROWS,
+    every: int = SAMPLE_EVERY,
+) -> DataFrame:
     """Running state scored after every record."""
-    return with_score(with_metrics(running_state(events, seq_bucket)), cfg)
+    return with_score(with_metrics(running_state(events, seq_bucket, cfg, hot_rows, every)), cfg)

@@ -2,11 +2,12 @@
 
 Two plans compute the same state:
 
-* ``window_state`` (batch, the scalable form). Order-free fields are plain
-  aggregates with map-side partial aggregation, so a hot student-window costs
-  no more than any other group. The arrival-order fields (E5 streak, E9 rapid
-  submissions) come from quiz rows only, via the bucketed scan in
-  ``operators.sequence`` — no group is ever collected into one array.
+* ``window_state`` (batch, the scalable form). With ``one_pass`` all fields come
+  from one shuffle of the records, as mergeable partials (``operators.partials``).
+  Without it, order-free fields are plain aggregates with map-side combination,
+  and the arrival-order fields (E5, E9) and skills are joined to them; Catalyst
+  drops the joins that the output does not need, which leaves scores one shuffle
+  of combined rows. No group is ever collected into one array.
 * ``window_state_lists`` (static or streaming). One aggregate, arrival-order
   fields from a sorted ``collect_list`` of three small fields per answer and
   higher-order functions. This is the shape Structured Streaming can keep in
@@ -19,18 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from learner_scoring import config as C
 from learner_scoring.config import DEFAULT_CONFIG, ScoringConfig
 from learner_scoring.functions import arrays as A
 from learner_scoring.functions import column_cache
-from learner_scoring.operators.sequence import answer_order_metrics, arrival_bucket
+from learner_scoring.operators.partials import GROUP, window_partials
+from learner_scoring.operators.partials import state as partial_state
+from learner_scoring.operators.sequence import HOT_ROWS, SAMPLE_EVERY
 from learner_scoring.operators.windows import assign_window
 
-GROUP = ["student_id", "window_start_ms"]
-# Offsets per bucket in the order scan: one record per offset of a partition, so
-# a bucket never holds more than this many rows.
-SEQ_BUCKET = 1 << 16
-
 
 def _ok() -> Column:
     return F.coalesce(F.col("is_correct"), F.lit(False))
@@ -71,15 +68,24 @@ def order_free_aggregates() -> tuple[Column, ...]:
     )
 
 
-def quiz_answers(events: DataFrame) -> DataFrame:
-    """Narrow projection of the quiz rows the order-dependent fields need."""
-    return events.filter(_q()).select(*GROUP, "arrival_seq", "event_ms", _ok().alias("ok"))
-
+def order_metrics(
+    events: DataFrame,
+    seq_bucket: int | None = None,
+    cfg: ScoringConfig = DEFAULT_CONFIG,
+    hot_rows: int = HOT_ROWS,
+    every: int = SAMPLE_EVERY,
+    lazy: bool = False,
+) -> DataFrame:
+    """E5 + E9 per (student, window) with answers, from windowed events.
 
-def order_metrics(events: DataFrame, seq_bucket: int = SEQ_BUCKET) -> DataFrame:
-    """E5 + E9 per (student, window), from windowed events."""
-    answers = quiz_answers(events)
-    return answer_order_metrics(answers, GROUP, "arrival_seq", arrival_bucket(answers, seq_bucket), C.RAPID_SUBMISSION_MS)
+    * ``rapid_submissions``: adjacent answers whose event-time gap is below 5 s
+      (negative gaps count).
+    * ``consecutive_incorrect``: answers after the last correct one.
+    * ``n_answers``: all answers.
+    """
+    answers = events.filter(_q()).withColumn("session_id", F.lit(None).cast("string"))  # not shuffled
+    found = window_partials(answers, False, cfg, seq_bucket, hot_rows, every, lazy)
+    return found.select(*GROUP, F.col("total_answers").alias("n_answers"), "rapid_submissions", "consecutive_incorrect")
 
 
 def skill_attempts(events: DataFrame) -> DataFrame:
@@ -103,23 +109,34 @@ def window_state(
     events: DataFrame,
     cfg: ScoringConfig = DEFAULT_CONFIG,
     with_skills: bool = False,
-    seq_bucket: int = SEQ_BUCKET,
+    seq_bucket: int | None = None,
     windowed: bool = False,
+    one_pass: bool = False,
+    order: bool = True,
 ) -> DataFrame:
     """Final state per (student, window) from valid classified events.
 
     ``windowed=True`` when ``events`` already carries ``window_start_ms``.
     Groups with no answers get 0 for E5/E9; with ``with_skills`` the state also
-    carries the skill map (empty map when no tagged answer).
+    carries the skill map (empty map when no tagged answer). ``one_pass`` computes
+    all fields in one shuffle, for outputs that need the order fields; ``order=False``
+    leaves E5/E9 out, for those that do not;
+    ``seq_bucket`` cuts every window into buckets of that many offsets.
     """
     ev = events if windowed else assign_window(events, cfg)
+    if one_pass:
+        return partial_state(window_partials(ev, with_skills, cfg, seq_bucket), cfg)
     base = ev.groupBy(*GROUP).agg(*order_free_aggregates())
-    order = order_metrics(ev, seq_bucket)
-    state = base.join(order, GROUP, "left").select(
-        *[F.col(c) for c in base.columns],
-        F.coalesce(F.col("consecutive_incorrect"), F.lit(0).cast("bigint")).alias("consecutive_incorrect"),
-        F.coalesce(F.col("rapid_submissions"), F.lit(0).cast("bigint")).alias("rapid_submissions"),
-    )
+    state = base
+    if order:
+        metrics = order_metrics(ev, seq_bucket, cfg, lazy=True)
+        # one row per group already; said once more, so that an unused join can go
+        metrics = metrics.groupBy(*GROUP).agg(*[F.max(c).alias(c) for c in ("consecutive_incorrect", "rapid_submissions")])
+        state = base.join(metrics, GROUP, "left").select(
+            *[F.col(c) for c in base.columns],
+            F.coalesce(F.col("consecutive_incorrect"), F.lit(0).cast("bigint")).alias("consecutive_incorrect"),
+            F.coalesce(F.col("rapid_submissions"), F.lit(0).cast("bigint")).alias("rapid_submissions"),
+        )
     if with_skills:
         skills = skill_attempts(ev)
         state = state.join(skills, GROUP, "left").select(

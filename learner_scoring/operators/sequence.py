@@ -1,11 +1,13 @@
 """Order-dependent operators that stay distributed.
 
 A window function partitioned only by a coarse key (a Kafka partition, a
-student-window) sends every row of that key to one task. These helpers cut
-each key into ordered sub-buckets (a monotone function of the order column),
-do the row-level work per (key, bucket), and stitch buckets together through a
-small per-bucket summary table. The summary has one row per (key, bucket), so
-its size is bounded by rows / bucket width and never by the hottest key.
+student-window) sends every row of that key to one task. Usual windows are
+small, and their rows go through one shuffle on the window. Windows too long
+for a task are found in a sample of the records and cut into buckets, a
+non-decreasing function of the arrival order: rows are shuffled by (window,
+bucket), and the buckets' summaries are put together in order. Either way a
+row is shuffled once. Which windows are cut decides how work is dealt, never
+what comes out.
 """
 
 from __future__ import annotations
@@ -16,10 +18,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from learner_scoring.functions import column_cache
-
 BUCKET = "_bkt"
 SEQ = "arrival_seq"
+#: A window with more records than this is cut into buckets.
+HOT_ROWS = 1 << 20
+#: One in this many records (by hash of the arrival) is counted to find such windows.
+SAMPLE_EVERY = 64
+#: The longest windows, at most this many, are cut; any further one holds less than 1/MAX_HOT of the records.
+MAX_HOT = 4096
+#: Cells of time of a cut window.
+CELLS = 256
+#: Offsets of a bucket inside a cell that is itself too long.
+OFFSETS = 1 << 16
 
 
 def arrival_order(record_ms: Column, topic: Column, partition: Column, offset: Column) -> Column:
@@ -55,6 +65,79 @@ def arrival_bucket(df: DataFrame, width: int) -> Column:
     )
 
 
+def _cell(df: DataFrame, duration_ms: int) -> Column:
+    """The cell of a window's time a record falls in (records that only have a number: one cell)."""
+    if not isinstance(df.schema[SEQ].dataType, T.StructType):
+        return F.lit(0)
+    width = max(1, -(-duration_ms // CELLS))
+    return F.floor((F.col(SEQ)["record_ms"] - F.col("window_start_ms")) / F.lit(width)).cast("int")
+
+
+def hot_windows(
+    events: DataFrame,
+    group_cols: Sequence[str],
+    duration_ms: int,
+    hot_rows: int = HOT_ROWS,
+    every: int = SAMPLE_EVERY,
+    lazy: bool = False,
+) -> DataFrame | None:
+    """(group, hot_cells) of the windows to cut, or None where there is none.
+
+    ``lazy`` leaves the count to the plan, which then allows for cut windows
+    whether there are any or not, but runs nothing before its output is asked for.
+
+    Counts a sample per (window, cell), combined before a shuffle of the counts
+    only. The table has at most MAX_HOT rows of at most CELLS numbers, so it may
+    go to the driver and to every executor.
+    """
+    g = list(group_cols)
+    sampled = events.filter(F.pmod(F.xxhash64(SEQ), F.lit(every)) == 0)
+    cells = sampled.groupBy(*g, _cell(events, duration_ms).alias("_cell")).agg((F.count(F.lit(1)) * every).alias("_n"))
+    windows = cells.groupBy(*g).agg(
+        F.sum("_n").alias("_n"), F.collect_list(F.when(F.col("_n") > hot_rows, F.col("_cell"))).alias("hot_cells")
+    )
+    longest = windows.filter(F.col("_n") > hot_rows).orderBy(F.col("_n").desc(), *g).limit(MAX_HOT).select(*g, "hot_cells")
+    if lazy:
+        return F.broadcast(longest)
+    rows = longest.collect()  # at most MAX_HOT
+    return F.broadcast(events.sparkSession.createDataFrame(rows, longest.schema)) if rows else None
+
+
+def split_hot(
+    events: DataFrame,
+    group_cols: Sequence[str],
+    duration_ms: int,
+    seq_bucket: int | None = None,
+    hot_rows: int = HOT_ROWS,
+    every: int = SAMPLE_EVERY,
+    lazy: bool = False,
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """(records of usual windows, records of cut windows with their bucket); None stands for no rows.
+
+    A bucket is a cell of the window's time, and within a cell that is too long
+    itself OFFSETS offsets of one partition in one millisecond. With
+    ``seq_bucket`` every window is cut, into buckets of that many offsets.
+    """
+    if seq_bucket is not None:
+        return None, events.withColumn(BUCKET, arrival_bucket(events, seq_bucket))
+    hot = hot_windows(events, group_cols, duration_ms, hot_rows, every, lazy)
+    if hot is None:
+        return events, None
+    g = list(group_cols)
+    cell = _cell(events, duration_ms)
+    fine = F.when(F.array_contains("hot_cells", cell), arrival_bucket(events, OFFSETS))
+    bucket = F.struct(cell.alias("cell"), fine.alias("fine"))
+    cut = events.join(hot, g).withColumn(BUCKET, bucket).drop("hot_cells")
+    return events.join(hot, g, "left_anti"), cut
+
+
+def both(usual: DataFrame | None, cut: DataFrame | None) -> DataFrame:
+    """Union of the two parts, of which one may be missing."""
+    if usual is None or cut is None:
+        return cut if usual is None else usual
+    return usual.unionByName(cut)
+
+
 def dense_sequence(
     df: DataFrame,
     partition_cols: Sequence[str],
@@ -111,74 +194,20 @@ def running_max(
     )
 
 
-def answer_order_metrics(
-    answers: DataFrame,
-    group_cols: Sequence[str],
-    seq_col: str,
-    bucket: Column,
-    rapid_ms: int,
-) -> DataFrame:
-    """E5 + E9 per group from quiz rows (``event_ms``, ``ok``), in arrival order.
-
-    * ``rapid_submissions``: adjacent answers whose event-time gap is below
-      ``rapid_ms`` (negative gaps count).
-    * ``consecutive_incorrect``: answers after the last correct one.
-    * ``n_answers``: all answers.
-
-    Row level, per (group, bucket): ``lag`` for the gap inside the bucket and
-    the last correct position inside the bucket. Bucket level: the gap across
-    the bucket boundary (last answer of the previous bucket) and the bucket of
-    the last correct answer. Result: one row per group.
-    """
-    g = tuple(group_cols)
-    rows_cols, bucket_aggs, stitch_cols, final_aggs = _order_columns(g, seq_col, rapid_ms)
-    rows = answers.withColumn(BUCKET, bucket).select(*g, BUCKET, seq_col, "event_ms", "ok", *rows_cols)
-    per_bucket = rows.groupBy(*g, BUCKET).agg(*bucket_aggs)
-    stitched = per_bucket.select(*g, BUCKET, "_n", "_rapid_in", "_trailing", *stitch_cols)
-    return stitched.groupBy(*g).agg(*final_aggs)
-
-
-@column_cache
-def _order_columns(g: tuple[str, ...], seq_col: str, rapid_ms: int):
-    w_rows = Window.partitionBy(*g, BUCKET).orderBy(seq_col)
-    w_all = Window.partitionBy(*g, BUCKET)
-    rows_cols = (
-        F.lag("event_ms").over(w_rows).alias("_prev_ms"),
-        F.max(F.when(F.col("ok"), F.col(seq_col))).over(w_all).alias("_last_ok"),
-    )
-    bucket_aggs = (
-        F.count(F.lit(1)).alias("_n"),
-        F.min_by("event_ms", seq_col).alias("_first_ms"),
-        F.max_by("event_ms", seq_col).alias("_last_ms"),
-        F.count_if((F.col("event_ms") - F.col("_prev_ms")) < rapid_ms).alias("_rapid_in"),
-        F.max(F.col("ok").cast("int")).alias("_has_ok"),
-        F.count_if(
-            ~F.col("ok") & (F.col("_last_ok").isNull() | (F.col(seq_col) > F.col("_last_ok")))
-        ).alias("_trailing"),
-    )
-    w_b = Window.partitionBy(*g).orderBy(BUCKET)
-    w_g = Window.partitionBy(*g)
-    stitch_cols = (
-        ((F.col("_first_ms") - F.lag("_last_ms").over(w_b)) < rapid_ms).alias("_rapid_edge"),
-        F.max(F.when(F.col("_has_ok") == 1, F.col(BUCKET))).over(w_g).alias("_ok_bkt"),
-    )
-    final_aggs = (
-        F.sum("_n").cast("bigint").alias("n_answers"),
-        (F.sum("_rapid_in") + F.count_if(F.col("_rapid_edge"))).cast("bigint").alias("rapid_submissions"),
-        F.sum(
-            F.when(F.col("_ok_bkt").isNull() | (F.col(BUCKET) >= F.col("_ok_bkt")), F.col("_trailing")).otherwise(0)
-        )
-        .cast("bigint")
-        .alias("consecutive_incorrect"),
-    )
-    return rows_cols, bucket_aggs, stitch_cols, final_aggs
-
-
 def answer_positions(
     answers: DataFrame,
     group_cols: Sequence[str],
-    seq_col: str,
-    bucket: Column,
+    duration_ms: int,
+    seq_bucket: int | None = None,
+    hot_rows: int = HOT_ROWS,
+    every: int = SAMPLE_EVERY,
 ) -> DataFrame:
     """E6/E7 as a table: 1-based arrival position of each answer in its group."""
-    return dense_sequence(answers, group_cols, [seq_col], bucket, "position")
+    usual, cut = split_hot(answers, group_cols, duration_ms, seq_bucket, hot_rows, every)
+    if usual is not None:
+        place = F.row_number().over(Window.partitionBy(*group_cols).orderBy(SEQ))
+        usual = usual.withColumn("position", place.cast("bigint"))
+    if cut is not None:
+        bucket = F.col(BUCKET)
+        cut = dense_sequence(cut, group_cols, [SEQ], bucket, "position")
+    return both(usual, cut)

@@ -43,10 +43,12 @@ def build_state(
     cfg: ScoringConfig = DEFAULT_CONFIG,
     late: str = "keep",
     with_skills: bool = False,
+    one_pass: bool = False,
+    order: bool = True,
 ) -> DataFrame:
     """Final window state with derived metrics (D5, D7, E*, F*)."""
     ev = windowed_events(quiz, session, cfg, late)
-    return with_metrics(window_state(ev, cfg, with_skills=with_skills, windowed=True))
+    return with_metrics(window_state(ev, cfg, with_skills=with_skills, windowed=True, one_pass=one_pass, order=order))
 
 
 def build_scores(
@@ -55,10 +57,12 @@ def build_scores(
     cfg: ScoringConfig = DEFAULT_CONFIG,
     late: str = "keep",
     with_skills: bool = False,
+    order: bool = True,
 ) -> DataFrame:
     """Final score per (student, window): state + metrics + components, score,
-    trend and alert flag (G1-G9, G11)."""
-    return with_score(build_state(quiz, session, cfg, late, with_skills), cfg)
+    trend and alert flag (G1-G9, G11). ``order=False`` leaves out the fields of
+    answer order (E5, E9, F4), which no score needs."""
+    return with_score(build_state(quiz, session, cfg, late, with_skills, order=order), cfg)
 
 
 def with_zone(scored: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:

@@ -19,13 +19,12 @@ from learner_scoring.operators import enrich as E
 from learner_scoring.operators.changelog import score_changelog
 from learner_scoring.operators.fold import (
     GROUP,
-    SEQ_BUCKET,
     order_free_aggregates,
     order_metrics,
     skill_attempts,
     window_state,
 )
-from learner_scoring.operators.sequence import answer_positions, arrival_bucket
+from learner_scoring.operators.sequence import answer_positions
 from learner_scoring.operators.windows import late_records
 from learner_scoring.plans import monitor
 from learner_scoring.plans.pipeline import build_scores, build_state, score_messages, windowed_events, with_zone
@@ -166,7 +165,7 @@ def q_event_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1/D2/H6/E2-E4/E12/E14/E15/E20."""
-    st = window_state(_events(spark, sf_dir), windowed=True)
+    st = window_state(_events(spark, sf_dir), windowed=True, order=False)
     return st.select(
         "student_id",
         "window_start_ms",
@@ -210,7 +209,7 @@ def q_answer_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E6/E7 as a table: each answer with its arrival position in the window."""
     ev = _events(spark, sf_dir)
     answers = ev.filter(F.col("is_quiz")).select(*GROUP, "arrival_seq", "event_ms", "time_spent_ms")
-    pos = answer_positions(answers, GROUP, "arrival_seq", arrival_bucket(answers, SEQ_BUCKET))
+    pos = answer_positions(answers, GROUP, DEFAULT_CONFIG.window.duration_ms)
     return pos.select(*GROUP, "position", "event_ms", "time_spent_ms")
 
 
@@ -246,8 +245,8 @@ def q_pages_visited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_window_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The complete final state per (student, window), from
-    the bucketed batch fold (skill map and page set as canonical text)."""
-    st = build_state(*load_topics(spark, sf_dir), with_skills=True)
+    one shuffle of the records (skill map and page set as canonical text)."""
+    st = build_state(*load_topics(spark, sf_dir), with_skills=True, one_pass=True)
     return st.select(
         "student_id",
         "session_id",
@@ -280,14 +279,14 @@ def q_window_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1-F3."""
     q, s = load_topics(spark, sf_dir)
-    st = build_state(q, s)
+    st = build_state(q, s, order=False)
     return st.select(*GROUP, "correctness_rate", "average_time_spent", "questions_per_minute")
 
 
 def q_pattern_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F4/F5 (computed, not used by the score)."""
     q, s = load_topics(spark, sf_dir)
-    st = build_state(q, s)
+    st = build_state(q, s, one_pass=True)
     return st.select(
         *GROUP, "consecutive_incorrect", "rapid_submissions", "rapid_incorrect_pattern", "struggling_pattern"
     )
@@ -296,7 +295,7 @@ def q_pattern_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_score_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1-G4."""
     q, s = load_topics(spark, sf_dir)
-    sc = build_scores(q, s)
+    sc = build_scores(q, s, order=False)
     return sc.select(*GROUP, "accuracy_score", "dwell_score", "pacing_score", "attention_score")
 
 
@@ -318,19 +317,19 @@ SCORE_OUT = [
 def q_engagement_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: D5/D7/G5-G11/B8/B9 — final score per student and minute."""
     q, s = load_topics(spark, sf_dir)
-    return build_scores(q, s).select(*SCORE_OUT)
+    return build_scores(q, s, order=False).select(*SCORE_OUT)
 
 
 def q_engagement_scores_tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same with yellow 0.7, 4 answers/min expected, tolerance 0.5."""
     q, s = load_topics(spark, sf_dir)
-    return build_scores(q, s, TUNED_CONFIG).select(*SCORE_OUT)
+    return build_scores(q, s, TUNED_CONFIG, order=False).select(*SCORE_OUT)
 
 
 def q_late_filtered_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores after the per-record grace rule dropped late records."""
     q, s = load_topics(spark, sf_dir)
-    return build_scores(q, s, late="drop").select(*SCORE_OUT)
+    return build_scores(q, s, late="drop", order=False).select(*SCORE_OUT)
 
 
 def q_late_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -362,31 +361,31 @@ def q_score_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert stream."""
     q, s = load_topics(spark, sf_dir)
-    return monitor.alerts(build_scores(q, s)).select(*GROUP, "score", "trend", "total_answers")
+    return monitor.alerts(build_scores(q, s, order=False)).select(*GROUP, "score", "trend", "total_answers")
 
 
 def q_score_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Green / yellow / alert band per window."""
     q, s = load_topics(spark, sf_dir)
-    return with_zone(build_scores(q, s)).select(*GROUP, "score", "zone")
+    return with_zone(build_scores(q, s, order=False)).select(*GROUP, "score", "zone")
 
 
 def q_score_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H7: scores, alerts and score distribution per minute."""
     q, s = load_topics(spark, sf_dir)
-    return monitor.score_summary(build_scores(q, s))
+    return monitor.score_summary(build_scores(q, s, order=False))
 
 
 def q_score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H7: score distribution in ten buckets."""
     q, s = load_topics(spark, sf_dir)
-    return monitor.score_histogram(build_scores(q, s))
+    return monitor.score_histogram(build_scores(q, s, order=False))
 
 
 def q_score_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outgoing records (deterministic ids; time left out)."""
     q, s = load_topics(spark, sf_dir)
-    m = score_messages(build_scores(q, s))
+    m = score_messages(build_scores(q, s, order=False))
     v = "value"
     return m.select(
         "key",

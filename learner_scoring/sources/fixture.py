@@ -18,11 +18,11 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from learner_scoring.functions import column_cache
-from learner_scoring.operators.sequence import arrival_order, dense_sequence
+from learner_scoring.operators.sequence import arrival_order
 from learner_scoring.sources.kafka import QUIZ_TOPIC, SESSION_TOPIC
 
 TOPIC = "topic"
@@ -33,9 +33,6 @@ TIME_COMPRESSION = 3600  # one real hour becomes one second
 N_PARTITIONS = 4  # kafka_partition = event_id % 4
 SESSION_SPAN_MS = 45000  # compressed ms per session id
 FIXTURE_SOURCE = "events-fixture"
-# Width of the arrival-time buckets used to number offsets without a
-# single task per Kafka partition.
-OFFSET_BUCKET_MS = 1
 
 
 def _k() -> Column:
@@ -103,18 +100,26 @@ def _derived(events: DataFrame) -> DataFrame:
 def kafka_offsets(derived: DataFrame) -> DataFrame:
     """(event_id, kafka_offset): dense arrival order per topic and partition.
 
-    Numbered on a narrow key projection only, so the shuffle moves three
-    columns, and the same subplan serves both topics (exchange reuse).
+    Keys are range-partitioned and sorted by (topic, partition, arrival), so a
+    row's place in its task is its ``monotonically_increasing_id``. A table of
+    one row per task and partition says where each task's count starts. Tasks
+    are cut by range, so no partition or moment of arrival has to fit one task;
+    the places are written before they are read twice, because ranges are sampled.
     """
+    from learner_scoring.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(derived.sparkSession)
+    part = ["_quiz", "kafka_partition"]
+    order = [*part, "arrival_ms", "event_id"]
     keys = derived.select("event_id", "kafka_partition", "arrival_ms", (F.col("event_type") == "quiz.answered").alias("_quiz"))
-    numbered = dense_sequence(
-        keys,
-        ["_quiz", "kafka_partition"],
-        ["arrival_ms", "event_id"],
-        F.floor(F.col("arrival_ms") / OFFSET_BUCKET_MS),
-        "kafka_offset",
-    )
-    return numbered.select("event_id", "kafka_offset")
+    placed = keys.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = placed.select("event_id", *part, F.monotonically_increasing_id().alias("_place")).checkpoint()
+    task = F.shiftright("_place", 33)  # the id's upper bits number the task
+    runs = placed.groupBy(*part, task.alias("_task")).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*part).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = runs.select(*part, "_task", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    numbered = placed.withColumn("_task", task).join(starts, [*part, "_task"])
+    return numbered.select("event_id", (F.col("_start") + F.col("_place") - F.col("_first") + 1).cast("bigint").alias("kafka_offset"))
 
 
 def fixture_events(events: DataFrame) -> DataFrame:
