@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from learner_scoring.config import DEFAULT_CONFIG, TUNED_CONFIG, ScoringConfig
 from learner_scoring.functions import arrays as A
+from learner_scoring.functions.scoring import with_metrics
 from learner_scoring.operators import enrich as E
+from learner_scoring.operators import partials
 from learner_scoring.operators.changelog import score_changelog
 from learner_scoring.operators.fold import (
     GROUP,
@@ -246,7 +248,10 @@ def q_pages_visited(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_window_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The complete final state per (student, window), from
     one shuffle of the records (skill map and page set as canonical text)."""
-    st = build_state(*load_topics(spark, sf_dir), with_skills=True, one_pass=True)
+    return _state_out(build_state(*load_topics(spark, sf_dir), with_skills=True, one_pass=True))
+
+
+def _state_out(st: DataFrame) -> DataFrame:
     return st.select(
         "student_id",
         "session_id",
@@ -340,22 +345,24 @@ def q_late_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CHANGE_OUT = [
+    "event_id",
+    *GROUP,
+    "kafka_offset",
+    "total_answers",
+    "correct_answers",
+    "consecutive_incorrect",
+    "rapid_submissions",
+    "score",
+    "trend",
+    "alert_threshold_crossed",
+]
+
+
 def q_score_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One score per input record (the update stream without cache merging)."""
     ev = _events(spark, sf_dir)
-    ch = score_changelog(ev)
-    return ch.select(
-        "event_id",
-        *GROUP,
-        "kafka_offset",
-        "total_answers",
-        "correct_answers",
-        "consecutive_incorrect",
-        "rapid_submissions",
-        "score",
-        "trend",
-        "alert_threshold_crossed",
-    )
+    return score_changelog(ev).select(*CHANGE_OUT)
 
 
 def q_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -413,6 +420,84 @@ def q_streaming_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_file_backed_stream(spark, sf_dir).select(*SCORE_OUT)
 
 
+def q_window_state_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partials of nine-second slices, stored per slice, merged in
+    pairs and then to windows; the same state as ``window_state``."""
+    from learner_scoring.streaming.runs import new_run
+
+    ev = _events(spark, sf_dir).withColumn("slice", F.expr("(record_ms - window_start_ms) div 9000"))
+    store = new_run(spark, "partials")
+    partials.fold(ev, [*GROUP, "slice"], words=True).write.partitionBy("slice").parquet(store)
+    pairs = spark.read.parquet(store).withColumn("slice", F.expr("slice div 2"))
+    merged = partials.merge(partials.merge(pairs, [*GROUP, "slice"]).drop("slice"))
+    return _state_out(with_metrics(partials.state(merged)))
+
+
+# (application id, sf_dir) -> (late records, scores) of the clocked stream, per process
+_CLOCKED: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
+def _clocked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    from learner_scoring.streaming.runs import clocked_run
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CLOCKED:
+        _CLOCKED[key] = clocked_run(spark, _events(spark, sf_dir))
+    return _CLOCKED[key]
+
+
+def q_streaming_late_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in the order they come to a consumer, late ones among
+    them, clocked per partition and folded out of compact keyed state, four restarts."""
+    return _clocked(spark, sf_dir)[1].select(*SCORE_OUT)
+
+
+def q_streaming_late_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3: the same stream's side output, late records with the time that closed them."""
+    return _clocked(spark, sf_dir)[0].select(
+        "event_id", *_bigint("kafka_partition"), "kafka_offset", "record_ms", "window_end_ms", "stream_time_ms"
+    )
+
+
+def q_streaming_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D6/D8 on a stream: one scored state per record, out of keyed state, in arrival order."""
+    from learner_scoring.streaming.runs import changelog_run
+
+    return changelog_run(spark, _events(spark, sf_dir)).select(*CHANGE_OUT)
+
+
+def q_backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch fold of the first quarter of every partition hands its state to a stream of the rest."""
+    from learner_scoring.streaming.runs import handover_run
+
+    return handover_run(spark, _events(spark, sf_dir)).select(*SCORE_OUT)
+
+
+def q_open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows that a stopped stream still holds, read from its checkpoint."""
+    from learner_scoring.streaming.runs import open_windows_run
+
+    return open_windows_run(spark, _events(spark, sf_dir)).select(
+        "student_id", "window_start_ms", "window_end_ms", "total_answers", "correct_answers", "incorrect_answers", "navigation_events",
+        "pause_events", "resume_events",
+    )
+
+
+def q_committed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of growing parts of the records, written batch by batch to the table with a
+    commit log; one batch dies before its commit and is replayed, batches are compacted."""
+    from learner_scoring.streaming.runs import committed_run
+
+    return committed_run(spark, _events(spark, sf_dir)).select(*SCORE_OUT)
+
+
+def q_score_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H7: score quantiles per five minutes, from sketches kept per minute."""
+    q, s = load_topics(spark, sf_dir)
+    per_minute = monitor.score_sketches(build_scores(q, s, order=False))
+    return monitor.sketch_quantiles(monitor.merge_sketches(per_minute, 5 * 60_000))
+
+
 def queries() -> dict[str, Query]:
     return {
         "decode_json_skip_bad": q_decode_json_skip_bad,
@@ -445,4 +530,12 @@ def queries() -> dict[str, Query]:
         "score_histogram": q_score_histogram,
         "score_messages": q_score_messages,
         "streaming_scores": q_streaming_scores,
+        "window_state_merged": q_window_state_merged,
+        "streaming_late_scores": q_streaming_late_scores,
+        "streaming_late_records": q_streaming_late_records,
+        "streaming_changelog": q_streaming_changelog,
+        "backfill_then_stream": q_backfill_then_stream,
+        "open_windows": q_open_windows,
+        "committed_scores": q_committed_scores,
+        "score_quantiles": q_score_quantiles,
     }

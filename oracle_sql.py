@@ -412,4 +412,19 @@ SELECT student_id AS key, window_start_ms,
 FROM sc"""
 
     q["streaming_scores"] = q["engagement_scores"]
+    q["window_state_merged"] = q["window_state"]
+    q["streaming_late_scores"] = q["late_filtered_scores"]
+    q["streaming_late_records"] = q["late_records"]
+    q["streaming_changelog"] = q["score_changelog"]
+    q["backfill_then_stream"] = q["engagement_scores"]
+    q["committed_scores"] = q["engagement_scores"]
+    # a window ends when all clocks have passed its end and the grace period
+    q["open_windows"] = f"""
+SELECT * FROM ({q["window_counts"]}) w
+WHERE window_end_ms > (SELECT max((epoch_us(ts) - 1704067200000000) // 3600000 + 1704067200000) FROM events) - 5000"""
+    # sketches of 4,096 entries hold so few scores exactly
+    q["score_quantiles"] = scores + """
+SELECT window_start_ms // 300000 * 300000 AS span_start_ms, count(*) AS scores,
+       quantile_disc(score, 0.1) AS p10, quantile_disc(score, 0.5) AS p50, quantile_disc(score, 0.9) AS p90
+FROM sc GROUP BY 1"""
     return q
