@@ -9,6 +9,7 @@ the reference's scores at about 1e-8.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -126,6 +127,22 @@ class ScoringConfig:
         tol = f32(self.thresholds.tolerance_percent)
         return ideal * (1 - tol), ideal * (1 + tol)
 
+    def with_settings(self, settings: Mapping[str, Mapping[str, object]]) -> "ScoringConfig":
+        """H1-H6: settings by section (weights, thresholds, window) and name; unknown names are errors."""
+        out = self
+        for section, values in settings.items():
+            if section not in ("weights", "thresholds", "window"):
+                raise ValueError(f"no settings section {section!r}")
+            old = getattr(out, section)
+            for name, value in values.items():
+                if name not in old.__dataclass_fields__:
+                    raise ValueError(f"no setting {section}.{name}")
+                old = replace(old, **{name: type(getattr(old, name))(value)})
+            out = replace(out, **{section: old})
+        if out.window.duration_seconds <= 0 or out.window.grace_period_seconds < 0:
+            raise ValueError("a window needs a positive duration and no negative grace period")
+        return out
+
     def with_thresholds(self, **kw) -> "ScoringConfig":
         return replace(self, thresholds=replace(self.thresholds, **kw))
 

@@ -28,7 +28,7 @@ def _envelope_fields() -> tuple[Column, ...]:
 
 
 # Record identity carried through when present (decoded Kafka frames).
-PASSTHROUGH = ["record_key", "topic"]
+PASSTHROUGH = ["record_key", "topic", "payload"]
 
 
 def _transport(df: DataFrame) -> list[Column]:

@@ -26,9 +26,9 @@ from learner_scoring.operators.windows import assign_window, drop_late
 
 
 def windowed_events(
-    quiz: DataFrame, session: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG, late: str = "keep"
+    quiz: DataFrame, session: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG, late: str = "drop"
 ) -> DataFrame:
-    """Valid unified events with their window; ``late='drop'`` applies the grace rule."""
+    """Valid unified events with their window. The grace rule drops late records (D4); ``late='keep'`` keeps them."""
     ev = assign_window(valid_events(quiz, session), cfg)
     if late == "drop":
         ev = drop_late(ev, cfg)
@@ -41,7 +41,7 @@ def build_state(
     quiz: DataFrame,
     session: DataFrame,
     cfg: ScoringConfig = DEFAULT_CONFIG,
-    late: str = "keep",
+    late: str = "drop",
     with_skills: bool = False,
     one_pass: bool = False,
     order: bool = True,
@@ -55,7 +55,7 @@ def build_scores(
     quiz: DataFrame,
     session: DataFrame,
     cfg: ScoringConfig = DEFAULT_CONFIG,
-    late: str = "keep",
+    late: str = "drop",
     with_skills: bool = False,
     order: bool = True,
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from learner_scoring.config import DEFAULT_CONFIG, TUNED_CONFIG, ScoringConfig
 from learner_scoring.functions import arrays as A
@@ -31,7 +32,7 @@ from learner_scoring.operators.windows import late_records
 from learner_scoring.plans import monitor
 from learner_scoring.plans.pipeline import build_scores, build_state, score_messages, windowed_events, with_zone
 from learner_scoring.sources import decode
-from learner_scoring.sources.fixture import kafka_records, load_topics, staged_fixture
+from learner_scoring.sources.fixture import framed_records, kafka_records, load_topics, staged_fixture
 from learner_scoring.schemas import QUIZ_ANSWER, SESSION_EVENT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -248,7 +249,7 @@ def q_pages_visited(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_window_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The complete final state per (student, window), from
     one shuffle of the records (skill map and page set as canonical text)."""
-    return _state_out(build_state(*load_topics(spark, sf_dir), with_skills=True, one_pass=True))
+    return _state_out(build_state(*load_topics(spark, sf_dir), with_skills=True, late="keep", one_pass=True))
 
 
 def _state_out(st: DataFrame) -> DataFrame:
@@ -284,14 +285,14 @@ def _state_out(st: DataFrame) -> DataFrame:
 def q_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1-F3."""
     q, s = load_topics(spark, sf_dir)
-    st = build_state(q, s, order=False)
+    st = build_state(q, s, late="keep", order=False)
     return st.select(*GROUP, "correctness_rate", "average_time_spent", "questions_per_minute")
 
 
 def q_pattern_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F4/F5 (computed, not used by the score)."""
     q, s = load_topics(spark, sf_dir)
-    st = build_state(q, s, one_pass=True)
+    st = build_state(q, s, late="keep", one_pass=True)
     return st.select(
         *GROUP, "consecutive_incorrect", "rapid_submissions", "rapid_incorrect_pattern", "struggling_pattern"
     )
@@ -300,7 +301,7 @@ def q_pattern_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_score_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1-G4."""
     q, s = load_topics(spark, sf_dir)
-    sc = build_scores(q, s, order=False)
+    sc = build_scores(q, s, late="keep", order=False)
     return sc.select(*GROUP, "accuracy_score", "dwell_score", "pacing_score", "attention_score")
 
 
@@ -322,13 +323,13 @@ SCORE_OUT = [
 def q_engagement_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: D5/D7/G5-G11/B8/B9 — final score per student and minute."""
     q, s = load_topics(spark, sf_dir)
-    return build_scores(q, s, order=False).select(*SCORE_OUT)
+    return build_scores(q, s, late="keep", order=False).select(*SCORE_OUT)
 
 
 def q_engagement_scores_tuned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same with yellow 0.7, 4 answers/min expected, tolerance 0.5."""
     q, s = load_topics(spark, sf_dir)
-    return build_scores(q, s, TUNED_CONFIG, order=False).select(*SCORE_OUT)
+    return build_scores(q, s, TUNED_CONFIG, late="keep", order=False).select(*SCORE_OUT)
 
 
 def q_late_filtered_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,31 +369,31 @@ def q_score_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alert stream."""
     q, s = load_topics(spark, sf_dir)
-    return monitor.alerts(build_scores(q, s, order=False)).select(*GROUP, "score", "trend", "total_answers")
+    return monitor.alerts(build_scores(q, s, late="keep", order=False)).select(*GROUP, "score", "trend", "total_answers")
 
 
 def q_score_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Green / yellow / alert band per window."""
     q, s = load_topics(spark, sf_dir)
-    return with_zone(build_scores(q, s, order=False)).select(*GROUP, "score", "zone")
+    return with_zone(build_scores(q, s, late="keep", order=False)).select(*GROUP, "score", "zone")
 
 
 def q_score_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H7: scores, alerts and score distribution per minute."""
     q, s = load_topics(spark, sf_dir)
-    return monitor.score_summary(build_scores(q, s, order=False))
+    return monitor.score_summary(build_scores(q, s, late="keep", order=False))
 
 
 def q_score_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H7: score distribution in ten buckets."""
     q, s = load_topics(spark, sf_dir)
-    return monitor.score_histogram(build_scores(q, s, order=False))
+    return monitor.score_histogram(build_scores(q, s, late="keep", order=False))
 
 
 def q_score_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outgoing records (deterministic ids; time left out)."""
     q, s = load_topics(spark, sf_dir)
-    m = score_messages(build_scores(q, s, order=False))
+    m = score_messages(build_scores(q, s, late="keep", order=False))
     v = "value"
     return m.select(
         "key",
@@ -494,10 +495,25 @@ def q_committed_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_score_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H7: score quantiles per five minutes, from sketches kept per minute."""
     q, s = load_topics(spark, sf_dir)
-    per_minute = monitor.score_sketches(build_scores(q, s, order=False))
+    per_minute = monitor.score_sketches(build_scores(q, s, late="keep", order=False))
     return monitor.sketch_quantiles(monitor.merge_sketches(per_minute, 5 * 60_000))
 
 
+def q_decode_by_schema_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4/A5: framed payloads routed by schema id to the reader of their version; what has no
+    known reader goes to the dead letters."""
+    out = []
+    for records, schema, newest in zip(kafka_records(staged_fixture(spark, sf_dir)), (QUIZ_ANSWER, SESSION_EVENT), ("skillTag", "pageId")):
+        older = T.StructType([f for f in schema.fields if f.name != newest])
+        readers = {1: decode.json_reader(schema), 2: decode.json_reader(older)}
+        d = decode.decode_framed(framed_records(records), readers, schema)
+        out.append(d.select(
+            F.col("record_key").cast("bigint").alias("event_id"), "topic", "schema_id", F.col("_decode_error").alias("reason"),
+            F.col("envelope.studentId").alias("student_id"), F.col(newest).alias("newest"),
+        ))
+    return out[0].unionByName(out[1])
+
+
 def queries() -> dict[str, Query]:
     return {
         "decode_json_skip_bad": q_decode_json_skip_bad,
@@ -538,4 +554,5 @@ def queries() -> dict[str, Query]:
         "open_windows": q_open_windows,
         "committed_scores": q_committed_scores,
         "score_quantiles": q_score_quantiles,
+        "decode_by_schema_id": q_decode_by_schema_id,
     }

@@ -321,3 +321,18 @@ def kafka_records(flat: DataFrame, defects: bool = True) -> tuple[DataFrame, Dat
         )
 
     return frame(src.filter(is_quiz), quiz_payload, QUIZ_TOPIC), frame(src.filter(~is_quiz), session_payload, SESSION_TOPIC)
+
+
+# Frames for the check of schema routing: what no frame is (first byte 1), an id nobody
+# knows, and two versions of each payload (ids 1 and 2; version 2 has no skill or page).
+FRAME_IDS = (1, 2)
+UNKNOWN_ID = 99
+
+
+def framed_records(records: DataFrame) -> DataFrame:
+    """Records of ``kafka_records`` with their JSON payload in a frame of a schema id."""
+    n = F.col("key").cast("string").cast("bigint")
+    sid = F.when(n % 13 == 0, UNKNOWN_ID).otherwise(1 + n % 2)
+    magic = F.when(n % 17 == 0, "01").otherwise("00")
+    header = F.unhex(F.concat(magic, F.lpad(F.hex(sid.cast("bigint")), 8, "0")))
+    return records.withColumn("value", F.concat(header, F.col("value")))

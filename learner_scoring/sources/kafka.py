@@ -9,9 +9,11 @@ timestamp``), which is all the decoding layer depends on.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Topic names and settings of the reference deployment.
 QUIZ_TOPIC = "quiz.answers"
@@ -58,6 +60,18 @@ def read_topic_batch(spark: SparkSession, options: Mapping[str, str]) -> DataFra
     return spark.read.format("kafka").options(**opts).load()
 
 
+def offsets_after(records: DataFrame) -> str:
+    """Where a stream goes on after a batch of ``records`` (topic, partition, offset): its ``startingOffsets``.
+
+    One number per topic and partition reaches the driver.
+    """
+    ends = records.groupBy("topic", "partition").agg(F.max("offset").alias("offset")).collect()
+    out: dict[str, dict[str, int]] = {}
+    for r in ends:
+        out.setdefault(r["topic"], {})[str(r["partition"])] = r["offset"] + 1
+    return json.dumps(out, sort_keys=True)
+
+
 def writer_options(bootstrap_servers: str, topic: str = SCORE_TOPIC, client_properties: Mapping[str, str] | None = None) -> dict[str, str]:
     """Sink options for ``writeStream.format("kafka")`` (key/value columns)."""
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic}

@@ -32,9 +32,12 @@ PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 SLICES = 4
 
 
-def stream_scores(quiz: DataFrame, session: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Streaming (or static) topic frames -> scored window states."""
-    ev = valid_events(quiz, session).withWatermark("record_ts", f"{cfg.window.grace_period_seconds} seconds")
+def stream_scores(quiz: DataFrame, session: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG, tap=None) -> DataFrame:
+    """Streaming (or static) topic frames -> scored window states; ``tap`` sees the events consumed."""
+    ev = valid_events(quiz, session)
+    if tap is not None:
+        ev = tap(ev)
+    ev = ev.withWatermark("record_ts", f"{cfg.window.grace_period_seconds} seconds")
     return with_score(with_metrics(window_state_lists(ev, cfg)), cfg)
 
 

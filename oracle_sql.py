@@ -412,6 +412,14 @@ SELECT student_id AS key, window_start_ms,
 FROM sc"""
 
     q["streaming_scores"] = q["engagement_scores"]
+    q["decode_by_schema_id"] = _with(FIXTURE, DEFECTS) + """,
+g AS (SELECT *, CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 99 ELSE 1 + event_id % 2 END AS schema_id FROM d),
+h AS (SELECT *, CASE WHEN schema_id IS NULL THEN 'no_frame' WHEN schema_id = 99 THEN 'unknown_schema_id'
+                     WHEN defect IN ('truncated', 'empty') THEN 'corrupt_payload' END AS reason FROM g)
+SELECT event_id, topic, CAST(schema_id AS BIGINT) AS schema_id, reason,
+       CASE WHEN reason IS NULL AND coalesce(defect, '') <> 'null_student' THEN student_id END AS student_id,
+       CASE WHEN reason IS NULL AND schema_id = 1 THEN CASE WHEN topic = 'quiz.answers' THEN skill_tag ELSE page_id END END AS newest
+FROM h"""
     q["window_state_merged"] = q["window_state"]
     q["streaming_late_scores"] = q["late_filtered_scores"]
     q["streaming_late_records"] = q["late_records"]

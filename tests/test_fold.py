@@ -109,7 +109,7 @@ def test_started_and_unknown_session_type(spark):
 def test_heartbeat_only_window_still_scored(spark):
     rows = [ev(1, "system.heartbeat", 1000)]
     q, s = topics(spark, rows)
-    out = build_scores(q, s).collect()
+    out = build_scores(q, s, late="keep").collect()
     assert len(out) == 1
     r = out[0]
     assert r.first_event_ms is None and r.score == 0.6000000238418579 and r.trend == "STABLE"
@@ -149,5 +149,5 @@ def test_windows_split_on_record_time_not_event_time(spark):
 def test_null_student_is_dropped(spark):
     rows = [quiz(1, 0, True, student=None), quiz(2, 0, True)]
     q, s = topics(spark, rows)
-    out = build_scores(q, s).collect()
+    out = build_scores(q, s, late="keep").collect()
     assert [r.student_id for r in out] == ["s1"]

@@ -25,7 +25,7 @@ def _scores(spark, rows):
     q, s = topics(spark, rows)
     cols = ["student_id", "window_start_ms", "session_id", "total_answers", "consecutive_incorrect",
             "rapid_submissions", "first_event_ms", "last_event_ms", "score", "trend"]
-    return sorted(tuple(r) for r in build_scores(q, s).select(*cols).collect())
+    return sorted(tuple(r) for r in build_scores(q, s, late="keep").select(*cols).collect())
 
 
 event = st.tuples(

@@ -1,6 +1,7 @@
 """Kafka options, payload decoding and the dead-letter split."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from learner_scoring.operators.enrich import split_valid, unified_events
 from learner_scoring.schemas import QUIZ_ANSWER, SESSION_EVENT
@@ -58,7 +59,7 @@ def test_score_envelope_ids(spark):
     from learner_scoring.plans.pipeline import build_scores, score_messages
     from learner_scoring.sources.fixture import load_topics
 
-    scored = build_scores(*load_topics(spark, SF001))
+    scored = build_scores(*load_topics(spark, SF001), late="keep")
     rnd = score_messages(scored, deterministic=False).select("value.envelope.*").collect()
     assert len({r.id for r in rnd}) == len(rnd) == 179
     assert {(r.type, r.source, r.specversion) for r in rnd} == {("engagement.scored", "learner-scoring", "1.0")}
@@ -92,3 +93,37 @@ def test_data_loss_fails_by_default():
 
     assert kafka_options("b:9", "t")["failOnDataLoss"] == "true"
     assert kafka_options("b:9", "t", fail_on_data_loss=False)["failOnDataLoss"] == "false"
+
+
+RECORD = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
+
+
+def test_frames_go_to_the_reader_of_their_schema(spark):
+    """Several versions on one topic; a frame without a known reader is a dead letter, with its payload."""
+    old = T._parse_datatype_string("a bigint")
+    new = T._parse_datatype_string("a bigint, b string, extra double")
+    values = [
+        b"\x00\x00\x00\x00\x01" + b'{"a": 5}', b"\x00\x00\x01\x00\x02" + b'{"a": 6, "b": "x", "extra": 1.5}', b"\x00\x00\x00\x00\x03" + b'{"a": 7}',
+        b"\x01\x00\x00\x00\x01" + b'{"a": 8}', b"\x00\x00", b"", None, b"\x00\x00\x00\x00\x01" + b"{broken", b"\x00\xff\xff\xff\xff" + b"{}",
+    ]
+    df = spark.createDataFrame([(str(i).encode(), v, "t", 0, i, None) for i, v in enumerate(values)], RECORD)
+    target = T._parse_datatype_string("a bigint, b string")
+    out = decode.decode_framed(df, {1: decode.json_reader(old), 65538: decode.json_reader(new)}, target)
+    rows = sorted((r.record_key, r.schema_id, r.a, r.b, r._decode_error) for r in out.collect())
+    assert rows == [
+        ("0", 1, 5, None, None), ("1", 65538, 6, "x", None), ("2", 3, None, None, "unknown_schema_id"), ("3", None, None, None, "no_frame"),
+        ("4", None, None, None, "no_frame"), ("5", None, None, None, "empty_payload"), ("6", None, None, None, "empty_payload"),
+        ("7", 1, None, None, "corrupt_payload"), ("8", 4294967295, None, None, "unknown_schema_id"),
+    ]
+    good, bad = decode.split_decoded(out)
+    assert good.count() == 2 and {bytes(r.payload) for r in bad.collect() if r.payload} == {values[i] for i in (2, 3, 4, 7, 8)}
+    assert decode.decode_framed(df, {}, target).filter("_decode_error is null").count() == 0
+
+
+def test_offsets_after_a_batch(spark):
+    df = spark.createDataFrame([("q", 0, 5), ("q", 0, 9), ("q", 3, 1), ("s", 0, 0)], "topic string, partition int, offset bigint")
+    from learner_scoring.sources.kafka import offsets_after
+
+    start = offsets_after(df)
+    assert start == '{"q": {"0": 10, "3": 2}, "s": {"0": 1}}'
+    assert kafka_options("b:9", ["q", "s"], starting_offsets=start)["startingOffsets"] == start

@@ -117,7 +117,7 @@ def test_batch_hands_over_to_stream(spark):
     ev = assign_window(valid_events(q, s))
     got = R.handover_run(spark, ev, slices=2)
     cols = ["student_id", "window_start_ms", "session_id", "total_answers", "score", "trend"]
-    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, build_scores(q, s, order=False).select(*cols).collect()))
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, build_scores(q, s, late="keep", order=False).select(*cols).collect()))
 
 
 # ------------------------------------------------------------ the table with a commit log

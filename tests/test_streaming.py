@@ -156,7 +156,7 @@ def test_updates_of_a_window_have_their_own_ids(spark):
     from learner_scoring.plans.pipeline import build_scores
     from learner_scoring.sources.fixture import load_topics
 
-    one = build_scores(*load_topics(spark, SF001)).limit(1)
+    one = build_scores(*load_topics(spark, SF001), late="keep").limit(1)
     ids = [json.loads(kafka_frame(one, batch_id=b).first()["value"])["envelope"]["id"] for b in (1, 2, 1)]
     assert ids[0] != ids[1] and ids[0] == ids[2]
 
@@ -172,7 +172,7 @@ def test_registered_stream_runs_in_batches_on_rocksdb(spark, tmp_path):
     got = run_file_backed_stream(spark, SF001, run=str(run))
     assert spark.conf.get(PROVIDER_KEY, None) == before
     cols = ["student_id", "window_start_ms", "score", "trend"]
-    want = build_scores(*load_topics(spark, SF001)).select(*cols)
+    want = build_scores(*load_topics(spark, SF001), late="keep").select(*cols)
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.collect()))
     batches = spark.read.parquet(str(run / "scores")).groupBy("student_id", "window_start_ms").agg({"batch_id": "count"})
     assert spark.read.parquet(str(run / "scores")).select("batch_id").distinct().count() >= 4
