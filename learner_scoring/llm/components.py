@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from learner_scoring.llm.common import cut
 
 
-def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def connected(links: DataFrame, a: str = "a", b: str = "b", cut=cut) -> DataFrame:
     """(id, comp) for every id in ``links``: comp is the smallest id it can reach.
 
+    ``cut`` writes the tables between rounds.
+
     Each round gives an id, and the root it points at, the smallest root among
     its neighbours, then halves the way to the root. Rounds grow with the
     logarithm of the longest chain; a hub's links are combined per task.

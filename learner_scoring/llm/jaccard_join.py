@@ -24,7 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learner_scoring.llm.common import arrow_map, bounded_batches, cut, raw_texts, ship_by_value, sliced, small
+from learner_scoring.llm import common
+from learner_scoring.llm.common import arrow_map, bounded_batches, raw_texts, ship_by_value, sliced, small
 from learner_scoring.llm.components import connected
 from learner_scoring.llm.substring_dedup import gram_hashes, word_hashes
 
@@ -44,9 +45,18 @@ SLICE = 1 << 20
 #: Rows of one tile that are held at a time.
 TILE_ROWS = 1 << 18
 
+#: Files of a written table per core, at most. The join writes some forty tables, most of
+#: them small; each file costs the executor a child process on some file systems.
+FILES_PER_CORE = 4
+
 _SIG = [f"b{i}" for i in range(SIG)]
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """``common.cut`` with files in proportion to the cores, however many partitions a shuffle has."""
+    return common.cut(df.coalesce(FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism))
+
+
 def shingle_set(raw: bytes, k: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the text's k-word shingles, A-Z lower-cased; a shorter text is one shingle."""
     words = raw.lower().split()
@@ -310,7 +320,7 @@ def linked(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame
     star = cut(star.select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b")).distinct())
     near = cut(_bounded(star, sig, percent))
     links = cut(copies.union(_verified(near, known, k, percent)))
-    comps = connected(links)
+    comps = connected(links, cut=cut)
 
     met = met.select("token", "doc", "n", "pos")
     tried = near
@@ -320,7 +330,7 @@ def linked(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame
         rest = cut(_bounded(pairs.join(tried, ["a", "b"], "left_anti"), sig, percent))
         more = cut(_verified(rest, known, k, percent))
         if not more.isEmpty():
-            comps = connected(comps.filter("id <> comp").select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more))
+            comps = connected(comps.filter("id <> comp").select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more), cut=cut)
         return comps, tried.union(rest)
 
     pair = F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")
