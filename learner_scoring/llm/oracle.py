@@ -44,9 +44,10 @@ f AS (
 g AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
 h AS (SELECT *, base_failed OR 2 * n_symbols > n_words OR 2 * n_dup_lines > n_words AS rule_failed FROM g),
 hosts AS (SELECT source, count(*) AS n, count(*) FILTER (rule_failed) AS bad FROM h GROUP BY source),
-prior AS (SELECT avg(bad / n) AS m, var_samp(bad / n) AS v FROM hosts),
-strength AS (SELECT m, CASE WHEN v > 0 AND v < m * (1 - m) THEN m * (1 - m) / v - 1 ELSE 10 END AS s FROM prior),
-verdict AS (SELECT source, (bad + m * s) / (n + s) > 0.5 AS rejected FROM hosts, strength)
+prior AS (SELECT avg(bad / n) AS m, var_samp(bad / n) - avg(bad / n) * (1 - avg(bad / n)) * avg(1 / n) AS v FROM hosts),
+strength AS (SELECT m, CASE WHEN v IS NULL OR (v >= m * (1 - m) AND m * (1 - m) > 0) THEN 10 WHEN v > 0 THEN m * (1 - m) / v - 1 ELSE 1e9 END AS s FROM prior),
+shrunk AS (SELECT source, n + s AS weight, (bad + m * s) / (n + s) AS p, least(1.5 * m, 0.5) AS bar FROM hosts, strength),
+verdict AS (SELECT source, p - 2 * sqrt(p * (1 - p) / (weight + 1)) > bar AS rejected FROM shrunk)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT (rejected AND rule_failed) AS kept
 FROM h JOIN verdict ON h.source IS NOT DISTINCT FROM verdict.source

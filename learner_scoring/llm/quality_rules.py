@@ -15,10 +15,14 @@ from learner_scoring.llm.common import arrow_map, cut, raw_texts, ship_by_value,
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: A host is rejected when its shrunk failure rate is above this.
+#: A host is rejected when its failure rate is surely (by so many posterior standard deviations)
+#: above this multiple of the mean host's, or above this rate where the mean is high.
+SURE = 2.0
+OVER_MEAN = 1.5
 MAX_HOST_FAILURE = 0.5
-#: Prior weight (documents) where the hosts' rates do not vary or there is one host.
+#: Prior weight (documents) with one host or rates spread to both ends, and where the hosts differ by chance alone.
 DEFAULT_STRENGTH = 10.0
+ALIKE_STRENGTH = 1e9
 #: Characters that count as symbols (fixed by the contract).
 SYMBOLS = b"#*$%&|<>"
 
@@ -62,20 +66,31 @@ def rule_flags(feats: DataFrame) -> DataFrame:
 
 
 def host_verdicts(flags: DataFrame, host: str = "host") -> DataFrame:
-    """One row per host: documents, failures, shrunk failure rate, rejected.
-
-    The prior is Beta(m*s, (1-m)*s): m is the mean and v the variance of the
-    hosts' failure rates, s = m(1-m)/v - 1 (method of moments).
+    """One row per host: documents, failures, shrunk failure rate, its sure lower bound, rejected.
+
+    The prior is Beta(m*s, (1-m)*s): m is the mean of the hosts' failure rates
+    and s = m(1-m)/v - 1 (method of moments), where v is their variance less
+    what chance gives hosts of these sizes at the rate m. A host's posterior is
+    the prior with its own documents added; the host is rejected when the
+    posterior mean less ``SURE`` standard deviations lies above the bar. So no
+    host goes for a few bad documents, nor for being a little above the mean.
     """
     hosts = flags.groupBy(host).agg(
         F.count("*").alias("host_docs"), F.sum(F.col("rule_failed").cast("long")).alias("host_failed")
     )
-    rate = F.col("host_failed") / F.col("host_docs")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.var_samp(rate).alias("v")).first()  # one row, three numbers
-    m, v = prior["m"] or 0.0, prior["v"] or 0.0
-    s = m * (1 - m) / v - 1 if 0 < v < m * (1 - m) else DEFAULT_STRENGTH
-    shrunk = (F.col("host_failed") + F.lit(m * s)) / (F.col("host_docs") + F.lit(s))
-    return hosts.withColumn("host_rate", shrunk).withColumn("host_rejected", shrunk > MAX_HOST_FAILURE)
+    n, rate = F.col("host_docs"), F.col("host_failed") / F.col("host_docs")
+    # one row, three numbers
+    prior = hosts.agg(F.avg(rate).alias("m"), F.var_samp(rate).alias("v"), F.avg(1 / n).alias("chance")).first()
+    m = prior["m"] or 0.0
+    v = None if prior["v"] is None else prior["v"] - m * (1 - m) * prior["chance"]
+    if v is None or v >= m * (1 - m) > 0:
+        s = DEFAULT_STRENGTH
+    else:
+        s = m * (1 - m) / v - 1 if v > 0 else ALIKE_STRENGTH
+    shrunk = (F.col("host_failed") + F.lit(m * s)) / (n + F.lit(s))
+    lower = shrunk - SURE * F.sqrt(shrunk * (1 - shrunk) / (n + F.lit(s + 1)))
+    out = hosts.withColumns({"host_rate": shrunk, "host_rate_low": lower})
+    return out.withColumn("host_rejected", lower > min(OVER_MEAN * m, MAX_HOST_FAILURE))
 
 
 def judge(docs: DataFrame, host: str = "source") -> DataFrame:

@@ -148,9 +148,19 @@ def kept_by_quality(docs):
         hosts[d["source"]].append(f)
     rates = [sum(f) / len(f) for f in hosts.values()]
     m = sum(rates) / len(rates) if rates else 0.0
-    v = sum((r - m) ** 2 for r in rates) / (len(rates) - 1) if len(rates) > 1 else 0.0
-    s = m * (1 - m) / v - 1 if 0 < v < m * (1 - m) else 10.0
-    rejected = {h for h, f in hosts.items() if (sum(f) + m * s) / (len(f) + s) > 0.5}
+    chance = m * (1 - m)
+    s = 10.0  # one host, or rates at both ends
+    if len(rates) > 1:
+        v = sum((r - m) ** 2 for r in rates) / (len(rates) - 1) - chance * sum(1 / len(f) for f in hosts.values()) / len(hosts)
+        if v <= 0 or chance == 0:
+            s = 1e9
+        elif v < chance:
+            s = chance / v - 1
+    rejected = set()
+    for h, f in hosts.items():
+        p = (sum(f) + m * s) / (len(f) + s)
+        if p - 2 * (p * (1 - p) / (len(f) + s + 1)) ** 0.5 > min(1.5 * m, 0.5):
+            rejected.add(h)
     return [not a and not (b and d["source"] in rejected) for d, a, b in zip(docs, hard, failed)]
 
 
