@@ -1,10 +1,13 @@
 """Secret scans with multipart credential linking; DataFrame functions only.
 
 Strong spans (assignments, access identifiers, long hex runs) are reported where
-they stand. Weak parts of a credential (a user name, a mixed token, an endpoint)
-say nothing alone: they are reported where a name or access identifier and a
-secret (a mixed token, an assignment or a long hex run) stand within one scope,
-found by an interval join of the parts.
+they stand. Weak parts of a credential (a user name, an e-mail address, a mixed
+token, a short assigned value, a private key's header, an endpoint) say nothing
+alone: they are reported where an identifier (name, address, access identifier)
+and a secret (mixed token, any assignment, long hex run, key header) stand within
+one scope, found by an interval join of the parts. A scope is a block of lines
+without a blank one, and no more than ``SCOPE`` code points. A connection string
+with user and password has its parts in itself.
 """
 
 from __future__ import annotations
@@ -23,18 +26,28 @@ STRONG = [
     ("hex", r"[0-9a-f]{32,}", []),
 ]
 USER = r"(?i:user(?:_?name)?|login|account|client_?id)[\"']?\x20*[:=]\x20*[\"']?"
+#: User and password in a connection string.
+USERINFO = r"[^\x20\x09-\x0D:@/]{1,64}:[^\x20\x09-\x0D@/]{1,128}@"
+SCHEME = r"(?:https?|ftp|jdbc:[a-z]+|mongodb|postgres(?:ql)?|mysql|redis|amqp)://"
 WEAK = [
     ("user", USER + r"[A-Za-z0-9@._-]{3,}", ["user", "login", "account", "client"]),
     ("mixed", r"[A-Za-z0-9+/]{20,}", []),
-    ("endpoint", r"(?:https?|ftp|jdbc:[a-z]+|mongodb|postgres(?:ql)?|mysql|redis|amqp)://[A-Za-z0-9.-]+(?::[0-9]+)?", ["://"]),
+    ("endpoint", SCHEME + f"(?:{USERINFO})?" + r"[A-Za-z0-9.-]+(?::[0-9]+)?", ["://"]),
+    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}\.[A-Za-z]{2,63}", ["@"]),
+    ("key_block", r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----", ["private key"]),
 ]
-KINDS = [k for k, _, _ in STRONG + WEAK]
+#: Kinds told from a match of another: an assignment whose value is too short, an endpoint with user and password.
+KINDS = [k for k, _, _ in STRONG + WEAK] + ["short", "connection"]
+SHORT, CONNECTION = len(KINDS) - 2, len(KINDS) - 1
+#: A blank line, the border of scopes; no span of its own.
+BREAK = len(KINDS)
+BLANK = r"\n[\x20\t\r]*\n"
 #: Kinds that are the secret of a credential, and those that say whose it is.
-SECRETS = (0, 2, 4)
-IDENTIFIERS = (1, 3)
+SECRETS = tuple(KINDS.index(k) for k in ("assign", "hex", "mixed", "key_block", "short"))
+IDENTIFIERS = tuple(KINDS.index(k) for k in ("access", "user", "email"))
 #: Group 2 of an assignment and a whole access identifier have at least so many characters.
 LEAST_VALUE, LEAST_ACCESS = 8, 16
-#: Parts of one credential lie at most so many code points apart.
+#: Parts of one credential lie at most so many code points apart, with no blank line between them.
 SCOPE = 200
 
 
@@ -62,14 +75,14 @@ def _row_key(doc_id: Column, text: Column) -> Column:
 
 
 def strong_flag(text: Column) -> Column:
-    """A cheap test that every text with a strong span or a user name passes."""
+    """A cheap test that every text with a strong span, an identifier or a connection string passes."""
     low = F.lower(text)
-    named = _holds(low, STRONG[0][2] + STRONG[1][2] + WEAK[0][2])
+    named = _holds(low, [w for _, _, words in STRONG[:2] + WEAK[:1] for w in words] + ["@"])
     return named | F.rlike(text, F.lit(STRONG[2][1]))
 
 
 def part_spans(docs: DataFrame) -> DataFrame:
-    """(row, kind, start, end, match): all parts, strong and weak, of the texts that hold any strong one or name.
+    """(row, kind, start, end, match): all parts, strong and weak, and blank lines of the texts that hold any strong one or identifier.
 
     Positions are code points, ends exclusive. Equal rows (doc_id and text) are
     gone over once and share a ``row`` key.
@@ -79,6 +92,7 @@ def part_spans(docs: DataFrame) -> DataFrame:
     once = some.select(_row_key(F.col("doc_id"), text).alias("row"), "text").dropDuplicates(["row"])
     low = F.lower(text)
     kinds = [F.when(_holds(low, w), _matches(text, i, p)) for i, (_, p, w) in enumerate(STRONG + WEAK)]
+    kinds.append(_matches(text, BREAK, BLANK))
     none = F.array().cast("array<struct<kind:int,gap:int,match:string>>")
     every = F.flatten(F.array(*[F.coalesce(k, none) for k in kinds]))
     found = once.select("row", F.posexplode(every).alias("i", "p")).select("row", "i", "p.*")
@@ -87,43 +101,55 @@ def part_spans(docs: DataFrame) -> DataFrame:
     spans = found.select("row", "kind", "match", end.alias("end")).withColumn("start", F.col("end") - F.length("match"))
     value = F.length(F.regexp_replace("match", "^" + ASSIGN, ""))
     whole = F.length("match")
-    ok = F.when(F.col("kind") == 0, value >= LEAST_VALUE).when(F.col("kind") == 1, whole >= LEAST_ACCESS)
+    told = F.when((F.col("kind") == 0) & (value < LEAST_VALUE), SHORT)
+    told = told.when((F.col("kind") == KINDS.index("endpoint")) & F.rlike("match", F.lit("://" + USERINFO)), CONNECTION).otherwise(F.col("kind"))
     # a mixed token has a digit, an upper and a lower case letter
     mixed = F.rlike("match", F.lit("[0-9]")) & F.rlike("match", F.lit("[A-Z]")) & F.rlike("match", F.lit("[a-z]"))
-    ok = ok.when(F.col("kind") == 4, mixed).otherwise(True)
-    return spans.filter(ok)
+    ok = F.when(F.col("kind") == 1, whole >= LEAST_ACCESS).when(F.col("kind") == KINDS.index("mixed"), mixed).otherwise(True)
+    return spans.filter(ok).withColumn("kind", told)
 
 
-def linked(spans: DataFrame) -> DataFrame:
-    """The weak parts to report: (row, kind, start, end).
+def credentials(spans: DataFrame) -> DataFrame:
+    """One row per credential: (row, kind, start, end) of its secret, ``with``: its weak parts beside the secret.
 
-    Weak parts that overlap a strong span are dropped as already reported. An
-    identifier (user name or access identifier) and a secret (mixed token,
-    assignment or hex run) at most ``SCOPE`` apart are one credential; its weak
-    parts are reported, and so is an endpoint that far from the secret. An access
-    identifier inside the secret's own span is no identifier of it.
+    Weak parts that overlap a strong span or a connection string are dropped as
+    already reported. An identifier and a secret at most ``SCOPE`` apart and in
+    one block of lines are one credential; so far an endpoint belongs to the
+    secret too. An access identifier inside the secret's own span is no
+    identifier of it. A connection string is a credential by itself. Links
+    between two strong spans are credentials without weak parts.
     """
     by_start = Window.partitionBy("row").orderBy("start", "kind")
     strong = F.col("kind") < len(STRONG)
-    before = F.max(F.when(strong, F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min(F.when(strong, F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing))
-    covered = ~strong & ((F.coalesce(before, F.lit(-1)) > F.col("start")) | (F.coalesce(after, F.col("end")) < F.col("end")))
-    parts = spans.withColumn("covered", covered).filter("not covered")
+    covers = strong | (F.col("kind") == CONNECTION)
+    before = F.max(F.when(covers, F.col("end"))).over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.min(F.when(covers, F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing))
+    covered = ~covers & ((F.coalesce(before, F.lit(-1)) > F.col("start")) | (F.coalesce(after, F.col("end")) < F.col("end")))
+    para = F.sum((F.col("kind") == BREAK).cast("int")).over(by_start)
+    parts = spans.withColumns({"covered": covered, "para": para}).filter(~F.col("covered") & (F.col("kind") != BREAK))
     block = F.floor(F.col("start") / SCOPE)
     # a secret is met in the blocks its scope reaches; others lie in the blocks they touch
     low, high = F.floor((F.col("start") - SCOPE) / SCOPE), F.floor((F.col("end") + SCOPE) / SCOPE)
     secret = F.col("kind").isin(*SECRETS)
-    secrets = parts.filter(secret).select("row", F.col("kind").alias("tk"), F.col("start").alias("ts"), F.col("end").alias("te"), F.explode(F.sequence(low, high)).alias("block"))
-    others = parts.filter(~secret).select("row", "kind", "start", "end", F.explode(F.sequence(block, F.floor(F.col("end") / SCOPE))).alias("block"))
-    near = secrets.join(others, ["row", "block"]).filter((F.col("start") <= F.col("te") + SCOPE) & (F.col("end") + SCOPE >= F.col("ts")))
+    secrets = parts.filter(secret).select("row", "para", F.col("kind").alias("tk"), F.col("start").alias("ts"), F.col("end").alias("te"), F.explode(F.sequence(low, high)).alias("block"))
+    others = parts.filter(F.col("kind").isin(*IDENTIFIERS, KINDS.index("endpoint")))
+    others = others.select("row", "para", "kind", "start", "end", F.explode(F.sequence(block, F.floor(F.col("end") / SCOPE))).alias("block"))
+    near = secrets.join(others, ["row", "para", "block"]).filter((F.col("start") <= F.col("te") + SCOPE) & (F.col("end") + SCOPE >= F.col("ts")))
     near = near.filter((F.col("kind") != 1) | (F.col("end") <= F.col("ts")) | (F.col("start") >= F.col("te")))
-    weak = F.col("kind") >= len(STRONG)
+    weak = F.struct("kind", "start", "end")
     kept = near.groupBy("row", "tk", "ts", "te").agg(
-        F.max(F.col("kind").isin(*IDENTIFIERS)).alias("ok"), F.collect_set(F.when(weak, F.struct("kind", "start", "end"))).alias("with")
+        F.max(F.col("kind").isin(*IDENTIFIERS)).alias("ok"), F.collect_set(F.when(F.col("kind") >= len(STRONG), weak)).alias("with")
     ).filter("ok")
-    token = F.struct(F.col("tk").alias("kind"), F.col("ts").alias("start"), F.col("te").alias("end"))
-    each = kept.select("row", F.explode(F.concat(F.array(token), "with")).alias("p"))
-    return each.select("row", "p.*").filter(weak).distinct()
+    kept = kept.select("row", F.col("tk").alias("kind"), F.col("ts").alias("start"), F.col("te").alias("end"), "with")
+    whole = parts.filter(F.col("kind") == CONNECTION).select("row", "kind", "start", "end", F.array().cast(kept.schema["with"].dataType).alias("with"))
+    return kept.union(whole)
+
+
+def linked(found: DataFrame) -> DataFrame:
+    """The weak parts to report of the credentials found: (row, kind, start, end)."""
+    own = F.struct("kind", "start", "end")
+    each = found.select("row", F.explode(F.concat(F.array(own), "with")).alias("p"))
+    return each.select("row", "p.*").filter(F.col("kind") >= len(STRONG)).distinct()
 
 
 def _joined(spans: Column) -> Column:
@@ -132,8 +158,9 @@ def _joined(spans: Column) -> Column:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_weak.
+    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_weak, n_credentials.
 
+    ``n_weak`` counts the linked weak parts among the spans, ``n_credentials`` the linked secrets.
     Null and empty texts have no spans; a null doc_id stays null; equal rows give
     equal rows; an empty table gives no rows. Other columns are not read.
     """
@@ -141,7 +168,9 @@ def scan(docs: DataFrame) -> DataFrame:
 
     spans = cut(part_spans(docs))
     strong = spans.filter(F.col("kind") < len(STRONG)).select("row", "kind", "start", "end")
-    listed = strong.unionByName(linked(spans)).groupBy("row").agg(
+    creds = cut(credentials(spans))
+    counted = creds.groupBy("row").agg(F.count("*").alias("n_credentials"))
+    listed = strong.unionByName(linked(creds)).groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("all")
     )
     found = listed.select("row", "all", F.filter("all", lambda s: s["kind"] < len(STRONG)).alias("base"))
@@ -149,9 +178,9 @@ def scan(docs: DataFrame) -> DataFrame:
     cols = [count(i).alias(f"n_{k}") for i, (k, _, _) in enumerate(STRONG)]
     told = found.select("row", *cols, _joined(F.col("base")).alias("base"), _joined(F.col("all")).alias("spans"), (F.size("all") - F.size("base")).cast("long").alias("n_weak"))
     rows = docs.select("doc_id", _row_key(F.col("doc_id"), F.col("text")).alias("row"))
-    out = rows.join(told, "row", "left")
+    out = rows.join(told.join(counted, "row", "left"), "row", "left")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     text = lambda c: F.coalesce(c, F.lit(""))
     return out.select(
-        "doc_id", zero("n_assign"), zero("n_access"), zero("n_hex"), F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"), zero("n_weak")
+        "doc_id", zero("n_assign"), zero("n_access"), zero("n_hex"), F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"), zero("n_weak"), zero("n_credentials")
     )

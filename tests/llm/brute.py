@@ -216,30 +216,41 @@ def corpus(docs, enc):
 
 
 USER = re.compile(r"""(?:user(?:_?name)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}""", re.I | re.A)
-ENDPOINT = re.compile(r"(?:https?|ftp|jdbc:[a-z]+|mongodb|postgres(?:ql)?|mysql|redis|amqp)://[A-Za-z0-9.-]+(?::[0-9]+)?")
+ENDPOINT = re.compile(
+    r"(?:https?|ftp|jdbc:[a-z]+|mongodb|postgres(?:ql)?|mysql|redis|amqp)://([^\x20\x09-\x0D:@/]{1,64}:[^\x20\x09-\x0D@/]{1,128}@)?[A-Za-z0-9.-]+(?::[0-9]+)?"
+)
+EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}\.[A-Za-z]{2,63}")
 
 
 def secret_spans(docs, scope=200):
-    """op7: (doc_id, spans, n_weak) with the linked parts."""
-    names = ["assign", "access", "hex", "user", "mixed", "endpoint"]
+    """op7: (doc_id, spans, n_weak, n_credentials) with the linked parts."""
+    secret, owner = {"assign", "hex", "mixed", "key_block", "short"}, {"access", "user", "email"}
+    order = ["assign", "access", "hex", "user", "mixed", "endpoint", "email", "key_block", "short", "connection"]
     out = []
     for d in docs:
         t = d["text"] or ""
-        strong = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 8]
-        strong += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
-        strong += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]{32,}", t)]
-        weak = [(m.start(), 3, m.end()) for m in USER.finditer(t)]
-        weak += [(m.start(), 4, m.end()) for m in re.finditer("[A-Za-z0-9+/]{20,}", t) if all(re.search(c, m[0]) for c in ("[0-9]", "[A-Z]", "[a-z]"))]
-        weak += [(m.start(), 5, m.end()) for m in ENDPOINT.finditer(t)]
-        weak = [w for w in weak if not any(s[0] < w[2] and w[0] < s[2] for s in strong)]
-        told = set()
+        strong = [(m.start(), "assign", m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 8]
+        strong += [(m.start(), "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+        strong += [(m.start(), "hex", m.end()) for m in re.finditer("[0-9a-f]{32,}", t)]
+        whole = [(m.start(), "connection", m.end()) for m in ENDPOINT.finditer(t) if m[1]]
+        weak = [(m.start(), "user", m.end()) for m in USER.finditer(t)]
+        weak += [(m.start(), "mixed", m.end()) for m in re.finditer("[A-Za-z0-9+/]{20,}", t) if all(re.search(c, m[0]) for c in ("[0-9]", "[A-Z]", "[a-z]"))]
+        weak += [(m.start(), "endpoint", m.end()) for m in ENDPOINT.finditer(t) if not m[1]]
+        weak += [(m.start(), "email", m.end()) for m in EMAIL.finditer(t)]
+        weak += [(m.start(), "key_block", m.end()) for m in re.finditer("-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----", t)]
+        weak += [(m.start(), "short", m.end()) for m in ASSIGN.finditer(t) if len(m[2]) < 8]
+        weak = [w for w in weak if not any(s[0] < w[2] and w[0] < s[2] for s in strong + whole)]
+        blank = lambda a, b: re.search(r"\n[ \t\r]*\n", t[min(a[2], b[2]) : max(a[0], b[0])])
+        told, n = set(whole), len(whole)
         for z in strong + weak:
-            if z[1] in (0, 2, 4):
-                near = [p for p in strong + weak if p[1] in (1, 3, 5) and p[0] <= z[2] + scope and p[2] + scope >= z[0]]
-                near = [p for p in near if p[1] != 1 or p[2] <= z[0] or p[0] >= z[2]]
-                if any(p[1] != 5 for p in near):
-                    told.update(p for p in [z, *near] if p[1] > 2)
-        out.append((d["doc_id"], ",".join(f"{names[k]}:{a}:{b}" for a, k, b in sorted([*strong, *told])), len(told)))
+            if z[1] in secret:
+                near = [p for p in strong + weak if p[1] in owner | {"endpoint"} and p[0] <= z[2] + scope and p[2] + scope >= z[0] and not blank(p, z)]
+                near = [p for p in near if p[1] != "access" or p[2] <= z[0] or p[0] >= z[2]]
+                if any(p[1] in owner for p in near):
+                    n += 1
+                    told.update(p for p in [z, *near] if p not in strong)
+        spans = sorted([*strong, *told], key=lambda p: (p[0], order.index(p[1])))
+        out.append((d["doc_id"], ",".join(f"{k}:{a}:{b}" for a, k, b in spans), len(told), n))
     return out
 
 
