@@ -5,8 +5,10 @@ headers, footers, sidebars, notices, adverts, forms and reader comments have no
 weight. The weights are summed over a sliding window of lines: a run of lines
 surges where a window first holds enough text and dives where it holds none; the
 text between is the page's text. Lines inside an ``article`` or ``main`` element
-get a bonus that lets them surge, however short; runs outside surge by their own
-text. Short runs and lines of links alone stay where they share a parent block
+get a bonus of half a surge, so that two such lines surge, however short; a single
+one and runs outside surge by their own text. A ``header`` inside an ``article`` is
+the article's own (its title and byline); its ``footer`` and ``aside`` are not text
+of the article but about it or beside it, and go. Short runs and lines of links alone stay where they share a parent block
 with lines that surge; where the heaviest run does not reach a surge, as in
 verse, it sets the level. Class, id and role only hint at boilerplate: an element
 so marked that holds the page's article or most of its text is none.
@@ -27,8 +29,8 @@ from learner_scoring.llm.common import arrow_map, ship_by_value
 #: Lines of a window, and the text (code points outside links) that makes it a surge.
 WINDOW = 3
 SURGE = 86
-#: Added to the weight of a line with text outside links inside an article or main element.
-BONUS = 86
+#: Added to the weight of a line with text outside links inside an article or main element; two such lines surge, one does not.
+BONUS = 43
 
 #: Elements whose text is markup or data, skipped up to their end tag.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "object", "select", "button"}
@@ -95,8 +97,9 @@ def _marks(value: str) -> set[str]:
     return out
 
 
-def _boilerplate(name: str, attrs: str) -> int:
-    if name in ASIDE and name != "form":
+def _boilerplate(name: str, attrs: str, own: bool) -> int:
+    """The kind of an element; ``own``: it is the header of an article."""
+    if name in ASIDE and name != "form" and not own:
         return TAG
     kind = HINT if name == "form" else PLAIN
     if name in ("html", "body") or not attrs:
@@ -107,7 +110,7 @@ def _boilerplate(name: str, attrs: str) -> int:
             if value.strip().lower() in ROLES:
                 kind = max(kind, HINT)
         elif name not in MAIN or "comment" in value.lower():
-            words = _marks(value)
+            words = _marks(value) - (OWN_PARTS if own else set())
             if words:
                 kind = max(kind, HINT if words.isdisjoint(NEVER) else SURE)
     return kind
@@ -205,7 +208,8 @@ class _Lines:
         self._push(name, self._bad(name, attrs))
 
     def _bad(self, name: str, attrs: str) -> int:
-        kind = _boilerplate(name, attrs)
+        own = name == "header" and any(n == "article" and not b for n, b, _ in self.stack)
+        kind = _boilerplate(name, attrs, own)
         if kind in (PLAIN, TAG):
             return -(kind == TAG)
         self.hints += 1

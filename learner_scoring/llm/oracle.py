@@ -106,5 +106,79 @@ FROM shown
 """
 
 
+def _op2() -> str:
+    """Placement in SQL; the table of slots is the operator's own, as text (its shares and moves have tests)."""
+    from learner_scoring.llm import sharding
+
+    table = ", ".join(map(str, sharding.lookup_table(sharding.shard_names(sharding.SHARDS))))
+    return f"""
+WITH t AS (SELECT [{table}] AS shards),
+d AS (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {sharding.SLOTS} AS slot FROM documents)
+SELECT doc_id, slot, printf('shard-%05d', shards[slot + 1]) AS shard FROM d, t
+"""
+
+
+#: Documents of a source in order of their hashes; the group of equal hashes at the budget's edge goes to the nearer side.
+OP3 = f"""
+WITH d AS (
+  SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
+         substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 9) AS place
+  FROM documents),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM d GROUP BY source),
+fill AS (
+  SELECT *, 2 * source_size AS most, 2 * source_size / weight AS ratio, 1.5::DOUBLE * sum(source_size) OVER () AS budget,
+         coalesce(sum(2 * source_size) OVER o, 0) AS full_before, sum(weight) OVER () - coalesce(sum(weight) OVER o, 0) AS rest
+  FROM s WINDOW o AS (ORDER BY 2 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT arg_min((budget - full_before) / rest, ratio) AS level FROM fill WHERE (budget - full_before) / rest <= ratio),
+share AS (SELECT source, source_size, least(most::DOUBLE, weight * coalesce(level, 0)) AS target FROM fill, level),
+want AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM share),
+spread AS (
+  SELECT source, place, sum(size) AS words, sum(sum(size)) OVER (PARTITION BY source ORDER BY place) AS upto FROM d GROUP BY source, place),
+more AS (
+  SELECT w.source, place, upto <= target - whole * source_size
+         OR (upto - words <= target - whole * source_size AND upto - (target - whole * source_size) < target - whole * source_size - (upto - words)) AS extra
+  FROM want w JOIN spread p ON w.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target, (least(whole + extra::BIGINT, 2) * size)::BIGINT AS taken
+FROM d JOIN want w ON d.source IS NOT DISTINCT FROM w.source
+       JOIN more m ON d.source IS NOT DISTINCT FROM m.source AND d.place = m.place
+"""
+
+OP6 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + 3), ' ') AS x
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reach AS (SELECT DISTINCT doc_id AS id, doc_id AS other FROM d UNION SELECT id, b FROM reach JOIN links ON other = a),
+comp AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) JOIN comp ON comp.id = d.doc_id
+"""
+
+OP8 = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+ok AS (
+  SELECT r, vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+links AS (
+  SELECT a.r AS ar, b.r AS br FROM ok a JOIN ok b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) >= 0.98 * a.norm * b.norm),
+reach AS (SELECT r, r AS other FROM v UNION SELECT reach.r, br FROM reach JOIN links ON other = ar),
+comp AS (SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = other GROUP BY reach.r),
+n AS (SELECT ar AS r, count(*) AS n FROM links GROUP BY ar)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN comp USING (r) LEFT JOIN n USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1, "op4_line_dedup": OP4, "op9_quality_rules": OP9, "op11_hard_negatives": OP11, "op12_filter_audit": OP12}
+    return {
+        "op1_substring_dedup": OP1, "op2_sharding": _op2(), "op3_mixing": OP3, "op4_line_dedup": OP4, "op6_ngram_jaccard": OP6,
+        "op8_embed_dedup": OP8, "op9_quality_rules": OP9, "op11_hard_negatives": OP11, "op12_filter_audit": OP12,
+    }

@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from learner_scoring.llm import bpe, embed_dedup, html_extract, jaccard_join, line_dedup, mixing, quality_rules, secret_scan, sharding, substring_dedup
 from learner_scoring.llm import queries as Q
 from learner_scoring.llm.cuckoo import Cuckoo, filled
+from learner_scoring.llm.oracle import oracle_sql
 from tests.conftest import SF001
 from tests.llm import brute
 
@@ -415,6 +416,62 @@ def test_pipeline(spark):
     assert os.path.isdir(out) and all(r["n_tokens"] == len(r["ids"]) for r in got)
 
 
+def test_html_header_of_an_article():
+    """An article's own header is text, but for menus and marks in it; its footer and asides are not."""
+    story = f"<p>{LONG}</p><aside>See also</aside><footer>Tags: x</footer>"
+    for own in ("<header>", '<header class="header">', '<header class="post-header" id=masthead>'):
+        page = PAGE.format(main=f"<article>{own}<h1>Title</h1><nav>Parts</nav><div class=share-links>Share</div><p>By Ann</p></header>{story}</article>")
+        assert html_extract.main_text(page) == f"Title\n\nBy Ann\n\n{LONG}"
+    assert html_extract.main_text(PAGE.format(main=f"<main><header><h1>Shop</h1></header><p>{LONG}</p></main>")) == LONG
+
+
+def test_html_pages_without_their_article_tags(spark):
+    """The given pages with plain blocks instead of articles have the same text: lines alone tell it."""
+    import re
+
+    for p in spark.read.parquet(f"{SF001}/pages.parquet").select("html").collect():
+        plain_blocks = re.sub(r"(</?)article\b", r"\1div", p["html"] or "")
+        assert html_extract.main_text(plain_blocks) == brute.article_text(p["html"])
+
+
+SQL_QUERIES = sorted(oracle_sql())
+
+
+@pytest.mark.parametrize("name", SQL_QUERIES)
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    from tools.compare import _norm
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
+    assert _norm(Q.queries()[name](spark, SF001).toPandas()) == _norm(con.execute(oracle_sql()[name]).df())
+
+
+@pytest.mark.parametrize("name", ["op2_sharding", "op3_mixing", "op6_ngram_jaccard"])
+def test_sql_on_edge_cases(spark, name):
+    """Null and empty texts, null sources, copies and near copies."""
+    import duckdb
+
+    from tools.compare import _norm
+
+    d = rows(spark)
+    out = tempfile.mkdtemp(prefix="edge-")
+    d.write.parquet(f"{out}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{out}/documents.parquet/*.parquet')")
+    assert _norm(Q.queries()[name](spark, out).toPandas()) == _norm(con.execute(oracle_sql()[name]).df())
+
+
+def test_mixing_against_a_plain_version(spark):
+    d = rows(spark)
+    got = mixing.mixed(d).select("doc_id", "copies", "size").collect()
+    docs = plain(d)
+    copies = brute.mix(docs)
+    same([(r["doc_id"], r["copies"] * r["size"]) for r in got], [(x["doc_id"], n * len(brute.WORD.findall(x["text"] or ""))) for x, n in zip(docs, copies)])
+
+
 def test_added_columns_on_the_smallest_tables(spark):
     docs = plain(spark.read.parquet(f"{SF001}/documents.parquet"))
     same(Q.op7_secret_scan(spark, SF001).select("doc_id", "spans", "n_weak", "n_credentials").collect(), brute.secret_spans(docs))
