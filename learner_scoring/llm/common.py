@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -58,6 +59,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: for wide rows of which some readers need few columns."""
+    out = f"{checkpoint_root(df.sparkSession).rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    df.write.parquet(out)
+    return df.sparkSession.read.schema(df.schema).parquet(out)
+
+
 #: Rows up to which a written table of narrow rows is sent to all executors.
 BROADCAST_ROWS = 50_000
 

@@ -264,7 +264,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFr
         hs = [shingle_set(raw, k).tobytes() for raw in raw_texts(b)]
         return pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(hs, pa.binary())], names=["doc", "h"])
 
-    arrays = arrow_map(some, sets, "doc long, h binary")
+    # written: read by both sides, and a task of the joins then needs one Python worker, not two in a row
+    arrays = cut(arrow_map(some, sets, "doc long, h binary"))
     one = arrays.select(F.col("doc").alias("a"), F.col("h").alias("ha"))
     two = arrays.select(F.col("doc").alias("b"), F.col("h").alias("hb"))
 

@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from learner_scoring.llm.common import SPACE, arrow_map, raw_texts, ship_by_value
+from learner_scoring.llm.common import SPACE, arrow_map, bounded_batches, raw_texts, ship_by_value, sliced
 from learner_scoring.llm.cuckoo import Cuckoo, filled
 
 MIN_CHARS = 10
@@ -53,29 +53,36 @@ def _refs(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(docs, pa.int64())], names=["h1", "h2", "doc"])
 
 
+def _narrow(docs: DataFrame) -> DataFrame:
+    bounded_batches(docs.sparkSession)
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
+
+
 def line_refs(docs: DataFrame) -> DataFrame:
     """(h1, h2, doc): every key with every document that holds it."""
-    narrow = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), "text")
-    return arrow_map(narrow, _refs, REFS)
+    return arrow_map(_narrow(docs), _refs, REFS)
 
 
 def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts per key within a task, given off whenever ``8 * CHUNK`` rows have come."""
-    held: list[pd.DataFrame] = []
+    """Counts per key within a task, given off whenever ``8 * CHUNK`` references have come.
+
+    Reads texts, not references, so that a task needs one Python worker and not two in a row.
+    """
+    held: list[pa.RecordBatch] = []
     rows = 0
 
     def flush():
-        t = pd.concat(held).groupby(["h1", "h2"], sort=False).agg(refs=("doc", "size"), first_doc=("doc", "min"), last_doc=("doc", "max"))
-        return pa.RecordBatch.from_pandas(t.reset_index(), preserve_index=False)
+        t = pa.Table.from_batches(held).group_by(["h1", "h2"]).aggregate([("doc", "count"), ("doc", "min"), ("doc", "max")])
+        return t.select(["h1", "h2", "doc_count", "doc_min", "doc_max"]).rename_columns(["h1", "h2", "refs", "first_doc", "last_doc"])
 
-    for b in batches:
-        held.append(b.to_pandas())
-        rows += b.num_rows
+    for b in sliced(batches):
+        held.append(_refs(b))
+        rows += held[-1].num_rows
         if rows >= 8 * CHUNK:
-            yield flush()
+            yield from flush().to_batches()
             held, rows = [], 0
     if rows:
-        yield flush()
+        yield from flush().to_batches()
 
 
 def _repeated(rows: pd.DataFrame) -> pd.DataFrame:
@@ -127,22 +134,22 @@ def n_shards(spark: SparkSession) -> int:
     return 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def repeated_keys(refs: DataFrame) -> DataFrame:
+def repeated_keys(docs: DataFrame) -> DataFrame:
     """Keys held by at least two documents: (h1, h2, refs, first_doc, last_doc).
 
     References are combined per task before the shuffle, so a line that a third
     of all documents share arrives as one row per task.
     """
-    spark = refs.sparkSession
-    parts = refs.mapInArrow(_combined, COUNTS)
+    spark = docs.sparkSession
+    parts = _narrow(docs).mapInArrow(_combined, COUNTS)
     dealt = parts.withColumn("shard", F.pmod("h1", F.lit(n_shards(spark)))).repartition("shard").sortWithinPartitions("shard")
     return dealt.mapInArrow(_shards, COUNTS)
 
 
-def drops(refs: DataFrame) -> DataFrame:
+def drops(docs: DataFrame) -> DataFrame:
     """(doc, lost): per document the keys (h1, h2) that another, smaller document keeps."""
-    keep = repeated_keys(refs).select("h1", "h2", "first_doc")
-    return _lost(refs.join(keep, ["h1", "h2"]).filter("doc != first_doc"))
+    keep = repeated_keys(docs).select("h1", "h2", "first_doc")
+    return _lost(line_refs(docs).join(keep, ["h1", "h2"]).filter("doc != first_doc"))
 
 
 def _lost(refs: DataFrame) -> DataFrame:
@@ -178,7 +185,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     without doc_id are one document after all others; rows with the same doc_id
     are one document, so lines they share with each other alone stay.
     """
-    return without_lines(docs, drops(line_refs(docs)))
+    return without_lines(docs, drops(docs))
 
 
 def without_lines(docs: DataFrame, lost: DataFrame) -> DataFrame:
@@ -313,7 +320,7 @@ class LineIndex:
         known = self.maybe_known(docs).filter("known").select("h1", "h2")
         held = self.refs().join(known, ["h1", "h2"], "left_semi")
         keeper = held.groupBy("h1", "h2").agg(F.min(F.struct("since", "doc"))["doc"].alias("keeper"))
-        first = repeated_keys(refs).select("h1", "h2", "first_doc")
+        first = repeated_keys(docs).select("h1", "h2", "first_doc")
         told = refs.join(keeper, ["h1", "h2"], "left").join(first, ["h1", "h2"], "left")
         return without_lines(docs, _lost(told.filter("doc != coalesce(keeper, first_doc, doc)")))
 

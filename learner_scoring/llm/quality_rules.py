@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from learner_scoring.llm.common import arrow_map, cut, raw_texts, ship_by_value, small
+from learner_scoring.llm.common import arrow_map, cut, raw_texts, ship_by_value, small, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -114,27 +114,33 @@ def judge(docs: DataFrame, host: str = "source") -> DataFrame:
 def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
     """The documents that :func:`judge` keeps, with all their columns.
 
-    The same verdicts, told on the rows themselves: the table of rejected hosts
-    is joined to the documents, and the rules are counted where the text is.
+    The same verdicts, told on the rows themselves. Texts are counted once: rows
+    and flags are written to the shared folder together, without the columns of
+    rows that a hard rule rejects; hosts are judged from the flags alone (the
+    scan reads no text), and what stays is a filter on the written rows.
     """
     names = docs.columns
     keyed = docs.toDF(*[f"c{i}" for i in range(len(names))])
     text, src = f"c{names.index('text')}", f"c{names.index(host)}"
-    narrow = docs.select(F.col(host).alias("host"), "text")
-    flags = rule_flags(arrow_map(narrow, _features, f"host string, {FEATURES}"))
-    bad = small(cut(host_verdicts(cut(flags)).filter("host_rejected").select(F.col("host").alias("h"), "host_rejected")))
-    flagged = keyed.join(bad, F.col(src).eqNullSafe(F.col("h")), "left").drop("h")
-
-    def passes(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ok = []
-        for raw, rejected in zip(raw_texts(batch, text), batch.column("host_rejected").to_pylist()):
-            n, _, sym, dup, rep = text_counts(raw)
-            base = n < MIN_WORDS or 100 * rep > MAX_REPEAT_PERCENT * n
-            ok.append(not base and not (rejected and (2 * sym > n or 2 * dup > n)))
-        return batch.filter(pa.array(ok, pa.bool_())).drop_columns(["host_rejected"])
+    flags = ["base_failed", "rule_failed"]
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keyed.schema)
-    return arrow_map(flagged, passes, schema).toDF(*names)
+    def judged(batch: pa.RecordBatch) -> pa.RecordBatch:
+        base, soft = [], []
+        for raw in raw_texts(batch, text):
+            n, _, sym, dup, rep = text_counts(raw)
+            base.append(n < MIN_WORDS or 100 * rep > MAX_REPEAT_PERCENT * n)
+            soft.append(base[-1] or 2 * sym > n or 2 * dup > n)
+        cols = [pa.array(base, pa.bool_()), pa.array(soft, pa.bool_())]
+        return pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *flags])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keyed.schema) + ", base_failed boolean, rule_failed boolean"
+    told = arrow_map(keyed, judged, schema)
+    told = told.select(F.col(src).alias("host"), *flags, *[F.when(~F.col("base_failed"), F.col(c)).alias(c) for c in keyed.columns])
+    told = written(told)
+    hosts = told.select("host", *flags)
+    bad = small(cut(host_verdicts(hosts).filter("host_rejected").select(F.col("host").alias("h"), "host_rejected")))
+    stays = told.filter("not base_failed").join(bad, F.col("host").eqNullSafe(F.col("h")), "left")
+    return stays.filter("host_rejected is null or not rule_failed").select(keyed.columns).toDF(*names)
 
 
 ship_by_value(__name__)
