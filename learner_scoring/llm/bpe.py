@@ -3,8 +3,10 @@
 A long text is cut into chunks that overlap. Each chunk is pre-tokenised on its
 own, from a left edge that may lie inside a pre-token; where the boundaries of
 two neighbours first agree inside their overlap they agree from there on (the
-pattern looks only ahead), so the text is stitched at that point. The pieces are
-then encoded by merge ranks. Decoding concatenates the tokens' raw bytes.
+pattern looks only ahead), so the text is stitched at that point. Only the
+boundaries inside the overlaps meet per text; the pieces between the stitches are
+encoded by merge ranks where they lie, in parallel. Decoding concatenates the
+tokens' raw bytes.
 """
 
 from __future__ import annotations
@@ -13,12 +15,11 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from learner_scoring.llm.common import bounded_batches, ship_by_value, sliced
+from learner_scoring.llm.common import bounded_batches, cut, ship_by_value, sliced
 
 #: Code points of a chunk without its overlap, and of the overlap behind it.
 CHUNK = 1 << 15
@@ -125,15 +126,15 @@ def chunk_starts(n: int, size: int = CHUNK) -> list[int]:
     return list(range(0, max(n, 1), size))
 
 
-def stitch(codec: Codec, chunks: list[tuple[int, str, list[int]]]) -> Iterator[str]:
-    """Pre-tokens of a text from its chunks: (start, text, boundaries from the start), in order.
+def stitch(codec: Codec, chunks: list[tuple[int, str, list[int]]], at: int = 0) -> Iterator[str]:
+    """Pre-tokens of a text, from its boundary ``at`` on, from its chunks: (start, text, boundaries from the start), in order.
 
     Walks the chunks' boundaries; in an overlap the walk goes over to the next
     chunk at the first boundary both have. Where an overlap has none (a pre-token
     longer than it), the next chunk's text is pre-tokenised again from the last
     sure boundary, with as many further chunks as that takes.
     """
-    k, at = 0, 0
+    k = 0
     while k < len(chunks):
         start, text, bounds = chunks[k]
         if k + 1 == len(chunks):
@@ -166,8 +167,11 @@ def encoded(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fal
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]) for every row of ``docs``.
 
     Texts up to ``chunk`` code points are encoded where they are read. Longer
-    ones are cut; the chunks are dealt out, pre-tokenised apart, and come
-    together per text to be stitched and encoded. Null texts count as empty (no
+    ones are cut; the chunks are dealt out and pre-tokenised apart, the stitches
+    are found from the boundaries inside the overlaps, every chunk encodes what
+    lies between its two stitches, and only the ids come together per text. From
+    an overlap without a common boundary on (a pre-token longer than it), the
+    rest of that text is stitched in one task. Null texts count as empty (no
     tokens); equal rows give equal rows; a null doc_id stays null. ``keep_ids``
     adds the ids themselves.
     """
@@ -193,7 +197,8 @@ def encoded(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fal
 
     # equal long rows are encoded once; ``copies`` brings them back
     long = narrow.filter(F.length("text") > chunk).groupBy("doc_id", "text").agg(F.count("*").alias("copies"))
-    long = long.withColumn("key", F.sha2("text", 256))
+    named = F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    long = long.withColumn("key", F.concat(F.sha2("text", 256), named))
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
@@ -209,25 +214,59 @@ def encoded(docs: DataFrame, vocabulary: str, pattern: str, keep_ids: bool = Fal
     chunks = long.mapInArrow(cut_up, head).repartition("key", "start")
 
     def pretokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Adds each chunk's boundaries, and those that it shares its first and last code points with its neighbours."""
         find = Codec(shared.value, pattern).pattern.finditer
+        ints = pa.list_(pa.int64())
         for b in sliced(batches):
-            parts = b.column("part").to_pylist()
+            parts, starts = (b.column(c).to_pylist() for c in ("part", "start"))
             bounds = [[m.start() for m in find(p)] + [len(p)] for p in parts]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(bounds, pa.list_(pa.int32()))], names=[*b.schema.names, "bounds"])
-
-    def join_up(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("start")
+            first = [[s + x for x in xs if x <= overlap] for s, xs in zip(starts, bounds)]
+            # the last boundary of a chunk that is cut off on the right isn't sure, nor is the one before it
+            last = [[s + x for x in xs[:-2] if x >= chunk] for s, xs in zip(starts, bounds)]
+            cols = [pa.array(bounds, pa.list_(pa.int32())), pa.array(first, ints), pa.array(last, ints)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, "bounds", "first", "last"])
+
+    told = cut(chunks.mapInArrow(pretokenise, head + ", bounds array<int>, first array<long>, last array<long>"))
+
+    # a chunk's stitches: with the chunk before (``from``) and the next one (``to``, null at the end of the text)
+    text = Window.partitionBy("key").orderBy("start")
+    theirs = F.lead("first").over(text)
+    meets = told.select("key", "start", theirs.isNotNull().alias("more"), F.array_min(F.array_intersect("last", theirs)).alias("to"))
+    meets = meets.withColumn("from", F.coalesce(F.lag("to").over(text), F.lit(0)))
+    lost = F.col("more") & (F.col("to").isNull() | (F.col("to") < F.col("from")))
+    meets = meets.withColumn("rest", F.min(F.when(lost, F.col("start"))).over(text.rowsBetween(Window.unboundedPreceding, 0)))
+    placed = told.drop("first", "last").join(meets.drop("more"), ["key", "start"])
+
+    def encode_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec(shared.value, pattern)
+        for b in sliced(batches):
+            ids = []
+            for start, part, bounds, lo, hi in zip(*(b.column(c).to_pylist() for c in ("start", "part", "bounds", "from", "to"))):
+                marks = [x for x in bounds if x + start >= lo and (hi is None or x + start <= hi)]
+                ids.append(codec.ids_of([part[i:j] for i, j in zip(marks, marks[1:])]))
+            cols = [b.column(c) for c in ("doc_id", "key", "copies", "start")]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "key", "copies", "start", "ids"])
+
+    def encode_rest(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("start")
         codec = Codec(shared.value, pattern)
-        chunks = [(int(s), p, list(map(int, b))) for s, p, b in zip(rows.start, rows.part, rows.bounds)]
+        parts = list(zip(*(rows.column(c).to_pylist() for c in ("start", "part", "bounds"))))
         ids: list[int] = []
-        for piece in stitch(codec, chunks):
+        for piece in stitch(codec, parts, rows.column("from")[0].as_py()):
             ids += codec.ids_of([piece])
-        n, a, d = _digest(codec, ids)
-        doc = rows.doc_id.iloc[:1].reset_index(drop=True)
-        one = pd.DataFrame({"doc_id": doc, "n_tokens": [n], "ids_sha256": [a], "decoded_sha256": [d], "ids": [ids if keep_ids else None]})
-        return one.assign(copies=[int(rows.copies.iat[0])])
-
-    joined = chunks.mapInArrow(pretokenise, head + ", bounds array<int>").groupBy("doc_id", "key").applyInPandas(join_up, out + ", copies long")
+        one = rows.select(["doc_id", "key", "copies", "start"]).slice(0, 1)
+        return one.append_column("ids", pa.array([ids], pa.list_(pa.int32())))
+
+    def join_up(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("start")
+        ids = rows.column("ids").combine_chunks().flatten().to_pylist()
+        done = result(rows.column("doc_id").combine_chunks().slice(0, 1), Codec(shared.value, pattern), [ids])
+        return pa.Table.from_batches([done]).append_column("copies", rows.column("copies").slice(0, 1))
+
+    encoded_head = f"doc_id {kind}, key string, copies long, start long, ids array<int>"
+    pieces = placed.filter("rest is null").mapInArrow(encode_pieces, encoded_head)
+    rest = placed.filter("rest is not null").groupBy("key").applyInArrow(encode_rest, encoded_head)
+    joined = pieces.unionByName(rest).groupBy("key").applyInArrow(join_up, out + ", copies long")
     again = joined.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("_i", "copies")
     both = short.unionByName(again)
     return both if keep_ids else both.drop("ids")

@@ -130,6 +130,20 @@ def test_tokens(spark):
     assert bpe.encoded(d.limit(0), VOCAB, tok.PATTERN).count() == 0
 
 
+def test_tokens_of_long_texts(spark):
+    """Pieces encoded apart, and texts with an overlap that has no common boundary at the start, inside and at the end."""
+    words = "It's 12 cats; they'll meet   at\n\nnoon, élan! " * 30
+    run = "x" * 300
+    texts = [words, run + words, words + run + words, words + run, run, run + " " + run + words, None, words]
+    ids = [1, 2, 3, 4, 5, 6, 7, None]
+    d = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    enc = brute.bpe_encoding(VOCAB, tok.PATTERN)
+    for sizes in ({"chunk": 64, "overlap": 32}, {"chunk": 50, "overlap": 50}, {"chunk": 20, "overlap": 33}):
+        out = bpe.encoded(d, VOCAB, tok.PATTERN, keep_ids=True, **sizes).collect()
+        assert {r["doc_id"]: r["ids"] for r in out} == {i: enc.encode_ordinary(t or "") for i, t in zip(ids, texts)}
+        assert len(out) == len(ids)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet=st.sampled_from("ab'srelv 1\n\t éß#. "), max_size=120), st.integers(4, 30))
 def test_stitching(text, size):
