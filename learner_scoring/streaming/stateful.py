@@ -5,14 +5,19 @@ record which time had been reached when it came, so late records leave the
 stream as a side output and all others go on. ``fold_windows`` keeps one
 value of fixed size per (student, window): counts, sums, bounds, the first
 session, the last answer's time and the trailing run of wrong answers, with
-skill tags and pages as map state if asked for. A timer per window evicts it.
-State can be handed over from a batch fold, and read back from a checkpoint.
+skill tags and pages as map state if asked for. The students of a window are
+dealt into shards, and a shard's values are read and written together: calls
+to the state store, Arrow batches and timers count per shard, not per student.
+A timer per shard of a window evicts it. State can be handed over from a batch
+fold, and read back from a checkpoint.
 """
 
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterator
+from operator import itemgetter
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -23,10 +28,13 @@ from pyspark.sql.streaming import StatefulProcessor
 from learner_scoring import config as C
 from learner_scoring.config import DEFAULT_CONFIG, ScoringConfig
 from learner_scoring.operators.partials import GROUP
-from learner_scoring.operators.windows import assign_window
+from learner_scoring.operators.windows import assign_window, with_stream_time
+from learner_scoring.streaming.table import _children
 
 #: Partitions may lie this far behind the furthest one before windows are evicted under them.
 PARTITION_LAG_SECONDS = 60
+#: Shards of a window's students. A task holds one shard's records of a micro-batch; a checkpoint keeps the number it began with.
+SHARDS = 512
 
 #: Value state of a window, in this order. Numbers and one session id: its size does not grow with the records.
 STATE_DDL = (
@@ -37,6 +45,8 @@ STATE_DDL = (
 )
 _FIELDS = [f.strip().split()[0] for f in STATE_DDL.split(",")]
 _EMPTY = [0] * 12 + [None] * 8
+#: One student's value among those of a shard.
+HELD_DDL = f"student_id string, {STATE_DDL}"
 #: Columns a fold emits: the state without its private fields.
 _SHOWN = [f for f in _FIELDS if not (f.startswith("first_") and f != "first_event_ms") and f != "last_answer_ms"]
 OUT_DDL = "student_id string, window_start_ms bigint, window_end_ms bigint, " + ", ".join(
@@ -47,11 +57,19 @@ EVENT_COLUMNS = [
     "event_id", "student_id", "session_id", "event_ms", "record_ms", "topic", "kafka_partition", "kafka_offset", "is_quiz", "is_session",
     "is_correct", "time_spent_ms", "hints_used", "skill_tag", "session_event_type", "page_id", "dwell_time_ms",
 ]
+_EVENT, _STUDENT, _OFFSET, _QUIZ, _SKILL, _KIND, _PAGE = (
+    EVENT_COLUMNS.index(c) for c in ("event_id", "student_id", "kafka_offset", "is_quiz", "skill_tag", "session_event_type", "page_id")
+)
+_ARRIVAL = itemgetter(*(EVENT_COLUMNS.index(c) for c in ("record_ms", "topic", "kafka_partition", "kafka_offset")))
 
 
 # ------------------------------------------------------------ clocks
 
 
+#: The time each partition has reached.
+CLOCK_DDL = "topic string, kafka_partition int, clock_ms bigint"
+
+
 class StreamClock(StatefulProcessor):
     """The time reached per (topic, partition), record by record in offset order."""
 
@@ -70,56 +88,96 @@ class StreamClock(StatefulProcessor):
         pass
 
 
-def stamp_stream_time(events: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
-    """Streaming events with ``stream_time_ms`` and ``late``, as the batch rule has them.
+def stamp_stream_time(events: DataFrame, cfg: ScoringConfig = DEFAULT_CONFIG, clocks: DataFrame | None = None) -> DataFrame:
+    """Events with ``stream_time_ms`` and ``late``, as the batch rule has them.
 
-    Records of a micro-batch are clocked in offset order; a partition's records
-    come in offset order from batch to batch. One task takes a partition's share
-    of a micro-batch, like the partition's reader.
+    Streaming events are clocked in offset order within a micro-batch, and a
+    partition's records come in offset order from batch to batch. One task takes
+    a partition's share of a micro-batch, like the partition's reader.
+
+    The rows of one micro-batch (``ClockedBatches``) are clocked by a distributed
+    running maximum, so no partition has to fit a task. ``clocks`` has what the
+    batches before have reached: ``topic``, ``kafka_partition``, ``clock_ms``.
     """
     rows = assign_window(events, cfg).select(*EVENT_COLUMNS, "event_type", "window_start_ms", "window_end_ms")
-    schema = T.StructType([*rows.schema.fields, T.StructField("stream_time_ms", T.LongType())])
-    timed = rows.groupBy("topic", "kafka_partition").transformWithState(StreamClock(), schema, "Append", "None")
+    if events.isStreaming:
+        schema = T.StructType([*rows.schema.fields, T.StructField("stream_time_ms", T.LongType())])
+        timed = rows.groupBy("topic", "kafka_partition").transformWithState(StreamClock(), schema, "Append", "None")
+    else:
+        timed = with_stream_time(rows).select(*rows.columns, "stream_time_ms")
+        if clocks is not None:
+            reached = F.greatest("stream_time_ms", "clock_ms").alias("stream_time_ms")
+            timed = timed.join(F.broadcast(clocks), ["topic", "kafka_partition"], "left").select(*rows.columns, reached)
     return timed.withColumn("late", F.col("window_end_ms") <= F.col("stream_time_ms") - F.lit(cfg.window.grace_ms))
 
 
+class ClockedBatches:
+    """``foreachBatch`` target: clocked records under ``<path>/rows``, late ones apart, and the clocks after each batch.
+
+    A replayed batch starts from the clocks of the batch before it and overwrites
+    its own folders.
+    """
+
+    def __init__(self, path: str, cfg: ScoringConfig = DEFAULT_CONFIG):
+        self.path, self.cfg = path.rstrip("/"), cfg
+
+    def _before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        done = [int(n.partition("=")[2]) for n in _children(spark, f"{self.path}/clocks")]
+        last = max((n for n in done if n < batch_id), default=None)
+        return None if last is None else spark.read.schema(CLOCK_DDL).parquet(f"{self.path}/clocks/batch={last}")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        before = self._before(batch.sparkSession, batch_id)
+        timed = stamp_stream_time(batch, self.cfg, before).withColumn("late", F.col("late").cast("int"))
+        timed.write.mode("overwrite").partitionBy("late").parquet(f"{self.path}/rows/batch_id={batch_id}")
+        now = batch.select("topic", "kafka_partition", F.col("record_ms").alias("clock_ms"))
+        now = now if before is None else now.unionByName(before)
+        now = now.groupBy("topic", "kafka_partition").agg(F.max("clock_ms").alias("clock_ms"))
+        now.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/clocks/batch={batch_id}")
+
+    def schema(self, events: DataFrame) -> T.StructType:
+        """What ``<path>/rows`` has of such events."""
+        fields = [f for f in stamp_stream_time(events, self.cfg).schema.fields if f.name != "late"]
+        return T.StructType([*fields, T.StructField("batch_id", T.IntegerType()), T.StructField("late", T.IntegerType())])
+
+
 # ------------------------------------------------------------ window fold
 
 
-def apply(s: list, r) -> None:
-    """Add one record, the latest to arrive, to a window's state."""
+def apply(s: list, r: tuple) -> None:
+    """Add one record (its EVENT_COLUMNS), the latest to arrive, to a window's state."""
     (total, correct, wrong, n_time, time, nav, pause, resume, dwell, hints, rapid, run, first, last, answered, *lead) = s
-    if r["is_quiz"]:
+    (_, _, session, at, record_ms, topic, partition, offset, is_quiz, is_session, is_correct, spent, used, _, kind, _, stayed, *_) = r
+    if is_quiz:
         total += 1
-        ok = bool(r["is_correct"])
+        ok = bool(is_correct)
         correct += ok
         wrong += not ok
         run = 0 if ok else run + 1
-        if r["time_spent_ms"] is not None:
+        if spent is not None:
             n_time += 1
-            time += r["time_spent_ms"]
-        hints += r["hints_used"] or 0
-        if answered is not None and r["event_ms"] - answered < C.RAPID_SUBMISSION_MS:
+            time += spent
+        hints += used or 0
+        if answered is not None and at - answered < C.RAPID_SUBMISSION_MS:
             rapid += 1
-        answered = r["event_ms"]
-    elif r["is_session"]:
-        kind = r["session_event_type"]
+        answered = at
+    elif is_session:
         nav += kind == "NAVIGATION"
         pause += kind == "PAUSED"
         resume += kind == "RESUMED"
         if kind == "DWELL":
-            dwell += r["dwell_time_ms"] or 0
-    if r["is_quiz"] or r["is_session"]:
-        first = r["event_ms"] if first is None else min(first, r["event_ms"])
-        last = r["event_ms"] if last is None else max(last, r["event_ms"])
-    place = [r["record_ms"], r["topic"], r["kafka_partition"], r["kafka_offset"]]
+            dwell += stayed or 0
+    if is_quiz or is_session:
+        first = at if first is None else min(first, at)
+        last = at if last is None else max(last, at)
+    place = [record_ms, topic, partition, offset]
     if lead[0] is None or place < lead[:4]:
-        lead = [*place, r["session_id"]]
+        lead = [*place, session]
     s[:] = [total, correct, wrong, n_time, time, nav, pause, resume, dwell, hints, rapid, run, first, last, answered, *lead]
 
 
 class WindowFold(StatefulProcessor):
-    """State of one (student, window).
+    """States of the students in one (window, shard): a value each, read and written together.
 
     ``emit``: "update" puts out a changed window once per micro-batch, "every"
     its state after each record, "final" a window once, when its timer ends it.
@@ -130,62 +188,94 @@ class WindowFold(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("window", STATE_DDL)
+        self.state = handle.getListState("window", HELD_DDL)
+        self.shown = itemgetter(*(_FIELDS.index(f) for f in _SHOWN))
+        names = ["student_id", "window_start_ms", "window_end_ms", *_SHOWN]
+        if self.emit == "every":
+            names += ["event_id", "kafka_offset"]
         if self.words:
-            self.tags = handle.getMapState("tags", "word string", "n bigint")
-            self.pages = handle.getMapState("pages", "word string", "n bigint")
+            self.tags = handle.getMapState("tags", "student_id string, word string", "n bigint")
+            self.pages = handle.getMapState("pages", "student_id string, word string", "n bigint")
+            names += ["pages_visited", "skill_tag_attempts"]
+        self.out = Row(*names)
 
-    def _row(self, key, s: list, extra: dict) -> Row:
-        shown = {f: v for f, v in zip(_FIELDS, s) if f in _SHOWN}
-        if self.words:
-            extra = extra | {
-                "pages_visited": sorted(k[0] for k in self.pages.keys()),
-                "skill_tag_attempts": {k[0]: v[0] for k, v in self.tags.iterator()},
-            }
-        return Row(student_id=key[0], window_start_ms=key[1], window_end_ms=key[1] + self.duration_ms, **shown, **extra)
+    def _held(self) -> dict[str | None, list]:
+        return {x[0]: list(x[1:]) for x in self.state.get()} if self.state.exists() else {}
+
+    def _row(self, key, student: str | None, s: list, words: tuple[dict, dict] | None, *extra) -> Row:
+        if words:
+            tags, pages = (of.get(student, {}) for of in words)
+            extra = (*extra, sorted(pages), dict(tags))
+        return self.out(student, key[0], key[0] + self.duration_ms, *self.shown(s), *extra)
 
     def _set_timer(self, key) -> None:
         """At the window's start, see the watermark in ``fold_windows``; 0 is where a watermark begins."""
-        self.handle.registerTimer(max(key[1], 1))
-
-    def _count(self, held, words: list[str]) -> None:
-        for w in sorted(set(words)):
-            before = held.getValue((w,))[0] if held.containsKey((w,)) else 0
-            held.updateValue((w,), (before + words.count(w),))
+        self.handle.registerTimer(max(key[0], 1))
+
+    def _all_words(self) -> tuple[dict, dict] | None:
+        """The tags and the pages held, with their counts, by student."""
+        if not self.words:
+            return None
+        out = ({}, {})
+        for of, held in zip(out, (self.tags, self.pages)):
+            for (student, word), (n,) in held.iterator():
+                of.setdefault(student, Counter())[word] = n
+        return out
+
+    def _count(self, batch: list[tuple]) -> tuple[dict, dict] | None:
+        words = self._all_words()
+        if words:
+            tags = Counter((r[_STUDENT], r[_SKILL]) for r in batch if r[_QUIZ] and r[_SKILL] is not None)
+            pages = Counter((r[_STUDENT], r[_PAGE]) for r in batch if r[_KIND] == "NAVIGATION" and r[_PAGE] is not None)
+            for held, of, new in zip((self.tags, self.pages), words, (tags, pages)):
+                for (student, word), n in new.items():
+                    seen = of.setdefault(student, Counter())
+                    seen[word] += n
+                    held.updateValue((student, word), (seen[word],))
+        return words
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        s = list(self.state.get()) if self.state.exists() else list(_EMPTY)
-        batch = sorted(rows, key=lambda r: (r["record_ms"], r["topic"], r["kafka_partition"], r["kafka_offset"]))
-        if self.words:
-            self._count(self.tags, [r["skill_tag"] for r in batch if r["is_quiz"] and r["skill_tag"] is not None])
-            self._count(self.pages, [r["page_id"] for r in batch if r["session_event_type"] == "NAVIGATION" and r["page_id"] is not None])
+        states = self._held()
+        batch = sorted(map(tuple, rows), key=_ARRIVAL)
+        words = self._count(batch)
+        changed = {}
         for r in batch:
+            student = r[_STUDENT]
+            s = changed.get(student)
+            if s is None:
+                s = changed[student] = states.setdefault(student, list(_EMPTY))
             apply(s, r)
             if self.emit == "every":
-                yield self._row(key, s, {"event_id": r["event_id"], "kafka_offset": r["kafka_offset"]})
-        self.state.update(tuple(s))
+                yield self._row(key, student, s, words, r[_EVENT], r[_OFFSET])
+        self.state.put([(student, *s) for student, s in states.items()])
         self._set_timer(key)
         if self.emit == "update":
-            yield self._row(key, s, {})
+            for student, s in changed.items():
+                yield self._row(key, student, s, words)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.state.exists():
-            if self.emit == "final":
-                yield self._row(key, list(self.state.get()), {})
-            self.state.clear()
-            if self.words:
-                self.tags.clear()
-                self.pages.clear()
+        if self.emit == "final":
+            words = self._all_words()
+            for student, s in self._held().items():
+                yield self._row(key, student, s, words)
+        self.state.clear()
+        if self.words:
+            self.tags.clear()
+            self.pages.clear()
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        """A window handed over from a batch fold."""
-        self.state.update(tuple(initialState[f] for f in _FIELDS))
+        """A shard of a window handed over from a batch fold."""
+        self.state.put([(h["student_id"], *(h[f] for f in _FIELDS)) for h in initialState["held"]])
         self._set_timer(key)
 
     def close(self) -> None:
         pass
 
 
+def _by_shard(rows: DataFrame, shards: int) -> DataFrame:
+    return rows.withColumn("shard", F.pmod(F.xxhash64("student_id"), F.lit(shards)).cast("int"))
+
+
 def fold_windows(
     events: DataFrame,
     cfg: ScoringConfig = DEFAULT_CONFIG,
@@ -193,6 +283,7 @@ def fold_windows(
     words: bool = False,
     initial: DataFrame | None = None,
     lag_seconds: int = PARTITION_LAG_SECONDS,
+    shards: int = SHARDS,
 ) -> DataFrame:
     """Streaming events (without late ones, see ``stamp_stream_time``) -> window states.
 
@@ -202,19 +293,23 @@ def fold_windows(
     period and ``lag_seconds`` back, so it drops nothing that the rule keeps
     unless partitions drift further apart than that. A window's timer stands at its
     start: the watermark gets there when all clocks have passed its end and grace.
-    ``initial`` is a table from ``handover_state``.
+    ``initial`` is a table from ``handover_state``. Work is dealt by (window, shard
+    of students), and a shard's share of a micro-batch is held at once.
     """
     w = cfg.window
     delay = w.duration_seconds + w.grace_period_seconds + lag_seconds
     rows = assign_window(events, cfg).select(*EVENT_COLUMNS, "window_start_ms", F.timestamp_millis("record_ms").alias("record_ts"))
-    keyed = rows.withWatermark("record_ts", f"{delay} seconds").groupBy(*GROUP)
+    keyed = _by_shard(rows.withWatermark("record_ts", f"{delay} seconds"), shards).groupBy("window_start_ms", "shard")
     schema = OUT_DDL
     if emit == "every":
         schema += ", event_id string, kafka_offset bigint"
     if words:
         schema += ", pages_visited array<string>, skill_tag_attempts map<string,bigint>"
     fold = WindowFold(emit, w.duration_ms, words)
-    start = None if initial is None else initial.groupBy(*GROUP)
+    start = None
+    if initial is not None:
+        held = F.collect_list(F.struct("student_id", *_FIELDS)).alias("held")
+        start = _by_shard(initial, shards).groupBy("window_start_ms", "shard").agg(held).groupBy("window_start_ms", "shard")
     return keyed.transformWithState(fold, schema, "Append" if emit == "final" else "Update", "EventTime", start)
 
 
@@ -230,8 +325,9 @@ def handover_state(partials: DataFrame) -> DataFrame:
 def read_windows(spark: SparkSession, checkpoint: str, cfg: ScoringConfig = DEFAULT_CONFIG) -> DataFrame:
     """The open windows of a stopped or running ``fold_windows`` query, out of its checkpoint."""
     held = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "window").load()
-    key = [F.col("key").getField(k).alias(k) for k in GROUP]
-    rows = held.select(*key, *[F.col("value").getField(f).alias(f) for f in _SHOWN])
+    one = F.col("list_element")
+    start = F.col("key").getField("window_start_ms").alias("window_start_ms")
+    rows = held.select(one.getField("student_id").alias("student_id"), start, *[one.getField(f).alias(f) for f in _SHOWN])
     return rows.withColumn("window_end_ms", F.col("window_start_ms") + F.lit(cfg.window.duration_ms))
 
 

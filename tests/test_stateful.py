@@ -112,6 +112,40 @@ def test_clock_is_kept_per_partition_and_across_restarts(spark, scratch):
     assert sorted(map(tuple, late.collect())) == sorted(map(tuple, want.collect())) == [(0, 4, 65_000), (1, 2, 500_000)]
 
 
+def test_students_of_a_window_share_state_keys(spark, scratch):
+    """40 students in one window are two keys of the state, not 40, and go on from their own values."""
+    def part(lo, hi):
+        return events(spark, [quiz(100 * i + n, 1000 + n * 10 + i, (i + n) % 3 == 0, n, student=f"s{i}") for i in range(40) for n in range(lo, hi)])
+
+    latest, _ = fold_slices(spark, scratch, [part(1, 5), part(5, 9)], shards=2)
+    held = spark.read.format("statestore").option("path", f"{scratch}/ckpt").option("stateVarName", "window").load()
+    assert held.select("key").distinct().count() == 2 and S.read_windows(spark, f"{scratch}/ckpt").count() == 40
+    want = P.state(P.window_partials(part(1, 9)))
+    cols = ["student_id", "window_start_ms", "session_id", *STATE]
+    key = lambda df: sorted([[r[c] for c in cols] for r in df.collect()], key=repr)
+    assert key(latest) == key(want)
+
+
+def test_clocked_batches_take_no_partition_whole(spark, scratch):
+    """A micro-batch is clocked by native scans cut into offset buckets; clocks go on, a replay changes nothing."""
+    first = [quiz(1, 64_999, True), quiz(2, 30_000, True), quiz(1, 500_000, True, partition=1, student="s2")]
+    then = [quiz(3, 65_000, True), quiz(4, 31_000, True), quiz(2, 400_000, True, partition=1), quiz(3, 499_999, True, partition=1)]
+    a, b = (events(spark, rows).select(*S.EVENT_COLUMNS, "event_type") for rows in (first, then))
+    plan = S.stamp_stream_time(a)._jdf.queryExecution().optimizedPlan().toString()
+    assert "TransformWithState" not in plan and "Window" in plan
+    clock = S.ClockedBatches(scratch)
+    for batch, n in ((a, 0), (b, 1), (b, 1), (a.limit(0), 2)):
+        clock(batch, n)
+    cols = ["kafka_partition", "kafka_offset", "stream_time_ms"]
+    rows = spark.read.schema(clock.schema(a)).parquet(f"{scratch}/rows")
+    assert rows.count() == 7
+    late = rows.filter("late = 1").select(*cols)
+    want = late_records(events(spark, first + then)).select(*cols)
+    assert sorted(map(tuple, late.collect())) == sorted(map(tuple, want.collect())) == [(0, 4, 65_000), (1, 2, 500_000)]
+    clocks = spark.read.schema(S.CLOCK_DDL).parquet(f"{scratch}/clocks/batch=2")
+    assert sorted(r[1:] for r in map(tuple, clocks.collect())) == [(0, 65_000), (1, 500_000)]
+
+
 def test_batch_hands_over_to_stream(spark):
     q, s = load_topics(spark, SF001)
     ev = assign_window(valid_events(q, s))
