@@ -62,21 +62,21 @@ def clocked_run(
 ) -> tuple[DataFrame, DataFrame]:
     """(late records, latest scores) of events that come in offset order.
 
-    Two queries: the first clocks the records and writes them, late ones apart, to
-    a table with a commit log; the second folds and scores what was on time.
+    Two queries: the first clocks the records of each micro-batch and writes them,
+    late ones apart; the second folds and scores what was on time.
     """
     run = run or new_run(spark, "clocked")
-    clocked = f"{run}/clocked"
+    clock = S.ClockedBatches(f"{run}/clocked", cfg)
+    clocked = f"{clock.path}/rows"
     with rocksdb_state(spark):
         for stream in landed(spark, by_offset(events, slices), run, slices):
-            timed = S.stamp_stream_time(stream, cfg).withColumn("late", F.col("late").cast("int"))
-            writer = timed.writeStream.format("parquet").partitionBy("late").outputMode("append")
-            writer = writer.option("path", clocked).option("checkpointLocation", f"{run}/clock-checkpoint")
-            writer.trigger(availableNow=True).start().awaitTermination()
-            on_time = spark.readStream.schema(timed.schema).parquet(clocked).filter("late = 0")
+            schema = clock.schema(stream)
+            start_query(stream, clock, f"{run}/clock-checkpoint", output_mode="append", available_now=True).awaitTermination()
+            on_time = spark.readStream.schema(schema).parquet(clocked).filter("late = 0")
             scored = with_score(with_metrics(S.fold_windows(on_time, cfg)), cfg)
             start_query(scored, BatchUpsert(f"{run}/scores"), f"{run}/checkpoint", available_now=True).awaitTermination()
-    return spark.read.parquet(clocked).filter("late = 1").drop("late"), latest_scores(spark, f"{run}/scores")
+    late = spark.read.schema(schema).parquet(clocked).filter("late = 1").drop("late", "batch_id")
+    return late, latest_scores(spark, f"{run}/scores")
 
 
 def changelog_run(
